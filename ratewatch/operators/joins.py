@@ -1,0 +1,22 @@
+"""Join helpers: broadcast a side only behind a size check, otherwise shuffle."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a broadcast side may hold. Each broadcast row here is a handful of short columns
+# (keys and dates), so 2M rows stay well under the default 8 GB broadcast limit.
+DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join ``small`` into ``big``; broadcast it only if it really has at most ``max_rows`` rows.
+
+    The check is one count over ``small`` (only the number reaches the driver). Above the bound
+    the plan falls back to a normal shuffle join, where AQE can still split skewed partitions.
+    """
+    if small.limit(max_rows + 1).count() <= max_rows:
+        small = F.broadcast(small)
+    return big.join(small, on, how)
