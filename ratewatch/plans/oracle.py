@@ -182,3 +182,220 @@ ORACLE["rate_changes_flat"] = "WITH " + snapshot_diff_sql(
               CAST(l_discount AS DECIMAL(12,2)) AS discount FROM lineitem""",
     "l_suppkey", "as_of", ["l_partkey", "l_linestatus"], {}, "discount", [],
     {"pd": "previous_as_of", "cd": "current_as_of", "pv": "previous_discount", "cv": "current_discount"})
+
+
+# ---- events domain --------------------------------------------------------------------------
+
+EVENT_FETCH = """
+ev AS (SELECT *, CAST(ts AS DATE) AS d, json_extract_string(props, '$.k') AS k,
+              CASE event_type WHEN 'view' THEN 200 WHEN 'click' THEN 200 WHEN 'purchase' THEN 200
+                              WHEN 'signup' THEN 304 WHEN 'error' THEN 500 END AS st
+       FROM events),
+evp AS (SELECT *,
+          CASE WHEN st = 200 THEN CASE event_type
+            WHEN 'view' THEN '{"data":{"products":[{"productId":"v' || k || '"}]},"links":{"next":""}}'
+            WHEN 'click' THEN '{"data":{"products":[{"productId":"a' || k || '"},{"productId":"b' || k
+                 || '"},{"productId":"c' || k || '"},{"productId":"d' || k || '","extra":1}]},"links":{"next":""},"meta":{"k":'
+                 || k || '}}'
+            WHEN 'purchase' THEN '{"data":{"products":[{"productId":"p' || k
+                 || '","fees":[{"amount":"1.00"}]}]},"links":{"next":""}}' END END AS payload
+        FROM ev),
+fetches AS (
+  SELECT 'run-' || strftime(d, '%Y-%m-%d') AS run_id,
+         'user-' || CAST(user_id AS VARCHAR) AS provider_id,
+         CASE WHEN user_id % 10 = 0 THEN NULL ELSE 'User ' || CAST(user_id AS VARCHAR) END AS brand_name,
+         CASE WHEN event_type = 'signup' THEN 'banking:get-product-detail' ELSE 'banking:get-products' END AS endpoint,
+         'https://api.user-' || CAST(user_id AS VARCHAR) || '.example.com/cds/banking/products?page='
+           || CAST(event_id AS VARCHAR) AS url,
+         event_id AS page_num, st AS http_status, 3 AS responded_xv, ts AS fetched_at,
+         CAST(NULL AS VARCHAR) AS etag, payload,
+         CASE WHEN length(b) > 0 THEN sha256(b) END AS payload_hash,
+         CASE WHEN st = 200 THEN NULL ELSE coalesce(nullif(substr(b, 1, 500), ''), 'HTTP ' || CAST(st AS VARCHAR)) END AS error,
+         event_type, value, user_id, d
+  FROM (SELECT *, CASE WHEN st = 200 THEN payload WHEN st = 500 THEN props END AS b FROM evp) x
+),
+pages AS (SELECT * FROM fetches WHERE endpoint = 'banking:get-products'),
+runs AS (SELECT 'run-' || strftime(d, '%Y-%m-%d') AS run_id, min(ts) AS run_started_at, d AS run_date
+         FROM ev GROUP BY d),
+edim AS (SELECT provider_id, brand_name, CAST(fetched_at AS DATE) AS as_of_date, event_type AS product_id
+         FROM pages WHERE http_status = 200
+         QUALIFY row_number() OVER (PARTITION BY provider_id, event_type, CAST(fetched_at AS DATE)
+                                    ORDER BY fetched_at DESC, page_num DESC) = 1)"""
+
+COVERAGE = EVENT_FETCH + """,
+brands AS (
+  SELECT r.run_id, r.run_started_at, r.run_date, 'user-' || CAST(u.user_id AS VARCHAR) AS provider_id,
+         CASE WHEN u.user_id % 10 = 0 THEN NULL ELSE 'User ' || CAST(u.user_id AS VARCHAR) END AS brand_name,
+         coalesce(CASE WHEN u.user_id % 3 = 0 THEN NULL
+                       ELSE 'https://api.user-' || CAST(u.user_id AS VARCHAR) || '.example.com/cds' END,
+                  'https://user-' || CAST(u.user_id AS VARCHAR) || '.example.com') AS expected_base_uri
+  FROM (SELECT d AS run_date, user_id FROM ev UNION SELECT d + 1, user_id FROM ev) u
+  JOIN runs r USING (run_date)),
+lb AS (SELECT run_date AS as_of_date, provider_id, brand_name, expected_base_uri FROM brands
+       QUALIFY row_number() OVER (PARTITION BY run_date, provider_id ORDER BY run_started_at DESC, run_id) = 1),
+calls AS (SELECT CAST(fetched_at AS DATE) AS as_of_date, provider_id, http_status AS call_status, error AS last_error
+          FROM fetches WHERE endpoint = 'banking:get-products'
+          QUALIFY row_number() OVER (PARTITION BY CAST(fetched_at AS DATE), provider_id
+                                     ORDER BY fetched_at DESC, url, run_id) = 1),
+pstats AS (SELECT CAST(fetched_at AS DATE) AS as_of_date, provider_id,
+                  count(*) FILTER (WHERE http_status = 200) AS pages_ok, max(http_status) AS page_status
+           FROM pages GROUP BY 1, 2),
+nrows AS (SELECT as_of_date, provider_id, count(*) AS n_rows FROM edim GROUP BY 1, 2),
+cov AS (
+  SELECT lb.as_of_date, lb.provider_id, brand_name, expected_base_uri,
+         CAST(coalesce(pages_ok, 0) AS BIGINT) AS products_pages_ok,
+         CAST(coalesce(n_rows, 0) AS BIGINT) AS products_rows,
+         coalesce(call_status, page_status) AS last_http_status, last_error
+  FROM lb LEFT JOIN pstats USING (as_of_date, provider_id) LEFT JOIN nrows USING (as_of_date, provider_id)
+          LEFT JOIN calls USING (as_of_date, provider_id))"""
+
+ORACLE["provider_coverage"] = "WITH " + COVERAGE + " SELECT * FROM cov"
+ORACLE["coverage_report"] = "WITH " + COVERAGE + " SELECT * FROM cov WHERE as_of_date = DATE '2024-01-15'"
+ORACLE["coverage_summary"] = "WITH " + COVERAGE + """
+SELECT count(*) AS providers_discovered,
+       count(*) FILTER (WHERE coalesce(products_pages_ok, 0) > 0 AND coalesce(last_http_status, 0) IN (200, 304))
+         AS providers_ok
+FROM cov WHERE as_of_date = DATE '2024-01-15'"""
+
+ORACLE["dim_latest"] = """
+SELECT user_id, CAST(ts AS DATE) AS as_of_date, event_id, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1"""
+
+FINGERPRINTS = EVENT_FETCH + """,
+fp0 AS (
+  SELECT provider_id, endpoint, fetched_at AS observed_at, run_id, page_num,
+         CASE event_type
+           WHEN 'view' THEN ['data', 'data.products', 'data.products[]', 'data.products[].productId',
+                             'links', 'links.next']
+           WHEN 'click' THEN ['data', 'data.products', 'data.products[]', 'data.products[].productId',
+                              'links', 'links.next', 'meta', 'meta.k']
+           WHEN 'purchase' THEN ['data', 'data.products', 'data.products[]', 'data.products[].fees',
+                                 'data.products[].fees[]', 'data.products[].productId', 'links', 'links.next']
+         END AS paths
+  FROM pages WHERE http_status = 200 AND payload IS NOT NULL),
+fp AS (SELECT *, sha256(array_to_string(paths, chr(10))) AS fingerprint_hash FROM fp0),
+de AS (SELECT *, lag(fingerprint_hash) OVER (PARTITION BY provider_id, endpoint ORDER BY observed_at, page_num) AS old
+       FROM fp),
+drift AS (SELECT provider_id, endpoint, old AS old_fingerprint_hash, fingerprint_hash AS new_fingerprint_hash,
+                 observed_at, run_id, 'Schema/path fingerprint changed' AS note
+          FROM de WHERE old IS NOT NULL AND old <> fingerprint_hash)"""
+
+ORACLE["fingerprints"] = "WITH " + FINGERPRINTS + """
+SELECT provider_id, endpoint, fingerprint_hash, array_to_string(paths, '|') AS fingerprint_path_list,
+       observed_at, run_id, page_num FROM fp"""
+ORACLE["drift_events"] = "WITH " + FINGERPRINTS + " SELECT * FROM drift"
+ORACLE["drift_report"] = "WITH " + FINGERPRINTS + """
+SELECT provider_id, endpoint, old_fingerprint_hash, new_fingerprint_hash, observed_at FROM drift
+WHERE CAST(observed_at AS DATE) = DATE '2024-01-15'
+ORDER BY observed_at DESC, provider_id, endpoint, new_fingerprint_hash LIMIT 50"""
+
+EVENT_RATE_FACT = """
+SELECT provider_id, brand_name, CAST(fetched_at AS DATE) AS as_of_date, event_type AS product_id,
+       event_type AS product_name, CAST(NULL AS VARCHAR) AS product_category, 'deposit' AS rate_kind,
+       'FIXED' AS rate_type, CAST(NULL AS VARCHAR) AS tier_name, CAST(NULL AS VARCHAR) AS tier_unit_of_measure,
+       CAST(NULL AS DECIMAL(28,10)) AS tier_minimum_value, CAST(NULL AS DECIMAL(28,10)) AS tier_maximum_value,
+       CAST(value AS DECIMAL(28,10)) AS rate
+FROM pages WHERE http_status = 200"""
+
+
+def _fmt(x: str) -> str:
+    return f"CAST(CAST({x} AS DOUBLE) AS VARCHAR)"
+
+
+ORACLE["qa_gates"] = "WITH " + COVERAGE + """,
+fp0 AS (SELECT 1),
+rc AS (SELECT * FROM (WITH """ + snapshot_diff_sql(
+    EVENT_RATE_FACT, "provider_id", "as_of_date", ["product_id", "rate_kind", "rate_type"],
+    {"tier_name": "''", "tier_unit_of_measure": "''", "tier_minimum_value": "-1", "tier_maximum_value": "-1"},
+    "rate", ["brand_name", "product_name", "product_category"], RATE_CHANGE_NAMES) + """) z),
+m AS (
+  SELECT
+    (SELECT count(*) FROM cov WHERE as_of_date = DATE '2024-01-15' AND coalesce(products_pages_ok, 0) > 0
+        AND coalesce(last_http_status, 0) IN (200, 304)) AS providers_ok,
+    (SELECT count(*) FROM edim WHERE as_of_date = DATE '2024-01-15') AS dim_rows,
+    (SELECT count(*) FROM rc WHERE current_as_of_date = DATE '2024-01-15') AS rc_rows,
+    (SELECT (epoch_us(TIMESTAMP '2024-01-16 00:00:00') - epoch_us(max(fetched_at))) / 3.6e9 FROM pages
+       WHERE CAST(fetched_at AS DATE) = DATE '2024-01-15') AS fresh,
+    (SELECT count(*) FROM (WITH """ + FINGERPRINTS.replace(EVENT_FETCH + ",", "") + """ SELECT * FROM drift) q
+       WHERE CAST(observed_at AS DATE) = DATE '2024-01-15') AS drift_n,
+    (SELECT count(*) FROM (SELECT provider_id, product_id, as_of_date FROM edim GROUP BY ALL HAVING count(*) > 1) a)
+    + (SELECT count(*) FROM edim WHERE provider_id IS NULL OR product_id IS NULL OR as_of_date IS NULL)
+    + (SELECT count(*) FROM (SELECT as_of_date, provider_id FROM cov GROUP BY ALL HAVING count(*) > 1) b) AS failing
+)
+SELECT 'providers_ok' AS gate_name, providers_ok >= 1 AS passed, CAST(providers_ok AS DOUBLE) AS actual_value,
+       1.0::DOUBLE AS threshold_value,
+       """ + _fmt("providers_ok") + """ || CASE WHEN providers_ok >= 1 THEN ' >= ' ELSE ' < ' END || '1.0' AS details FROM m
+UNION ALL
+SELECT 'dim_products_rows', dim_rows >= 1, CAST(dim_rows AS DOUBLE), 1.0,
+       """ + _fmt("dim_rows") + """ || CASE WHEN dim_rows >= 1 THEN ' >= ' ELSE ' < ' END || '1.0' FROM m
+UNION ALL
+SELECT 'rate_changes_rows', rc_rows >= 1, CAST(rc_rows AS DOUBLE), 1.0,
+       """ + _fmt("rc_rows") + """ || CASE WHEN rc_rows >= 1 THEN ' >= ' ELSE ' < ' END || '1.0' FROM m
+UNION ALL
+SELECT 'products_freshness_hours', coalesce(fresh <= 36.0, false), fresh, 36.0,
+       CASE WHEN fresh IS NULL THEN 'missing metric value; expected <= 36.0h'
+            ELSE """ + _fmt("fresh") + """ || 'h' || CASE WHEN fresh <= 36.0 THEN ' <= ' ELSE ' > ' END || '36.0h' END FROM m
+UNION ALL
+SELECT 'schema_drift_events', true, CAST(drift_n AS DOUBLE), CAST(NULL AS DOUBLE),
+       'observed=' || """ + _fmt("drift_n") + """ || '; fail gate disabled' FROM m
+UNION ALL
+SELECT 'dbt_tests', failing = 0, CASE WHEN failing = 0 THEN 1.0 ELSE 0.0 END, 1.0,
+       'failing rows=' || CAST(failing AS VARCHAR) FROM m"""
+
+ORACLE["qa_verdict"] = "WITH g AS (" + ORACLE["qa_gates"] + """)
+SELECT CASE WHEN bool_and(passed) THEN 'PASS' ELSE 'FAIL' END AS status,
+       CASE WHEN bool_and(passed) THEN 0 ELSE 1 END AS exit_code,
+       count(*) FILTER (WHERE NOT passed) AS failed_gates FROM g"""
+
+ORACLE["unique_combo"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+
+ORACLE["not_null"] = """
+SELECT 'o_orderkey' AS column_name, count(*) FILTER (WHERE o_orderkey IS NULL) AS null_rows FROM orders
+UNION ALL SELECT 'o_custkey', count(*) FILTER (WHERE o_custkey IS NULL) FROM orders
+UNION ALL SELECT 'o_orderstatus', count(*) FILTER (WHERE o_orderstatus IS NULL) FROM orders
+UNION ALL SELECT 'o_totalprice', count(*) FILTER (WHERE o_totalprice IS NULL) FROM orders
+UNION ALL SELECT 'o_orderdate', count(*) FILTER (WHERE o_orderdate IS NULL) FROM orders
+UNION ALL SELECT 'o_orderpriority', count(*) FILTER (WHERE o_orderpriority IS NULL) FROM orders"""
+
+ORACLE["accepted_values"] = """
+SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O')"""
+
+ORACLE["fk_orphans"] = "WITH " + EVENT_FETCH + """
+SELECT 'api_call_log' AS child, url AS child_key FROM fetches f
+WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.run_id = f.run_id)
+UNION ALL
+SELECT 'orders', CAST(o_orderkey AS VARCHAR) FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)"""
+
+ORACLE["source_freshness"] = "WITH " + EVENT_FETCH + """,
+s AS (SELECT 'products_raw' AS source, max(fetched_at) AS max_loaded_at FROM pages
+      UNION ALL
+      SELECT 'product_detail_raw', max(fetched_at) FROM fetches WHERE endpoint = 'banking:get-product-detail')
+SELECT source, max_loaded_at,
+       (epoch_us(TIMESTAMP '2024-02-03 00:00:00') - epoch_us(max_loaded_at)) / 3.6e9 AS age_hours,
+       CASE WHEN max_loaded_at IS NULL THEN 'error'
+            WHEN (epoch_us(TIMESTAMP '2024-02-03 00:00:00') - epoch_us(max_loaded_at)) / 3.6e9 > 168 THEN 'error'
+            WHEN (epoch_us(TIMESTAMP '2024-02-03 00:00:00') - epoch_us(max_loaded_at)) / 3.6e9 > 48 THEN 'warn'
+            ELSE 'pass' END AS status
+FROM s"""
+
+ORACLE["insert_ignore"] = """
+SELECT user_id, event_type, arg_min(event_id, (ts, event_id)) AS event_id, min(ts) AS ts,
+       arg_min(value, (ts, event_id)) AS value, arg_min(props, (ts, event_id)) AS props
+FROM events GROUP BY user_id, event_type"""
+
+ORACLE["upsert_all"] = """
+SELECT user_id, event_type, event_id, ts, value, props FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1"""
+
+ORACLE["upsert_partial"] = """
+SELECT user_id, event_type, arg_min(event_id, (ts, event_id)) AS event_id, max(ts) AS ts,
+       arg_max(value, (ts, event_id)) AS value, arg_min(props, (ts, event_id)) AS props
+FROM events GROUP BY user_id, event_type"""
+
+ORACLE["atomic_groups"] = "WITH " + EVENT_FETCH + """
+SELECT provider_id, CAST(fetched_at AS DATE) AS as_of_date, url, http_status FROM fetches f
+WHERE NOT EXISTS (SELECT 1 FROM fetches g WHERE g.provider_id = f.provider_id
+                  AND CAST(g.fetched_at AS DATE) = CAST(f.fetched_at AS DATE) AND g.http_status >= 500)"""

@@ -100,3 +100,212 @@ def q_rate_changes_flat(spark, sf_dir):
         F.col("l_discount").cast("decimal(12,2)").alias("discount"))
     return snapshot_changes(li, entity="l_suppkey", date="as_of", keys=["l_partkey", "l_linestatus"],
                             value="discount")
+
+
+# ---- events domain: coverage, drift, QA, upserts -------------------------------------------
+
+QA_DATE = date(2024, 1, 15)
+# Freshness "now" for the source-freshness test (fixed so the answer is reproducible).
+FRESHNESS_NOW = "2024-02-03 00:00:00"
+
+
+def _events(spark, sf_dir):
+    return testbed.read(spark, sf_dir, "events")
+
+
+def _coverage(spark, sf_dir):
+    from ratewatch.operators.coverage import provider_coverage
+    ev = _events(spark, sf_dir)
+    runs = testbed.event_runs(ev)
+    return provider_coverage(runs, testbed.event_brands(ev, runs), testbed.event_call_log(ev),
+                             testbed.event_pages(ev), testbed.event_dim(ev))
+
+
+@register("provider_coverage")
+def q_provider_coverage(spark, sf_dir):
+    return _coverage(spark, sf_dir)
+
+
+@register("coverage_report")
+def q_coverage_report(spark, sf_dir):
+    from ratewatch.plans.reports import coverage_report
+    return coverage_report(_coverage(spark, sf_dir), QA_DATE)
+
+
+@register("coverage_summary")
+def q_coverage_summary(spark, sf_dir):
+    from ratewatch.plans.reports import coverage_summary
+    return coverage_summary(_coverage(spark, sf_dir), QA_DATE)
+
+
+@register("dim_latest")
+def q_dim_latest(spark, sf_dir):
+    """Latest event per (user, day): newest timestamp, then highest event id."""
+    from ratewatch.operators.latest import latest_per_key
+    ev = _events(spark, sf_dir).withColumn("as_of_date", F.to_date("ts"))
+    return latest_per_key(ev, ["user_id", "as_of_date"], [F.col("ts").desc(), F.col("event_id").desc()],
+                          ["user_id", "as_of_date", "event_id", "event_type", "value"])
+
+
+def _fingerprints(spark, sf_dir):
+    from ratewatch.operators.drift import fingerprints
+    return fingerprints(testbed.event_pages(_events(spark, sf_dir)))
+
+
+@register("fingerprints")
+def q_fingerprints(spark, sf_dir):
+    fp = _fingerprints(spark, sf_dir)
+    return fp.select("provider_id", "endpoint", "fingerprint_hash",
+                     F.array_join("fingerprint_paths", "|").alias("fingerprint_path_list"),
+                     "observed_at", "run_id", "page_num")
+
+
+@register("drift_events")
+def q_drift_events(spark, sf_dir):
+    from ratewatch.operators.drift import drift_events
+    return drift_events(_fingerprints(spark, sf_dir))
+
+
+@register("drift_report")
+def q_drift_report(spark, sf_dir):
+    from ratewatch.operators.drift import drift_events
+    from ratewatch.plans.reports import drift_report
+    return drift_report(drift_events(_fingerprints(spark, sf_dir)), QA_DATE)
+
+
+def _qa_gates(spark, sf_dir):
+    from ratewatch.operators import quality as Q
+    from ratewatch.operators.changes import rate_changes
+    from ratewatch.operators.coverage import provider_ok
+    from ratewatch.operators.drift import drift_events
+    ev = _events(spark, sf_dir)
+    cov = _coverage(spark, sf_dir)
+    dim = testbed.event_dim(ev)
+    d = F.lit(QA_DATE)
+    gates = [
+        Q.gate_from(spark, "providers_ok",
+                    lambda: Q.count_metric(cov.filter((F.col("as_of_date") == d) & provider_ok(cov))),
+                    Q.DEFAULT_MIN_PROVIDERS_OK),
+        Q.gate_from(spark, "dim_products_rows",
+                    lambda: Q.count_metric(dim.filter(F.col("as_of_date") == d)), Q.DEFAULT_MIN_PRODUCTS),
+        Q.gate_from(spark, "rate_changes_rows",
+                    lambda: Q.count_metric(rate_changes(testbed.event_rate_fact(ev), as_of=QA_DATE)
+                                           .filter(F.col("current_as_of_date") == d)),
+                    Q.DEFAULT_MIN_RATE_CHANGES),
+        Q.gate_from(spark, "products_freshness_hours",
+                    lambda: Q.freshness_metric(testbed.event_pages(ev), QA_DATE),
+                    Q.DEFAULT_MAX_FRESHNESS_HOURS, kind="max", unit="h"),
+        Q.drift_gate(Q.count_metric(drift_events(_fingerprints(spark, sf_dir))
+                                    .filter(F.to_date("observed_at") == d))),
+        Q.tests_gate(spark, [
+            Q.unique_combo(dim, ["provider_id", "product_id", "as_of_date"]),
+            Q.not_null(dim, ["provider_id", "product_id", "as_of_date"]).filter(F.col("null_rows") > 0),
+            Q.unique_combo(cov, ["as_of_date", "provider_id"]),
+        ]),
+    ]
+    out = gates[0]
+    for g in gates[1:]:
+        out = out.unionByName(g)
+    return out
+
+
+@register("qa_gates")
+def q_qa_gates(spark, sf_dir):
+    return _qa_gates(spark, sf_dir)
+
+
+@register("qa_verdict")
+def q_qa_verdict(spark, sf_dir):
+    from ratewatch.operators.quality import verdict
+    return verdict(_qa_gates(spark, sf_dir))
+
+
+@register("unique_combo")
+def q_unique_combo(spark, sf_dir):
+    from ratewatch.operators.quality import unique_combo
+    return unique_combo(testbed.read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("not_null")
+def q_not_null(spark, sf_dir):
+    from ratewatch.operators.quality import not_null
+    return not_null(testbed.read(spark, sf_dir, "orders"),
+                    ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
+
+
+@register("accepted_values")
+def q_accepted_values(spark, sf_dir):
+    from ratewatch.operators.quality import accepted_values
+    return accepted_values(testbed.read(spark, sf_dir, "orders"), "o_orderstatus", ["F", "O"]).select(
+        "o_orderkey", "o_orderstatus")
+
+
+@register("fk_orphans")
+def q_fk_orphans(spark, sf_dir):
+    """Call-log rows whose run is missing (the run table is derived from the same events, so the
+    expected answer is empty) plus orders whose customer is missing."""
+    from ratewatch.operators.quality import fk_orphans
+    ev = _events(spark, sf_dir)
+    calls = fk_orphans(testbed.event_call_log(ev), testbed.event_runs(ev), "run_id").select(
+        F.lit("api_call_log").alias("child"), F.col("url").alias("child_key"))
+    orders = fk_orphans(testbed.read(spark, sf_dir, "orders"), testbed.read(spark, sf_dir, "customer"),
+                        "o_custkey", "c_custkey").select(F.lit("orders").alias("child"),
+                                                         F.col("o_orderkey").cast("string").alias("child_key"))
+    return calls.unionByName(orders)
+
+
+@register("source_freshness")
+def q_source_freshness(spark, sf_dir):
+    from ratewatch.operators.quality import freshness
+    ev = _events(spark, sf_dir)
+    calls = testbed.event_call_log(ev)
+    now = F.lit(FRESHNESS_NOW).cast("timestamp")
+    pages = freshness(testbed.event_pages(ev), "fetched_at", now).select(F.lit("products_raw").alias("source"), "*")
+    detail = freshness(calls.filter(F.col("endpoint") == testbed.DETAIL_ENDPOINT), "fetched_at", now).select(
+        F.lit("product_detail_raw").alias("source"), "*")
+    return pages.unionByName(detail)
+
+
+def _writes(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    cut = F.lit(QA_DATE).cast("timestamp")
+    cols = ["user_id", "event_type", "event_id", "ts", "value", "props"]
+    return ev.filter(F.col("ts") < cut).select(*cols), ev.filter(F.col("ts") >= cut).select(*cols)
+
+
+@register("insert_ignore")
+def q_insert_ignore(spark, sf_dir):
+    """Events before the QA date are the table; later events insert with ON CONFLICT DO NOTHING
+    on (user, event type); incoming rows are applied in (ts, event_id) order."""
+    from ratewatch.operators.upsert import insert_ignore
+    target, incoming = _writes(spark, sf_dir)
+    base = insert_ignore(None, target, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")])
+    return insert_ignore(base, incoming, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")])
+
+
+@register("upsert_all")
+def q_upsert_all(spark, sf_dir):
+    from ratewatch.operators.upsert import upsert
+    target, incoming = _writes(spark, sf_dir)
+    base = upsert(None, target, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")])
+    return upsert(base, incoming, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")])
+
+
+@register("upsert_partial")
+def q_upsert_partial(spark, sf_dir):
+    """As upsert_all, but ``event_id`` and ``props`` keep the first write's value."""
+    from ratewatch.operators.upsert import upsert
+    target, incoming = _writes(spark, sf_dir)
+    kf = ["event_id", "props"]
+    order = [F.col("ts"), F.col("event_id")]
+    base = upsert(None, target, ["user_id", "event_type"], order, keep_first=kf)
+    return upsert(base, incoming, ["user_id", "event_type"], order, keep_first=kf)
+
+
+@register("atomic_groups")
+def q_atomic_groups(spark, sf_dir):
+    """Per-provider-day all-or-nothing: keep a user's day only if none of its calls failed (5xx)."""
+    from ratewatch.operators.upsert import atomic_groups
+    calls = testbed.event_call_log(_events(spark, sf_dir)).withColumn("as_of_date", F.to_date("fetched_at"))
+    kept = atomic_groups(calls, ["provider_id", "as_of_date"], F.col("http_status") >= 500)
+    return kept.select("provider_id", "as_of_date", "url", "http_status")

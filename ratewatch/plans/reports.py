@@ -38,3 +38,26 @@ def rate_change_report(rate_fact: DataFrame, report_date: date, limit: int = 200
             "provider_id", "product_id", "rate_kind", "rate_type", "tier_name", "tier_unit_of_measure",
             "tier_minimum_value", "tier_maximum_value", "previous_rate", "current_rate")]
     return ch.orderBy(*order).limit(limit).select(*RATE_REPORT_COLUMNS)
+
+
+def coverage_report(cov: DataFrame, report_date: date) -> DataFrame:
+    """Coverage rows of one date, by brand name (NULL names last)."""
+    return (cov.filter(F.col("as_of_date") == F.lit(report_date))
+               .orderBy(F.col("brand_name").asc_nulls_last(), F.col("provider_id").asc())
+               .select(*COVERAGE_REPORT_COLUMNS))
+
+
+def coverage_summary(cov: DataFrame, report_date: date) -> DataFrame:
+    """Providers discovered and providers with an OK product fetch on one date."""
+    from ratewatch.operators.coverage import provider_ok
+    day = cov.filter(F.col("as_of_date") == F.lit(report_date))
+    return day.agg(F.count(F.lit(1)).alias("providers_discovered"),
+                   F.count_if(provider_ok(day)).alias("providers_ok"))
+
+
+def drift_report(events: DataFrame, report_date: date, limit: int = 50) -> DataFrame:
+    """Latest ``limit`` drift events observed on one date."""
+    return (events.filter(F.to_date("observed_at") == F.lit(report_date))
+                  .orderBy(F.col("observed_at").desc(), F.col("provider_id").asc(), F.col("endpoint").asc(),
+                           F.col("new_fingerprint_hash").asc())
+                  .limit(limit).select(*DRIFT_REPORT_COLUMNS))

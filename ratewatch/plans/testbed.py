@@ -25,7 +25,7 @@ DETAIL_ENDPOINT = "banking:get-product-detail"
 # Fixed values of the test bed (must agree with the oracle SQL in __spark_entry__.py).
 CATEGORY_BY_RETURNFLAG = {"A": "TRANS_AND_SAVINGS_ACCOUNTS", "N": "TERM_DEPOSITS"}
 CATEGORY_OTHER = "RESIDENTIAL_MORTGAGES"
-STATUS_BY_EVENT_TYPE = {"view": 200, "click": 200, "purchase": 304, "signup": 404, "error": 500}
+STATUS_BY_EVENT_TYPE = {"view": 200, "click": 200, "purchase": 200, "signup": 304, "error": 500}
 
 
 # Order of products inside a page.
@@ -111,3 +111,120 @@ def pricing_pages(lineitem: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("etag"),
         payload.alias("payload"),
     ).withColumn("payload_hash", F.sha2("payload", 256))
+
+
+# ---- events -> runs, registers, call log and page fetches ------------------------------------
+
+# Page payload templates by event type (%s = the event's "k" value). A click page
+# lists four products (the fourth carries an extra member); a purchase page nests fees.
+PAYLOAD_BY_EVENT_TYPE = {
+    "view": '{"data":{"products":[{"productId":"v%s"}]},"links":{"next":""}}',
+    "click": ('{"data":{"products":[{"productId":"a%s"},{"productId":"b%s"},{"productId":"c%s"},'
+              '{"productId":"d%s","extra":1}]},"links":{"next":""},"meta":{"k":%s}}'),
+    "purchase": '{"data":{"products":[{"productId":"p%s","fees":[{"amount":"1.00"}]}]},"links":{"next":""}}',
+}
+
+
+def _status(event_type: Column) -> Column:
+    st = F.lit(None).cast("int")
+    for k, v in STATUS_BY_EVENT_TYPE.items():
+        st = F.when(event_type == k, F.lit(v)).otherwise(st)
+    return st
+
+
+def _event_payload(event_type: Column, k: Column) -> Column:
+    out = F.lit(None).cast("string")
+    for t, tpl in PAYLOAD_BY_EVENT_TYPE.items():
+        out = F.when(event_type == t, F.format_string(tpl, *([k] * tpl.count("%s")))).otherwise(out)
+    return out
+
+
+def event_runs(events: DataFrame) -> DataFrame:
+    """``pipeline_run``: one run per event day, started at the day's first event."""
+    d = events.groupBy(F.to_date("ts").alias("run_date")).agg(F.min("ts").cast("timestamp").alias("run_started_at"))
+    return d.select(
+        F.concat(F.lit("run-"), F.date_format("run_date", "yyyy-MM-dd")).alias("run_id"),
+        "run_started_at", "run_date", F.lit("banking").alias("register_industry"),
+        F.lit("banking").alias("filter_industry"), F.lit(False).alias("fetch_product_details"),
+        F.lit(None).cast("string").alias("notes"))
+
+
+def event_brands(events: DataFrame, runs: DataFrame) -> DataFrame:
+    """``data_holder_brand``: a run registers every user active that day or the day before."""
+    from ratewatch.operators.joins import join_small
+    days = (events.select(F.to_date("ts").alias("run_date"), "user_id")
+            .union(events.select(F.date_add(F.to_date("ts"), 1).alias("run_date"), "user_id"))
+            .distinct())
+    days = join_small(days, runs.select("run_id", "run_date", "run_started_at"), "run_date")
+    u = F.col("user_id").cast("string")
+    return days.select(
+        "run_id", F.concat(F.lit("user-"), u).alias("data_holder_brand_id"),
+        F.when(F.col("user_id") % 10 == 0, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("User "), u)).alias("brand_name"),
+        F.lit(None).cast("string").alias("brand_group"), F.lit('["banking"]').alias("industries"),
+        F.concat(F.lit("https://user-"), u, F.lit(".example.com")).alias("public_base_uri"),
+        F.when(F.col("user_id") % 3 == 0, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("https://api.user-"), u, F.lit(".example.com/cds"))).alias("product_base_uri"),
+        F.lit(None).cast("string").alias("logo_uri"), F.lit(None).cast("string").alias("last_updated"),
+        F.col("run_started_at").alias("extracted_at"))
+
+
+def _event_fetches(events: DataFrame) -> DataFrame:
+    from ratewatch.functions.jsonpath import json_text
+    from ratewatch.functions.text import error_text, sha256_hex
+    u = F.col("user_id").cast("string")
+    st = _status(F.col("event_type"))
+    k = json_text(F.try_parse_json("props"), "k")
+    payload = F.when(st == 200, _event_payload(F.col("event_type"), k))
+    body = F.when(st == 200, payload).when(st == 500, F.col("props"))
+    return events.select(
+        F.concat(F.lit("run-"), F.date_format(F.to_date("ts"), "yyyy-MM-dd")).alias("run_id"),
+        F.concat(F.lit("user-"), u).alias("provider_id"),
+        F.when(F.col("user_id") % 10 == 0, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("User "), u)).alias("brand_name"),
+        F.when(F.col("event_type") == "signup", F.lit(DETAIL_ENDPOINT))
+         .otherwise(F.lit(PRODUCTS_ENDPOINT)).alias("endpoint"),
+        F.concat(F.lit("https://api.user-"), u, F.lit(".example.com/cds/banking/products?page="),
+                 F.col("event_id").cast("string")).alias("url"),
+        F.col("event_id").alias("page_num"), st.alias("http_status"), F.lit(3).alias("responded_xv"),
+        F.col("ts").cast("timestamp").alias("fetched_at"), F.lit(None).cast("string").alias("etag"),
+        payload.alias("payload"), sha256_hex(body).alias("payload_hash"),
+        error_text(st, body).alias("error"), F.col("event_type"), F.col("value"))
+
+
+def event_call_log(events: DataFrame) -> DataFrame:
+    """``api_call_log``: one call per event."""
+    return _event_fetches(events).select("run_id", "provider_id", "endpoint", "url", "http_status",
+                                         "responded_xv", "fetched_at", "etag", "payload_hash", "error")
+
+
+def event_pages(events: DataFrame) -> DataFrame:
+    """``products_raw``: one listing page per non-signup event (payload only for status 200)."""
+    return _event_fetches(events).filter(F.col("endpoint") == PRODUCTS_ENDPOINT).select(
+        "run_id", "provider_id", "brand_name", "endpoint", "url", "page_num", "http_status",
+        "responded_xv", "fetched_at", "etag", "payload", "payload_hash")
+
+
+def event_dim(events: DataFrame) -> DataFrame:
+    """Product rows of the events domain: latest (provider, event type, day) among OK pages."""
+    from ratewatch.operators.latest import latest_per_key
+    f = _event_fetches(events).filter((F.col("endpoint") == PRODUCTS_ENDPOINT) & (F.col("http_status") == 200))
+    f = f.select("provider_id", "brand_name", F.to_date("fetched_at").alias("as_of_date"),
+                 F.col("event_type").alias("product_id"), "fetched_at", "page_num")
+    return latest_per_key(f, ["provider_id", "product_id", "as_of_date"],
+                          [F.col("fetched_at").desc(), F.col("page_num").desc()],
+                          ["provider_id", "brand_name", "as_of_date", "product_id"])
+
+
+def event_rate_fact(events: DataFrame) -> DataFrame:
+    """Rate-fact rows of the events domain: user x day snapshots, event type as product, value as rate."""
+    f = _event_fetches(events).filter((F.col("endpoint") == PRODUCTS_ENDPOINT) & (F.col("http_status") == 200))
+    return f.select(
+        "provider_id", "brand_name", F.to_date("fetched_at").alias("as_of_date"),
+        F.col("event_type").alias("product_id"), F.col("event_type").alias("product_name"),
+        F.lit(None).cast("string").alias("product_category"), F.lit("deposit").alias("rate_kind"),
+        F.lit("FIXED").alias("rate_type"), F.lit(None).cast("string").alias("tier_name"),
+        F.lit(None).cast("string").alias("tier_unit_of_measure"),
+        F.lit(None).cast("decimal(28,10)").alias("tier_minimum_value"),
+        F.lit(None).cast("decimal(28,10)").alias("tier_maximum_value"),
+        F.col("value").cast("decimal(28,10)").alias("rate"))
