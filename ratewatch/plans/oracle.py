@@ -399,3 +399,123 @@ ORACLE["atomic_groups"] = "WITH " + EVENT_FETCH + """
 SELECT provider_id, CAST(fetched_at AS DATE) AS as_of_date, url, http_status FROM fetches f
 WHERE NOT EXISTS (SELECT 1 FROM fetches g WHERE g.provider_id = f.provider_id
                   AND CAST(g.fetched_at AS DATE) = CAST(f.fetched_at AS DATE) AND g.http_status >= 500)"""
+
+
+# ---- collection bookkeeping -----------------------------------------------------------------
+
+REGISTER_BRANDS = """
+rb AS (
+  SELECT 'run-register' AS run_id,
+         CASE WHEN c_acctbal < -900 THEN '' ELSE 'cust-' || CAST(c_custkey AS VARCHAR) END AS data_holder_brand_id,
+         c_name AS brand_name, CAST(NULL AS VARCHAR) AS brand_group,
+         CASE WHEN c_acctbal >= 0 THEN to_json(['Banking', lower(c_mktsegment)])::VARCHAR
+              ELSE to_json([lower(c_mktsegment)])::VARCHAR END AS industries,
+         'https://cust-' || CAST(c_custkey AS VARCHAR) || '.example.com' AS public_base_uri,
+         CASE WHEN c_acctbal > 5000 THEN 'https://api.cust-' || CAST(c_custkey AS VARCHAR) || '.example.com/cds/'
+              ELSE '' END AS product_base_uri,
+         CAST(NULL AS VARCHAR) AS logo_uri, CAST(NULL AS VARCHAR) AS last_updated,
+         c_acctbal >= 0 AS in_industry, c_acctbal < -900 AS missing_id
+  FROM customer)"""
+
+ORACLE["discover_providers"] = "WITH " + REGISTER_BRANDS + """
+SELECT run_id, data_holder_brand_id, brand_name, brand_group, industries, public_base_uri, product_base_uri,
+       logo_uri, last_updated
+FROM rb WHERE in_industry AND NOT missing_id"""
+
+ORACLE["discovery_counts"] = "WITH " + REGISTER_BRANDS + """
+SELECT run_id, count(*) AS discovered, count(*) FILTER (WHERE NOT missing_id) AS kept,
+       count(*) FILTER (WHERE missing_id) AS skipped_missing_id
+FROM rb WHERE in_industry GROUP BY run_id"""
+
+ORACLE["first_page_requests"] = "WITH " + REGISTER_BRANDS + """
+SELECT run_id, data_holder_brand_id AS provider_id, brand_name, 'banking:get-products' AS endpoint,
+       rtrim(coalesce(nullif(product_base_uri, ''), nullif(public_base_uri, '')), '/') || '/'
+         || 'cds-au/v1/banking/products' AS url, 1 AS page_num
+FROM rb WHERE in_industry AND NOT missing_id
+  AND coalesce(nullif(product_base_uri, ''), nullif(public_base_uri, '')) IS NOT NULL"""
+
+ORACLE["detail_requests"] = "WITH " + PRICING_LINES + """
+SELECT DISTINCT provider_id, product_id, 'banking:get-product-detail' AS endpoint,
+       'https://prov-' || substr(provider_id, 6) || '.example.com/cds-au/v1/banking/products/' || product_id AS url
+FROM pl JOIN supplier ON 'prov-' || CAST(s_suppkey AS VARCHAR) = provider_id"""
+
+ORACLE["version_choice"] = """
+WITH a AS (
+  SELECT 'https://api.user-' || CAST(user_id AS VARCHAR) || '.example.com/cds/' || strftime(CAST(ts AS DATE), '%Y-%m-%d') AS url,
+         event_id AS attempt, CAST(event_id % 3 + 1 AS INTEGER) AS xv,
+         CASE WHEN event_type = 'error' THEN NULL WHEN event_type = 'signup' THEN 406 ELSE 200 END AS st,
+         CASE WHEN event_type = 'click' THEN CAST(CAST(event_id % 3 + 1 AS INTEGER) AS VARCHAR)
+              WHEN event_type = 'view' THEN 'v3' END AS hdr
+  FROM events),
+g AS (
+  SELECT url, count(*) AS attempts,
+         min(attempt) FILTER (WHERE st IS NOT NULL AND st <> 406) AS ok_attempt,
+         max(attempt) FILTER (WHERE st = 406) AS na_attempt,
+         arg_min(xv, attempt) AS preferred
+  FROM a GROUP BY url)
+SELECT g.url, attempts, coalesce(ok_attempt, na_attempt) AS chosen_attempt, c.st AS http_status,
+       CASE WHEN c.attempt IS NOT NULL THEN coalesce(TRY_CAST(c.hdr AS INTEGER),
+            CASE WHEN ok_attempt IS NOT NULL THEN c.xv ELSE preferred END) END AS responded_xv,
+       CASE WHEN ok_attempt IS NOT NULL THEN 'ok' WHEN na_attempt IS NOT NULL THEN 'not_acceptable' ELSE 'failed' END AS outcome
+FROM g LEFT JOIN a c ON c.url = g.url AND c.attempt = coalesce(ok_attempt, na_attempt)"""
+
+ORACLE["call_log"] = "WITH " + EVENT_FETCH + """
+SELECT run_id, provider_id, endpoint, url, http_status, responded_xv, fetched_at, etag, payload_hash, error FROM fetches"""
+
+ORACLE["run_totals"] = "WITH " + PRICING_LINES + """
+SELECT run_id, provider_id, CAST(count(*) AS BIGINT) AS products_listed,
+       count(DISTINCT (l_orderkey, as_of_date)) AS pages
+FROM pl GROUP BY run_id, provider_id"""
+
+# ---- scalar functions -------------------------------------------------------------------------
+
+ORACLE["text_functions"] = """
+WITH d AS (SELECT *, CASE WHEN length(text) <= 4000 THEN text ELSE substr(text, 1, 3997) || '...' END AS clipped
+           FROM documents)
+SELECT doc_id, CASE WHEN length(text) > 0 THEN sha256(text) END AS text_sha256,
+       length(clipped) AS clipped_length, sha256(clipped) AS clipped_sha256,
+       printf('%04d', doc_id) AS page_label,
+       regexp_replace(source || ':' || lang || '/' || substr(text, 1, 40), '[^\\p{L}\\p{N}\\-_.]', '_', 'g') AS safe_name,
+       sha256(coalesce(nullif(substr(text, 1, 500), ''), 'HTTP 500')) AS error_sha256,
+       'HTTP 404' AS error_empty
+FROM d"""
+
+ORACLE["url_functions"] = """
+WITH p AS (SELECT *, regexp_extract(html, 'href="([^"]*)"', 1) AS href,
+                  regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*)', 1) AS origin FROM pages)
+SELECT page_id, regexp_replace(url, '[^\\p{L}\\p{N}\\-_.]', '_', 'g') AS safe_url,
+       CASE WHEN href = '' THEN '' ELSE origin || href END AS next_url,
+       origin || '/cds/banking/products' AS products_url,
+       '/banking/products/' || CAST(page_id AS VARCHAR) AS detail_path
+FROM p"""
+
+ORACLE["safe_casts"] = """
+WITH x AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+         CASE l_linenumber WHEN 1 THEN printf('%.2f', l_extendedprice)
+                           WHEN 2 THEN '+' || CAST(l_linenumber AS VARCHAR)
+                           WHEN 3 THEN CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR) || '%'
+                           WHEN 4 THEN ' ' || CAST(l_linenumber AS VARCHAR)
+                           WHEN 5 THEN '-' || printf('%.2f', l_discount)
+                           WHEN 6 THEN CAST(l_linenumber AS VARCHAR) || 'e-3'
+                           ELSE '' END AS num_text,
+         ['true', 'T', 'on', 'off', 'yes', '0', '', 'maybe', 'OF', ' No '][CAST(l_partkey % 10 + 1 AS INTEGER)] AS bool_text,
+         CASE l_suppkey % 4 WHEN 0 THEN strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') || '+11:00'
+                            WHEN 1 THEN strftime(l_shipdate, '%Y-%m-%d')
+                            WHEN 2 THEN '' ELSE 'garbage' END AS ts_text
+  FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       num_text, CASE WHEN regexp_full_match(num_text, '-?[0-9]+(\\.[0-9]+)?') THEN TRY_CAST(num_text AS DECIMAL(28,10)) END AS num_value,
+       bool_text,
+       CASE WHEN lower(trim(bool_text)) IN ('t', 'tr', 'tru', 'true', 'y', 'ye', 'yes', 'on', '1') THEN true
+            WHEN lower(trim(bool_text)) IN ('f', 'fa', 'fal', 'fals', 'false', 'n', 'no', 'of', 'off', '0') THEN false
+       END AS bool_value,
+       ts_text, CAST(TRY_CAST(nullif(ts_text, '') AS TIMESTAMPTZ) AS TIMESTAMP) AS ts_value
+FROM x"""
+
+ORACLE["json_extract"] = """
+SELECT event_id, json_extract_string(props, '$.k') AS k_text,
+       CASE WHEN regexp_full_match(json_extract_string(props, '$.k'), '-?[0-9]+(\\.[0-9]+)?')
+            THEN TRY_CAST(json_extract_string(props, '$.k') AS DECIMAL(28,10)) END AS k_value,
+       json_extract_string(props, '$.missing') AS missing_text
+FROM events"""

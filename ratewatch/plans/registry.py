@@ -309,3 +309,120 @@ def q_atomic_groups(spark, sf_dir):
     calls = testbed.event_call_log(_events(spark, sf_dir)).withColumn("as_of_date", F.to_date("fetched_at"))
     kept = atomic_groups(calls, ["provider_id", "as_of_date"], F.col("http_status") >= 500)
     return kept.select("provider_id", "as_of_date", "url", "http_status")
+
+
+# ---- collection bookkeeping -----------------------------------------------------------------
+
+def _discovered(spark, sf_dir):
+    from ratewatch.operators.collect import discover_providers
+    return discover_providers(testbed.register_documents(testbed.read(spark, sf_dir, "customer")))
+
+
+BRAND_COLUMNS = ["run_id", "data_holder_brand_id", "brand_name", "brand_group", "industries",
+                 "public_base_uri", "product_base_uri", "logo_uri", "last_updated"]
+
+
+@register("discover_providers")
+def q_discover_providers(spark, sf_dir):
+    from ratewatch.operators.collect import brand_rows
+    return brand_rows(_discovered(spark, sf_dir)).select(*BRAND_COLUMNS)
+
+
+@register("discovery_counts")
+def q_discovery_counts(spark, sf_dir):
+    from ratewatch.operators.collect import discovery_counts
+    return discovery_counts(_discovered(spark, sf_dir), ["run_id"])
+
+
+@register("first_page_requests")
+def q_first_page_requests(spark, sf_dir):
+    from ratewatch.operators.collect import brand_rows, first_page_requests
+    return first_page_requests(brand_rows(_discovered(spark, sf_dir)))
+
+
+@register("detail_requests")
+def q_detail_requests(spark, sf_dir):
+    from ratewatch.operators.collect import detail_requests
+    prods = _models(spark, sf_dir).products
+    return detail_requests(prods, testbed.supplier_brands(testbed.read(spark, sf_dir, "supplier")))
+
+
+@register("version_choice")
+def q_version_choice(spark, sf_dir):
+    from ratewatch.operators.collect import choose_version
+    return choose_version(testbed.event_attempts(_events(spark, sf_dir)))
+
+
+@register("call_log")
+def q_call_log(spark, sf_dir):
+    return testbed.event_call_log(_events(spark, sf_dir))
+
+
+@register("run_totals")
+def q_run_totals(spark, sf_dir):
+    from ratewatch.operators.collect import run_totals
+    return run_totals(testbed.pricing_pages(testbed.read(spark, sf_dir, "lineitem")))
+
+
+# ---- scalar functions on whole tables ------------------------------------------------------
+
+@register("text_functions")
+def q_text_functions(spark, sf_dir):
+    from ratewatch.functions.text import clip_text, error_text, page_label, safe_path_component, sha256_hex
+    d = testbed.read(spark, sf_dir, "documents")
+    clipped = clip_text(F.col("text"), 4000)
+    return d.select(
+        "doc_id", sha256_hex("text").alias("text_sha256"),
+        F.length(clipped).alias("clipped_length"), F.sha2(clipped, 256).alias("clipped_sha256"),
+        page_label("doc_id").alias("page_label"),
+        safe_path_component(F.concat("source", F.lit(":"), "lang", F.lit("/"), F.substring("text", 1, 40)))
+         .alias("safe_name"),
+        F.sha2(error_text(F.lit(500), F.col("text")), 256).alias("error_sha256"),
+        error_text(F.lit(404), F.lit("")).alias("error_empty"))
+
+
+@register("url_functions")
+def q_url_functions(spark, sf_dir):
+    from ratewatch.functions.text import fill_template, resolve_url, safe_path_component, url_join
+    p = testbed.read(spark, sf_dir, "pages")
+    href = F.regexp_extract("html", 'href="([^"]*)"', 1)
+    origin = F.regexp_extract("url", r"\A([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
+    return p.select(
+        "page_id", safe_path_component("url").alias("safe_url"),
+        resolve_url(F.col("url"), href).alias("next_url"),
+        url_join(F.concat(origin, F.lit("/cds/")), F.lit("/banking/products")).alias("products_url"),
+        fill_template(F.lit("/banking/products/{productId}"), F.col("page_id").cast("string")).alias("detail_path"))
+
+
+@register("safe_casts")
+def q_safe_casts(spark, sf_dir):
+    from ratewatch.functions.casting import to_bool_pg, to_numeric, to_timestamptz
+    li = testbed.read(spark, sf_dir, "lineitem")
+    n = F.col("l_linenumber")
+    num_text = (F.when(n == 1, F.format_string("%.2f", F.col("l_extendedprice")))
+                 .when(n == 2, F.concat(F.lit("+"), n.cast("string")))
+                 .when(n == 3, F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit("%")))
+                 .when(n == 4, F.concat(F.lit(" "), n.cast("string")))
+                 .when(n == 5, F.concat(F.lit("-"), F.format_string("%.2f", F.col("l_discount"))))
+                 .when(n == 6, F.format_string("%de-3", n))
+                 .otherwise(F.lit("")))
+    words = F.array(*[F.lit(w) for w in ["true", "T", "on", "off", "yes", "0", "", "maybe", "OF", " No "]])
+    bool_text = F.element_at(words, (F.col("l_partkey") % 10 + 1).cast("int"))
+    s = F.col("l_suppkey") % 4
+    ts_text = (F.when(s == 0, F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'+11:00'"))
+                .when(s == 1, F.date_format("l_shipdate", "yyyy-MM-dd"))
+                .when(s == 2, F.lit("")).otherwise(F.lit("garbage")))
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                     num_text.alias("num_text"), to_numeric(num_text).alias("num_value"),
+                     bool_text.alias("bool_text"), to_bool_pg(bool_text).alias("bool_value"),
+                     ts_text.alias("ts_text"), to_timestamptz(ts_text).alias("ts_value"))
+
+
+@register("json_extract")
+def q_json_extract(spark, sf_dir):
+    from ratewatch.functions.casting import to_numeric
+    from ratewatch.functions.jsonpath import json_text, parse_json_lenient
+    ev = testbed.read(spark, sf_dir, "events")
+    v = parse_json_lenient("props")
+    return ev.select("event_id", json_text(v, "k").alias("k_text"), to_numeric(json_text(v, "k")).alias("k_value"),
+                     json_text(v, "missing").alias("missing_text"))

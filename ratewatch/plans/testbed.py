@@ -228,3 +228,55 @@ def event_rate_fact(events: DataFrame) -> DataFrame:
         F.lit(None).cast("decimal(28,10)").alias("tier_minimum_value"),
         F.lit(None).cast("decimal(28,10)").alias("tier_maximum_value"),
         F.col("value").cast("decimal(28,10)").alias("rate"))
+
+
+# ---- customer -> provider register documents; supplier -> brands --------------------------
+
+REGISTER_RUN_ID = "run-register"
+
+
+def register_documents(customer: DataFrame) -> DataFrame:
+    """Register documents ``{"data": [brand, ...]}``: one per (nation, block of 100 customer keys),
+    brands in key order. Negative balances are outside banking; balances below -900 lack an id."""
+    k = F.col("c_custkey").cast("string")
+    industries = F.when(F.col("c_acctbal") >= 0, F.array(F.lit("Banking"), F.lower("c_mktsegment"))) \
+                  .otherwise(F.array(F.lower("c_mktsegment")))
+    brand = F.struct(
+        F.when(F.col("c_acctbal") < -900, F.lit("")).otherwise(F.concat(F.lit("cust-"), k)).alias("dataHolderBrandId"),
+        F.col("c_name").alias("brandName"),
+        industries.alias("industries"),
+        F.concat(F.lit("https://cust-"), k, F.lit(".example.com")).alias("publicBaseUri"),
+        F.when(F.col("c_acctbal") > 5000, F.concat(F.lit("https://api.cust-"), k, F.lit(".example.com/cds/")))
+         .otherwise(F.lit("")).alias("productBaseUri"),
+    )
+    docs = customer.groupBy("c_nationkey", F.floor(F.col("c_custkey") / 100).alias("_blk")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("c_custkey").alias("k"), brand.alias("b")))).alias("_items"))
+    return docs.select(F.lit(REGISTER_RUN_ID).alias("run_id"), "c_nationkey",
+                       F.to_json(F.struct(F.transform("_items", lambda x: x["b"]).alias("data"))).alias("doc"))
+
+
+def supplier_brands(supplier: DataFrame) -> DataFrame:
+    """Brand rows for the pricing providers (one per supplier)."""
+    k = F.col("s_suppkey").cast("string")
+    return supplier.select(
+        F.lit(REGISTER_RUN_ID).alias("run_id"), F.concat(F.lit("prov-"), k).alias("data_holder_brand_id"),
+        F.concat(F.lit("Brand "), k).alias("brand_name"),
+        F.concat(F.lit("https://www.prov-"), k, F.lit(".example.com")).alias("public_base_uri"),
+        F.concat(F.lit("https://prov-"), k, F.lit(".example.com")).alias("product_base_uri"))
+
+
+def event_attempts(events: DataFrame) -> DataFrame:
+    """Attempt log for version negotiation: one request per user and day, attempts in event order.
+    error -> the attempt raised (no status), signup -> 406, others -> 200. Requested version from
+    the event id; the response header is the version for clicks, a non-number for views."""
+    u = F.col("user_id").cast("string")
+    st = (F.when(F.col("event_type") == "error", F.lit(None).cast("int"))
+           .when(F.col("event_type") == "signup", F.lit(406)).otherwise(F.lit(200)))
+    xv = (F.col("event_id") % 3 + 1).cast("int")
+    header = (F.when(F.col("event_type") == "click", xv.cast("string"))
+               .when(F.col("event_type") == "view", F.lit("v3")))
+    return events.select(
+        F.concat(F.lit("https://api.user-"), u, F.lit(".example.com/cds/"),
+                 F.date_format(F.to_date("ts"), "yyyy-MM-dd")).alias("url"),
+        F.col("event_id").alias("attempt"), xv.alias("xv"), st.alias("http_status"),
+        header.alias("responded_header"))
