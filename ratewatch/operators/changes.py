@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date as _date
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,6 +62,7 @@ def snapshot_changes(
     as_of: _date | None = None,
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     num_partitions: int | None = None,
+    persist: bool = True,
 ) -> DataFrame:
     """Rows that differ between each entity's consecutive snapshots.
 
@@ -81,8 +83,12 @@ def snapshot_changes(
     for k in keys:
         strict_null = strict_null | F.col(k).isNull()
 
-    pairs = snapshot_pairs(df, entity, date, as_of)
+    # The facts feed both the snapshot-date pairs and the diff: project them once and keep them,
+    # so an expensive upstream (e.g. JSON flattening) is computed a single time.
     facts = df.select(entity, date, *keys, *sentinel_keys, value, *carry)
+    if persist:
+        facts = facts.persist(StorageLevel.MEMORY_AND_DISK)
+    pairs = snapshot_pairs(facts, entity, date, as_of)
     facts = join_small(facts, pairs, [entity, date], "inner", broadcast_max_rows)
     facts = facts.select("*", *[e.alias(n) for e, n in zip(norm_exprs, norm)],
                          strict_null.alias("_strict_null"))

@@ -32,7 +32,7 @@ def register(name: str):
 
 
 def _models(spark: SparkSession, sf_dir: str):
-    return build_models(testbed.pricing_pages(testbed.read(spark, sf_dir, "lineitem")))
+    return build_models(testbed.landed_pricing_pages(spark, sf_dir))
 
 
 # ---- staging / silver / gold over lineitem pages -------------------------------------------
@@ -361,7 +361,7 @@ def q_call_log(spark, sf_dir):
 @register("run_totals")
 def q_run_totals(spark, sf_dir):
     from ratewatch.operators.collect import run_totals
-    return run_totals(testbed.pricing_pages(testbed.read(spark, sf_dir, "lineitem")))
+    return run_totals(testbed.landed_pricing_pages(spark, sf_dir))
 
 
 # ---- scalar functions on whole tables ------------------------------------------------------
