@@ -519,3 +519,46 @@ SELECT event_id, json_extract_string(props, '$.k') AS k_text,
             THEN TRY_CAST(json_extract_string(props, '$.k') AS DECIMAL(28,10)) END AS k_value,
        json_extract_string(props, '$.missing') AS missing_text
 FROM events"""
+
+
+ORACLE["page_chain"] = """
+WITH RECURSIVE
+l AS (
+  SELECT 'blk-' || CAST(event_id // 300 AS VARCHAR) AS provider_id,
+         'https://blk-' || CAST(event_id // 300 AS VARCHAR) || '.example.com/cds/banking/products?page='
+           || CAST(event_id AS VARCHAR) AS url,
+         CASE WHEN event_type = 'error' AND value > 250 THEN NULL
+              WHEN event_type = 'signup' AND value > 250 THEN NULL
+              WHEN event_type = 'purchase' AND value > 250
+                THEN 'https://blk-' || CAST(event_id // 300 AS VARCHAR) || '.example.com/cds/banking/products?page='
+                     || CAST((event_id // 300) * 300 AS VARCHAR)
+              WHEN (event_id + 1) // 300 <> event_id // 300 THEN NULL
+              ELSE 'https://blk-' || CAST(event_id // 300 AS VARCHAR) || '.example.com/cds/banking/products?page='
+                   || CAST(event_id + 1 AS VARCHAR) END AS nxt
+  FROM events),
+s AS (SELECT provider_id, url FROM l WHERE url LIKE '%?page=' || CAST(CAST(substr(provider_id, 5) AS BIGINT) * 300 AS VARCHAR)),
+walk(provider_id, p, url, seen, rep) AS (
+  SELECT provider_id, 0, url, [url], false FROM s
+  UNION ALL
+  SELECT w.provider_id, w.p + 1, l.nxt, list_append(w.seen, l.nxt), list_contains(w.seen, l.nxt)
+  FROM walk w JOIN l ON l.provider_id = w.provider_id AND l.url = w.url
+  WHERE NOT w.rep AND w.p < 200 AND l.nxt IS NOT NULL)
+SELECT provider_id, p + 1 AS page_num, url, 'page' AS kind, CAST(NULL AS INTEGER) AS http_status,
+       CAST(NULL AS VARCHAR) AS error
+FROM walk WHERE p < 200 AND NOT rep
+UNION ALL
+SELECT provider_id, p + 1, url, 'audit', 0,
+       CASE WHEN p = 200 THEN 'Pagination limit exceeded (200)' ELSE 'Pagination loop detected from links.next' END
+FROM walk WHERE p = 200 OR rep"""
+
+
+ORACLE["rate_change_markdown"] = """
+SELECT '| ' || concat_ws(' | ', coalesce(brand_name, 'None'), coalesce(nullif(product_name, ''), product_id),
+                         coalesce(product_category, ''),
+                         coalesce(rate_kind, 'None') || '/' || coalesce(rate_type, 'None'), coalesce(tier_name, ''),
+                         coalesce(CAST(previous_rate AS VARCHAR), 'None'), coalesce(CAST(current_rate AS VARCHAR), 'None'),
+                         coalesce(CAST(delta AS VARCHAR), 'None')) || ' |' AS line
+FROM (""" + ORACLE["rate_change_report"] + """) r
+ORDER BY abs(delta) DESC NULLS LAST, provider_id, product_id, rate_kind, rate_type,
+         tier_name NULLS LAST, previous_rate NULLS LAST, current_rate NULLS LAST
+LIMIT 20"""

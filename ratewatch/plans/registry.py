@@ -426,3 +426,19 @@ def q_json_extract(spark, sf_dir):
     v = parse_json_lenient("props")
     return ev.select("event_id", json_text(v, "k").alias("k_text"), to_numeric(json_text(v, "k")).alias("k_value"),
                      json_text(v, "missing").alias("missing_text"))
+
+
+@register("page_chain")
+def q_page_chain(spark, sf_dir):
+    """Pages visited per provider chain plus loop / limit audit rows (cap 200)."""
+    from ratewatch.operators.chain import follow_links
+    starts, links = testbed.event_links(_events(spark, sf_dir))
+    return follow_links(starts, links)
+
+
+@register("rate_change_markdown")
+def q_rate_change_markdown(spark, sf_dir):
+    """Markdown table rows of the top 20 changes in the summary report."""
+    from ratewatch.plans.reports import rate_change_table_lines
+    rep = rate_change_report(_models(spark, sf_dir).fct_product_rates, REPORT_DATE)
+    return rate_change_table_lines(rep, 20).select("line")

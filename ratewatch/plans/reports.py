@@ -61,3 +61,85 @@ def drift_report(events: DataFrame, report_date: date, limit: int = 50) -> DataF
                   .orderBy(F.col("observed_at").desc(), F.col("provider_id").asc(), F.col("endpoint").asc(),
                            F.col("new_fingerprint_hash").asc())
                   .limit(limit).select(*DRIFT_REPORT_COLUMNS))
+
+
+# ---- writers ---------------------------------------------------------------------------------
+
+def write_csv(df: DataFrame, path: str) -> bool:
+    """CSV with a header, written only if there are rows. Quotes are doubled inside quoted
+    fields and NULL is an empty field. Reports are small, so one file is written."""
+    if df.limit(1).count() == 0:
+        return False
+    (df.coalesce(1).write.mode("overwrite").option("header", True).option("emptyValue", "")
+       .option("escape", '"').csv(path))
+    return True
+
+
+def _text(c: str) -> F.Column:
+    """Value as Python would print it in the summary (NULL -> 'None')."""
+    return F.coalesce(F.col(c).cast("string"), F.lit("None"))
+
+
+def rate_change_table_lines(report: DataFrame, n: int = 20) -> DataFrame:
+    """Markdown rows of the top ``n`` rate changes: brand, product (name else id), category,
+    kind/type, tier, previous, current, delta. ``report`` must already be in report order."""
+    top = report.limit(n)
+    line = F.concat_ws(" | ", _text("brand_name"),
+                       F.coalesce(F.when(F.col("product_name") != "", F.col("product_name")), F.col("product_id")),
+                       F.coalesce(F.col("product_category"), F.lit("")),
+                       F.concat(_text("rate_kind"), F.lit("/"), _text("rate_type")),
+                       F.coalesce(F.col("tier_name"), F.lit("")),
+                       _text("previous_rate"), _text("current_rate"), _text("delta"))
+    return top.select(F.concat(F.lit("| "), line, F.lit(" |")).alias("line"),
+                      "provider_id", "product_id", "rate_kind", "rate_type", "tier_name")
+
+
+def pipeline_summary_lines(report_date: date, notes: list[str], coverage_counts: DataFrame | None,
+                           change_lines: DataFrame | None, drift: DataFrame | None) -> list:
+    """Markdown lines of the pipeline summary, built from small, already-aggregated frames."""
+    out = [f"# Pipeline summary — {report_date.isoformat()}", ""]
+    if notes:
+        out += ["## Notes", ""] + [f"- {n}" for n in notes] + [""]
+    if coverage_counts is not None:
+        c = coverage_counts.first()
+        if c and c["providers_discovered"]:
+            out += ["## Coverage", "", f"- Providers discovered: **{c['providers_discovered']}**",
+                    f"- Providers with OK product fetch: **{c['providers_ok']}**", ""]
+    if change_lines is not None:
+        rows = [r["line"] for r in change_lines.collect()]  # at most 20 rows
+        if rows:
+            out += ["## Top rate changes (max 20)", "",
+                    "| Brand | Product | Category | Rate type | Tier | Previous | Current | Δ |",
+                    "|---|---|---|---|---:|---:|---:|---:|"] + rows + [""]
+    if drift is not None:
+        rows = drift.limit(10).collect()
+        if rows:
+            out += ["## Schema drift events (last 10)", ""] + [
+                f"- {r['observed_at'].isoformat()} — provider={r['provider_id']} endpoint={r['endpoint']} "
+                f"old={r['old_fingerprint_hash']} new={r['new_fingerprint_hash']}" for r in rows] + [""]
+    return out
+
+
+def qa_summary_lines(qa_date: date, qa_run_id: str, gates: DataFrame, tests_ran: bool = False,
+                     tests_command: str | None = None) -> list:
+    """Markdown lines of the QA summary (gates are a handful of rows)."""
+    g = gates.collect()
+    failed = [r for r in g if not r["passed"]]
+    tests = next((r for r in g if r["gate_name"] == "dbt_tests"), None)
+    out = [f"# QA summary - {qa_date.isoformat()}", "", f"- Status: **{'PASS' if not failed else 'FAIL'}**",
+           f"- QA run id: `{qa_run_id}`",
+           f"- dbt tests: **{'PASS' if (tests is None or tests['passed']) else 'FAIL'}**"
+           + (f" (`{tests_command}`)" if tests_ran else " (skipped)"), "",
+           "| Gate | Passed | Actual | Threshold | Details |", "|---|---|---:|---:|---|"]
+    for r in g:
+        a = "" if r["actual_value"] is None else str(r["actual_value"])
+        t = "" if r["threshold_value"] is None else str(r["threshold_value"])
+        out.append(f"| {r['gate_name']} | {'yes' if r['passed'] else 'no'} | {a} | {t} | {r['details']} |")
+    return out
+
+
+def write_lines(spark, lines: list, path: str) -> None:
+    """Write a small report (a few dozen lines) as one text file through Spark, so the target can
+    be any filesystem the cluster writes to."""
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, line string")
+    df.coalesce(1).sortWithinPartitions("i").select("line").write.mode("overwrite").text(path)

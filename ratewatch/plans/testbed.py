@@ -312,3 +312,36 @@ def event_attempts(events: DataFrame) -> DataFrame:
                  F.date_format(F.to_date("ts"), "yyyy-MM-dd")).alias("url"),
         F.col("event_id").alias("attempt"), xv.alias("xv"), st.alias("http_status"),
         header.alias("responded_header"))
+
+
+# ---- events -> linked page chains ------------------------------------------------------------
+
+CHAIN_BLOCK = 300
+CHAIN_STOP_VALUE = 250
+
+
+def event_links(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(starts, links): blocks of 300 consecutive event ids form one provider's page chain.
+
+    Each page links to the next event id of its block (the last page has no link). Above value
+    250, a signup page has no next link, a purchase page links back to the block's first page
+    (a loop) and an error page is a failed fetch (status 500).
+    """
+    blk = F.floor(F.col("event_id") / CHAIN_BLOCK)
+    prov = F.concat(F.lit("blk-"), blk.cast("string"))
+
+    def page_url(eid):
+        return F.concat(F.lit("https://"), prov, F.lit(".example.com/cds/banking/products?page="), eid.cast("string"))
+
+    hi = F.col("value") > CHAIN_STOP_VALUE
+    last = F.floor((F.col("event_id") + 1) / CHAIN_BLOCK) != blk
+    nxt = (F.when((F.col("event_type") == "signup") & hi, F.lit(""))
+            .when((F.col("event_type") == "purchase") & hi, page_url(blk * CHAIN_BLOCK))
+            .when(last, F.lit(""))
+            .otherwise(page_url(F.col("event_id") + 1)))
+    usable = ~((F.col("event_type") == "error") & hi)
+    links = events.select(prov.alias("provider_id"), page_url(F.col("event_id")).alias("url"),
+                          nxt.alias("next_url"), usable.alias("usable"))
+    starts = (events.filter(F.col("event_id") % CHAIN_BLOCK == 0)
+              .select(prov.alias("provider_id"), page_url(F.col("event_id")).alias("url")))
+    return starts, links
