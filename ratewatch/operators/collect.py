@@ -133,3 +133,10 @@ def call_log_rows(responses: DataFrame, body: str = "body") -> DataFrame:
     return responses.select("*", sha256_hex(F.col(body)).alias("payload_hash"),
                             error_text(F.col("http_status"), F.col(body)).alias("error"))
 
+
+
+def limit_providers(brands: DataFrame, n: int | None, order: tuple[str, ...] = ("register_pos",)) -> DataFrame:
+    """The first ``n`` providers in register order (all of them when ``n`` is empty or <= 0)."""
+    if not n or n <= 0:
+        return brands
+    return brands.orderBy(*order).limit(n)

@@ -562,3 +562,27 @@ FROM (""" + ORACLE["rate_change_report"] + """) r
 ORDER BY abs(delta) DESC NULLS LAST, provider_id, product_id, rate_kind, rate_type,
          tier_name NULLS LAST, previous_rate NULLS LAST, current_rate NULLS LAST
 LIMIT 20"""
+
+
+def _table_checks_sql() -> str:
+    from ratewatch.schemas import TABLES
+    srcs = {"products_raw": "pages", "api_call_log": "fetches", "pipeline_run": "runs_full",
+            "data_holder_brand": "brands_full"}
+    parts = []
+    for name, src in srcs.items():
+        t = TABLES[name]
+        key = ", ".join(t.key)
+        parts.append(f"SELECT '{name}' AS table_name, 'unique' AS \"check\", '{','.join(t.key)}' AS column_or_key, "
+                     f"(SELECT count(*) FROM (SELECT {key} FROM {src} GROUP BY {key} HAVING count(*) > 1) q) AS failing_rows")
+        for c in t.not_null:
+            parts.append(f"SELECT '{name}', 'not_null', '{c}', (SELECT count(*) FROM {src} WHERE {c} IS NULL)")
+    return "WITH " + EVENT_FETCH + """,
+runs_full AS (SELECT *, 'banking' AS register_industry, 'banking' AS filter_industry,
+                     false AS fetch_product_details FROM runs),
+brands_full AS (
+  SELECT r.run_id, 'user-' || CAST(u.user_id AS VARCHAR) AS data_holder_brand_id, r.run_started_at AS extracted_at
+  FROM (SELECT d AS run_date, user_id FROM ev UNION SELECT d + 1, user_id FROM ev) u JOIN runs r USING (run_date))
+""" + "\nUNION ALL\n".join(parts)
+
+
+ORACLE["table_checks"] = _table_checks_sql()

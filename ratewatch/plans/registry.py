@@ -176,37 +176,19 @@ def q_drift_report(spark, sf_dir):
 def _qa_gates(spark, sf_dir):
     from ratewatch.operators import quality as Q
     from ratewatch.operators.changes import rate_changes
-    from ratewatch.operators.coverage import provider_ok
     from ratewatch.operators.drift import drift_events
+    from ratewatch.plans.qa import run_qa
     ev = _events(spark, sf_dir)
     cov = _coverage(spark, sf_dir)
     dim = testbed.event_dim(ev)
-    d = F.lit(QA_DATE)
-    gates = [
-        Q.gate_from(spark, "providers_ok",
-                    lambda: Q.count_metric(cov.filter((F.col("as_of_date") == d) & provider_ok(cov))),
-                    Q.DEFAULT_MIN_PROVIDERS_OK),
-        Q.gate_from(spark, "dim_products_rows",
-                    lambda: Q.count_metric(dim.filter(F.col("as_of_date") == d)), Q.DEFAULT_MIN_PRODUCTS),
-        Q.gate_from(spark, "rate_changes_rows",
-                    lambda: Q.count_metric(rate_changes(testbed.event_rate_fact(ev), as_of=QA_DATE)
-                                           .filter(F.col("current_as_of_date") == d)),
-                    Q.DEFAULT_MIN_RATE_CHANGES),
-        Q.gate_from(spark, "products_freshness_hours",
-                    lambda: Q.freshness_metric(testbed.event_pages(ev), QA_DATE),
-                    Q.DEFAULT_MAX_FRESHNESS_HOURS, kind="max", unit="h"),
-        Q.drift_gate(Q.count_metric(drift_events(_fingerprints(spark, sf_dir))
-                                    .filter(F.to_date("observed_at") == d))),
-        Q.tests_gate(spark, [
-            Q.unique_combo(dim, ["provider_id", "product_id", "as_of_date"]),
-            Q.not_null(dim, ["provider_id", "product_id", "as_of_date"]).filter(F.col("null_rows") > 0),
-            Q.unique_combo(cov, ["as_of_date", "provider_id"]),
-        ]),
-    ]
-    out = gates[0]
-    for g in gates[1:]:
-        out = out.unionByName(g)
-    return out
+    return run_qa(
+        spark, QA_DATE, coverage=cov, dim_products=dim,
+        rate_changes=lambda: rate_changes(testbed.event_rate_fact(ev), as_of=QA_DATE),
+        pages=lambda: testbed.event_pages(ev),
+        drift_events=lambda: drift_events(_fingerprints(spark, sf_dir)),
+        tests=[Q.unique_combo(dim, ["provider_id", "product_id", "as_of_date"]),
+               Q.not_null(dim, ["provider_id", "product_id", "as_of_date"]).filter(F.col("null_rows") > 0),
+               Q.unique_combo(cov, ["as_of_date", "provider_id"])])
 
 
 @register("qa_gates")
@@ -442,3 +424,17 @@ def q_rate_change_markdown(spark, sf_dir):
     from ratewatch.plans.reports import rate_change_table_lines
     rep = rate_change_report(_models(spark, sf_dir).fct_product_rates, REPORT_DATE)
     return rate_change_table_lines(rep, 20).select("line")
+
+
+@register("table_checks")
+def q_table_checks(spark, sf_dir):
+    """Declared keys and NOT NULL columns of the page, call-log, run and brand tables (DDL contract)."""
+    from ratewatch.operators.quality import table_checks
+    ev = _events(spark, sf_dir)
+    runs = testbed.event_runs(ev)
+    out = None
+    for df, spec in ((testbed.event_pages(ev), "products_raw"), (testbed.event_call_log(ev), "api_call_log"),
+                     (runs, "pipeline_run"), (testbed.event_brands(ev, runs), "data_holder_brand")):
+        c = table_checks(df, spec)
+        out = c if out is None else out.unionByName(c)
+    return out

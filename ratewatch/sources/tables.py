@@ -37,3 +37,12 @@ def create_tables_sql(database: str) -> list[str]:
                          for f in t.schema.fields)
         out.append(f"CREATE TABLE IF NOT EXISTS {database}.{t.name} ({cols}) USING parquet")
     return out
+
+
+def write_table(df: DataFrame, path: str, spec: TableSpec | str, mode: str = "append",
+                partition_by: Sequence[str] = ()) -> None:
+    """Append (or overwrite) rows conformed to the declared schema of ``spec``."""
+    w = conform(df, spec).write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
