@@ -121,7 +121,7 @@ QUALIFY row_number() OVER (PARTITION BY provider_id, product_id, as_of_date
 def snapshot_diff_sql(src: str, entity: str, date: str, strict: list[str], sentinel: dict[str, str],
                       value: str, carry: list[str], names: dict[str, str], where_current: str = "") -> str:
     """Snapshot diff in plain SQL: distinct values per key and snapshot, ranked, paired by rank
-    with a full outer join (the reference formulation of the operator's semantics)."""
+    with a full outer join (a plain-SQL statement of the same semantics)."""
     keys_norm = [f"{k}" for k in strict] + [f"coalesce({k}, {s}) AS _n_{k}" for k, s in sentinel.items()]
     part = [entity, *strict, *[f"_n_{k}" for k in sentinel]]
     pick_order = ", ".join(f"{c} ASC NULLS LAST" for c in carry + list(sentinel))
