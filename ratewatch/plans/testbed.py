@@ -72,7 +72,7 @@ def _rate_array(type_field: str) -> Column:
 TESTBED_VERSION = "v1"
 
 
-def landed_pricing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landed_pricing_pages(spark: SparkSession, sf_dir: str, namespace: str | None = None) -> DataFrame:
     """``products_raw`` for ``sf_dir``, landed once as parquet in the shared checkpoint folder.
 
     In the pipeline the page table is at rest before any model runs; landing the packed pages
@@ -84,8 +84,15 @@ def landed_pricing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.errors import AnalysisException
 
     from ratewatch.session import checkpoint_dir
-    key = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
-    path = f"{checkpoint_dir(spark).rstrip('/')}/landed/{TESTBED_VERSION}/{key}/products_raw"
+    import os
+    src = f"{sf_dir}/lineitem.parquet"
+    ident = sf_dir
+    if os.path.exists(src):  # a changed input gets a new landed copy
+        st = os.stat(src)
+        ident = f"{sf_dir}|{st.st_size}|{st.st_mtime_ns}"
+    key = hashlib.sha1(ident.encode()).hexdigest()[:16]
+    ns = namespace or os.environ.get("RATEWATCH_LANDING_NAMESPACE", "shared")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/landed/{TESTBED_VERSION}/{ns}/{key}/products_raw"
     try:
         return spark.read.parquet(path)
     except AnalysisException:
