@@ -12,11 +12,12 @@ repeated many times (re-runs of the same day, several rates under one key) canno
 output. When keys are unique per snapshot (the mart's declared contract) this equals a full
 outer join on the keys.
 
-Plan shape (one shuffle of the fact rows):
+Plan shape (one shuffle of the fact rows, no aggregate):
   distinct (entity, date) -> lag/lead per entity -> size-checked broadcast join onto the facts
   -> hash-partition by (entity, keys) -> rank values per (entity, keys, date) with a window
-  -> tag each row as "current of (date, prev)" and "previous of (next, date)"
-  -> group by (entity, keys, current, previous, rank)   [same partitioning: no new exchange]
+  -> lag/lead of the same-rank row per (entity, keys, rank) ordered by date; a neighbour is a
+     match only if its date is the entity's previous / next snapshot date
+  -> each row emits "changed/added" as current and "removed" as previous  [no new exchange]
 """
 
 from __future__ import annotations
@@ -105,27 +106,43 @@ def snapshot_changes(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     facts = facts.filter("_first")
 
-    roles = F.filter(
-        F.array(
-            F.struct(F.lit(True).alias("is_cur"), F.col(date).alias("cur"), F.col("_prev").alias("prv")),
-            F.struct(F.lit(False).alias("is_cur"), F.col("_next").alias("cur"), F.col(date).alias("prv"))),
-        lambda r: r["cur"].isNotNull() & r["prv"].isNotNull())
-    tagged = facts.select("*", F.explode(roles).alias("_role"))
-    # A row with a NULL strict key never matches: keep its side in the grouping key.
-    tagged = tagged.withColumn("_side", F.when(F.col("_strict_null"), F.col("_role.is_cur")))
-
-    is_cur = F.col("_role.is_cur")
-
-    def side(c, cur: bool):
-        return F.max(F.when(is_cur if cur else ~is_cur, F.col(c)))
-
+    # Pair each row with the same-rank row of the neighbouring snapshots of its key. Both windows
+    # below are partitioned within (entity, keys): no further exchange, only sorts.
+    w2 = Window.partitionBy(*part_cols, "_rank").orderBy(date)
     out_cols = [*keys, *sentinel_keys, *carry]
-    agg = tagged.groupBy(*part_cols, F.col("_role.cur").alias(cd_name), F.col("_role.prv").alias(pd_name),
-                         "_rank", "_side").agg(
-        side(value, False).alias(pv_name), side(value, True).alias(cv_name),
-        *[F.coalesce(side(c, True), side(c, False)).alias(c) for c in out_cols])
-    agg = agg.filter(~F.col(pv_name).eqNullSafe(F.col(cv_name)))
-    return agg.select(entity, *out_cols, pd_name, cd_name, pv_name, cv_name)
+    row = F.struct(F.col(date).alias("d"), F.col(value).alias("v"), *[F.col(c).alias(c) for c in out_cols])
+    facts = facts.withColumn("_lag", F.lag(row).over(w2)).withColumn("_lead", F.lead(row).over(w2))
+    ok = ~F.col("_strict_null")
+    matched_prev = ok & F.coalesce(F.col("_lag.d") == F.col("_prev"), F.lit(False))
+    matched_next = ok & F.coalesce(F.col("_lead.d") == F.col("_next"), F.lit(False))
+
+    def emit(cond, cur_date, prv_date, prv_val, cur_val, cur_src, prv_src):
+        return F.when(cond, F.struct(
+            cur_date.alias(cd_name), prv_date.alias(pd_name), prv_val.alias(pv_name), cur_val.alias(cv_name),
+            *[F.coalesce(cur_src(c), prv_src(c)).alias(c) for c in out_cols]))
+
+    def own(c):
+        return F.col(c)
+
+    def lagged(c):
+        return F.col(f"_lag.{c}")
+
+    def none(c):
+        return F.lit(None).cast(facts.schema[c].dataType)
+
+    null_v = F.lit(None).cast(facts.schema[value].dataType)
+    # as current snapshot: changed (matched, value differs) or added (no match in the previous one)
+    as_current = emit(F.col("_prev").isNotNull() & (~matched_prev | ~F.col(value).eqNullSafe(F.col("_lag.v"))),
+                      F.col(date), F.col("_prev"), F.when(matched_prev, F.col("_lag.v")).otherwise(null_v),
+                      F.col(value), own, lambda c: F.when(matched_prev, lagged(c)).otherwise(none(c)))
+    # as previous snapshot: removed (no match in the next one)
+    as_previous = emit(F.col("_next").isNotNull() & ~matched_next,
+                       F.col("_next"), F.col(date), F.col(value), null_v, none, own)
+    out = facts.select(entity, F.explode(F.filter(F.array(as_current, as_previous),
+                                                  lambda x: x.isNotNull())).alias("_o"))
+    out = out.select(entity, "_o.*")
+    out = out.filter(~F.col(pv_name).eqNullSafe(F.col(cv_name)))
+    return out.select(entity, *out_cols, pd_name, cd_name, pv_name, cv_name)
 
 
 # The pricing mart: keys and output names of ``mart_rate_changes``.
