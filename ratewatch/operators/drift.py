@@ -31,18 +31,23 @@ def _as_array(node: Column) -> Column:
     return F.try_variant_get(node, "$", "array<variant>")
 
 
-def _emitted(n: Column) -> Column:
-    keys = F.transform(F.coalesce(F.map_keys(_as_map(n["node"])), F.array().cast("array<string>")),
-                       lambda k: _child_path(n["path"], k))
-    arr = F.when(_as_array(n["node"]).isNotNull(), F.array(F.concat(n["path"], F.lit("[]"))))
+def _info(n: Column) -> Column:
+    """A node with its object view (map) and array view, each converted once."""
+    return F.struct(n["path"].alias("path"), _as_map(n["node"]).alias("m"), _as_array(n["node"]).alias("a"))
+
+
+def _emitted(i: Column) -> Column:
+    keys = F.transform(F.coalesce(F.map_keys(i["m"]), F.array().cast("array<string>")),
+                       lambda k: _child_path(i["path"], k))
+    arr = F.when(i["a"].isNotNull(), F.array(F.concat(i["path"], F.lit("[]"))))
     return F.concat(keys, F.coalesce(arr, F.array().cast("array<string>")))
 
 
-def _children(n: Column, max_elems: int) -> Column:
-    obj = F.transform(F.map_entries(_as_map(n["node"])),
-                      lambda e: F.struct(_child_path(n["path"], e["key"]).alias("path"), e["value"].alias("node")))
-    arr = F.transform(F.slice(_as_array(n["node"]), 1, max_elems),
-                      lambda x: F.struct(F.concat(n["path"], F.lit("[]")).alias("path"), x.alias("node")))
+def _children(i: Column, max_elems: int) -> Column:
+    obj = F.transform(F.map_entries(i["m"]),
+                      lambda e: F.struct(_child_path(i["path"], e["key"]).alias("path"), e["value"].alias("node")))
+    arr = F.transform(F.slice(i["a"], 1, max_elems),
+                      lambda x: F.struct(F.concat(i["path"], F.lit("[]")).alias("path"), x.alias("node")))
     empty = F.array().cast(_EMPTY_NODES)
     return F.concat(F.coalesce(obj, empty), F.coalesce(arr, empty))
 
@@ -54,9 +59,10 @@ def with_fingerprint(df: DataFrame, payload: str, max_depth: int = 4, max_elems:
     x = df.withColumn("_lvl", F.array(F.struct(F.lit("").alias("path"), as_variant(df, payload).alias("node"))))
     x = x.withColumn("_paths", F.array().cast("array<string>"))
     for depth in range(max_depth + 1):
-        x = x.withColumn("_paths", F.concat("_paths", F.flatten(F.transform("_lvl", _emitted))))
+        x = x.withColumn("_info", F.transform("_lvl", _info))
+        x = x.withColumn("_paths", F.concat("_paths", F.flatten(F.transform("_info", _emitted))))
         if depth < max_depth:
-            x = x.withColumn("_lvl", F.flatten(F.transform("_lvl", lambda n: _children(n, max_elems))))
+            x = x.withColumn("_lvl", F.flatten(F.transform("_info", lambda i: _children(i, max_elems))))
     paths = F.array_sort(F.array_distinct("_paths"))
     x = x.withColumn(paths_col, paths)
     x = x.withColumn(hash_col, F.sha2(F.array_join(F.col(paths_col), "\n"), 256))
