@@ -64,6 +64,7 @@ def snapshot_changes(
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     num_partitions: int | None = None,
     persist: bool = True,
+    dedupe_before_shuffle: bool = True,
 ) -> DataFrame:
     """Rows that differ between each entity's consecutive snapshots.
 
@@ -93,6 +94,12 @@ def snapshot_changes(
     facts = join_small(facts, pairs, [entity, date], "inner", broadcast_max_rows)
     facts = facts.select("*", *[e.alias(n) for e, n in zip(norm_exprs, norm)],
                          strict_null.alias("_strict_null"))
+    if dedupe_before_shuffle:
+        # Collapse identical fact rows map-side (a keys-only hash aggregate with partial
+        # aggregation), so a row repeated millions of times (re-runs, duplicated quotes) costs one
+        # row per task in the shuffle. Equal values with different descriptions stay for the
+        # ranking window, which keeps the smallest description.
+        facts = facts.distinct()
     part_cols = [entity, *norm]
     facts = (facts.repartition(num_partitions, *part_cols) if num_partitions
              else facts.repartition(*part_cols))
