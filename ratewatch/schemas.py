@@ -1,8 +1,8 @@
 """Declared table schemas, primary keys and NOT NULL columns (the pipeline's storage contract).
 
 Types follow the declared DDL: uuid/text -> string, int -> int, timestamptz -> timestamp (UTC
-session), jsonb -> string holding JSON text at rest (parsed to VARIANT on read), numeric ->
-decimal(28,10). ``page_num`` is widened to bigint so page numbers derived from large keys fit.
+session), jsonb payloads -> VARIANT (parsed binary JSON at rest; readers also accept JSON text),
+other jsonb columns -> JSON text, numeric -> decimal(28,10). ``page_num`` is widened to bigint so page numbers derived from large keys fit.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ def _st(*cols: tuple[str, T.DataType, bool]) -> T.StructType:
     return T.StructType([T.StructField(n, t, nullable) for n, t, nullable in cols])
 
 
-S, I, L, B, D, TS, DT = (T.StringType(), T.IntegerType(), T.LongType(), T.BooleanType(),
-                         T.DoubleType(), T.TimestampType(), T.DateType())
+S, I, L, B, D, TS, DT, V = (T.StringType(), T.IntegerType(), T.LongType(), T.BooleanType(),
+                            T.DoubleType(), T.TimestampType(), T.DateType(), T.VariantType())
 
 PIPELINE_RUN = TableSpec(
     "pipeline_run",
@@ -75,7 +75,7 @@ PRODUCTS_RAW = TableSpec(
     "products_raw",
     _st(("run_id", S, False), ("provider_id", S, False), ("brand_name", S, True), ("endpoint", S, False),
         ("url", S, False), ("page_num", L, False), ("http_status", I, False), ("responded_xv", I, True),
-        ("fetched_at", TS, False), ("etag", S, True), ("payload", S, True), ("payload_hash", S, True)),
+        ("fetched_at", TS, False), ("etag", S, True), ("payload", V, True), ("payload_hash", S, True)),
     key=("run_id", "provider_id", "endpoint", "page_num"), run_fk="run_id",
 )
 
@@ -83,7 +83,7 @@ PRODUCT_DETAIL_RAW = TableSpec(
     "product_detail_raw",
     _st(("run_id", S, False), ("provider_id", S, False), ("brand_name", S, True), ("product_id", S, False),
         ("url", S, False), ("http_status", I, False), ("responded_xv", I, True), ("fetched_at", TS, False),
-        ("etag", S, True), ("payload", S, True), ("payload_hash", S, True)),
+        ("etag", S, True), ("payload", V, True), ("payload_hash", S, True)),
     key=("run_id", "provider_id", "product_id"), run_fk="run_id",
 )
 

@@ -17,8 +17,15 @@ def resolve_relation(spark: SparkSession, candidates: Sequence[str]) -> str | No
 
 def conform(df: DataFrame, spec: TableSpec | str) -> DataFrame:
     """Select and cast ``df`` to the declared schema of ``spec`` (column order included)."""
+    from pyspark.sql.types import StringType, VariantType
     spec = TABLES[spec] if isinstance(spec, str) else spec
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
+
+    def one(f):
+        src = df.schema[f.name].dataType
+        if isinstance(f.dataType, VariantType) and isinstance(src, StringType):
+            return F.try_parse_json(F.col(f.name)).alias(f.name)  # JSON text -> parsed payload
+        return F.col(f.name).cast(f.dataType).alias(f.name)
+    return df.select(*[one(f) for f in spec.schema.fields])
 
 
 def read_table(spark: SparkSession, path_or_name: str, spec: TableSpec | str) -> DataFrame:
