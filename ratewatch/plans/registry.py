@@ -177,15 +177,21 @@ def _qa_gates(spark, sf_dir):
     from ratewatch.operators import quality as Q
     from ratewatch.operators.changes import rate_changes
     from ratewatch.operators.drift import drift_events
+    from ratewatch.operators.drift import fingerprints
+    from ratewatch.operators.coverage import provider_coverage
     from ratewatch.plans.qa import run_qa
-    ev = _events(spark, sf_dir)
-    cov = _coverage(spark, sf_dir)
+    # the six gates read the same inputs: keep the fetch rows once instead of recomputing them
+    ev = _events(spark, sf_dir).persist()
+    runs = testbed.event_runs(ev)
+    pages = testbed.event_pages(ev)
+    cov = provider_coverage(runs, testbed.event_brands(ev, runs), testbed.event_call_log(ev), pages,
+                            testbed.event_dim(ev))
     dim = testbed.event_dim(ev)
     return run_qa(
         spark, QA_DATE, coverage=cov, dim_products=dim,
         rate_changes=lambda: rate_changes(testbed.event_rate_fact(ev), as_of=QA_DATE),
-        pages=lambda: testbed.event_pages(ev),
-        drift_events=lambda: drift_events(_fingerprints(spark, sf_dir)),
+        pages=pages,
+        drift_events=lambda: drift_events(fingerprints(pages)),
         tests=[Q.unique_combo(dim, ["provider_id", "product_id", "as_of_date"]),
                Q.not_null(dim, ["provider_id", "product_id", "as_of_date"]).filter(F.col("null_rows") > 0),
                Q.unique_combo(cov, ["as_of_date", "provider_id"])])
