@@ -68,3 +68,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict:
+    """Shuffle sizing for a large cluster run.
+
+    The initial shuffle partition count covers the larger of the input size / target partition
+    size and twice the cores, so no reducer starts with more than ~128 MB per input byte read;
+    AQE then coalesces small partitions toward the advisory size (size first, not parallelism
+    first) and splits skewed join partitions. Example: 100 TB on 1000 executors x 8 cores ->
+    800k initial partitions, coalesced at run time.
+    """
+    initial = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
