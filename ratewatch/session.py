@@ -77,7 +77,7 @@ def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes:
     size and twice the cores, so no reducer starts with more than ~128 MB per input byte read;
     AQE then coalesces small partitions toward the advisory size (size first, not parallelism
     first) and splits skewed join partitions. Example: 100 TB on 1000 executors x 8 cores ->
-    800k initial partitions, coalesced at run time.
+    ~750k initial partitions, coalesced at run time.
     """
     initial = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
