@@ -60,3 +60,21 @@ def test_stream_ingest(spark):
     fps = spark.read.parquet(f"{out}/schema_fingerprint")
     assert fps.count() == 2
     assert fps.select(F.countDistinct("fingerprint_hash")).first()[0] == 2
+
+
+def test_landing_joined_to_call_log(spark):
+    import hashlib
+    root = tempfile.mkdtemp(prefix="landing-")
+    src = _pages(spark)
+    write_landing(src, root)
+    body = json.dumps({"data": {"products": [{"productId": "a"}]}, "links": {"next": ""}})
+    log = spark.createDataFrame(
+        [("run-1", "prov 1", "banking:get-products", "https://x/p1", 200, 3, dt.datetime(2026, 2, 10, 1), None,
+          hashlib.sha256(body.encode()).hexdigest())],
+        "run_id string, provider_id string, endpoint string, url string, http_status int, responded_xv int, "
+        "fetched_at timestamp, etag string, payload_hash string")
+    rows = landing_to_pages(read_landing(spark, root), call_log=log).collect()
+    hit = [r for r in rows if r.run_id == "run-1"]
+    assert len(hit) == 1 and hit[0].provider_id == "prov 1" and hit[0].endpoint == "banking:get-products"
+    assert hit[0].url == "https://x/p1" and hit[0].page_num == 1
+    assert sum(1 for r in rows if r.run_id is None) == 2
