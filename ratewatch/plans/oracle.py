@@ -475,7 +475,7 @@ WITH d AS (SELECT *, CASE WHEN length(text) <= 4000 THEN text ELSE substr(text,
 SELECT doc_id, CASE WHEN length(text) > 0 THEN sha256(text) END AS text_sha256,
        length(clipped) AS clipped_length, sha256(clipped) AS clipped_sha256,
        printf('%04d', doc_id) AS page_label,
-       regexp_replace(source || ':' || lang || '/' || substr(text, 1, 40), '[^\\p{L}\\p{N}\\-_.]', '_', 'g') AS safe_name,
+       sha256(regexp_replace(source || ':' || lang || '/' || text, '[^\\p{L}\\p{N}\\-_.]', '_', 'g')) AS safe_name_sha256,
        sha256(coalesce(nullif(substr(text, 1, 500), ''), 'HTTP 500')) AS error_sha256,
        'HTTP 404' AS error_empty
 FROM d"""
@@ -536,7 +536,10 @@ l AS (
               ELSE 'https://blk-' || CAST(event_id // 300 AS VARCHAR) || '.example.com/cds/banking/products?page='
                    || CAST(event_id + 1 AS VARCHAR) END AS nxt
   FROM events),
-s AS (SELECT provider_id, url FROM l WHERE url LIKE '%?page=' || CAST(CAST(substr(provider_id, 5) AS BIGINT) * 300 AS VARCHAR)),
+s AS (SELECT 'blk-' || CAST(event_id // 300 AS VARCHAR) AS provider_id,
+             'https://blk-' || CAST(event_id // 300 AS VARCHAR) || '.example.com/cds/banking/products?page='
+               || CAST(min(event_id) AS VARCHAR) AS url
+      FROM events GROUP BY event_id // 300),
 walk(provider_id, p, url, seen, rep) AS (
   SELECT provider_id, 0, url, [url], false FROM s
   UNION ALL

@@ -363,8 +363,8 @@ def q_text_functions(spark, sf_dir):
         "doc_id", sha256_hex("text").alias("text_sha256"),
         F.length(clipped).alias("clipped_length"), F.sha2(clipped, 256).alias("clipped_sha256"),
         page_label("doc_id").alias("page_label"),
-        safe_path_component(F.concat("source", F.lit(":"), "lang", F.lit("/"), F.substring("text", 1, 40)))
-         .alias("safe_name"),
+        F.sha2(safe_path_component(F.concat("source", F.lit(":"), "lang", F.lit("/"), "text")), 256)
+         .alias("safe_name_sha256"),
         F.sha2(error_text(F.lit(500), F.col("text")), 256).alias("error_sha256"),
         error_text(F.lit(404), F.lit("")).alias("error_empty"))
 

@@ -351,6 +351,10 @@ def event_links(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     usable = ~((F.col("event_type") == "error") & hi)
     links = events.select(prov.alias("provider_id"), page_url(F.col("event_id")).alias("url"),
                           nxt.alias("next_url"), usable.alias("usable"))
-    starts = (events.filter(F.col("event_id") % CHAIN_BLOCK == 0)
-              .select(prov.alias("provider_id"), page_url(F.col("event_id")).alias("url")))
+    # each chain starts at the first page of its block
+    first = events.groupBy(blk.alias("_blk")).agg(F.min("event_id").alias("_first"))
+    sprov = F.concat(F.lit("blk-"), F.col("_blk").cast("string"))
+    starts = first.select(sprov.alias("provider_id"),
+                          F.concat(F.lit("https://"), sprov, F.lit(".example.com/cds/banking/products?page="),
+                                   F.col("_first").cast("string")).alias("url"))
     return starts, links
