@@ -39,3 +39,19 @@ def test_ddl_and_conform(spark):
     c = conform(df, "products_raw")
     assert [f.name for f in c.schema.fields] == [f.name for f in TABLES["products_raw"].schema.fields]
     assert c.select(F.to_json("payload")).first()[0] == '{"a":[1,2]}'
+
+
+def test_run_qa_missing_marts_fail(spark):
+    import datetime as dt
+
+    from ratewatch.plans.qa import run_qa
+    pages = spark.createDataFrame([(dt.datetime(2026, 2, 10, 23, 0),)], "fetched_at timestamp")
+    drift = spark.createDataFrame([], "observed_at timestamp")
+    gates = run_qa(spark, dt.date(2026, 2, 10), pages=pages, drift_events=drift)
+    got = {r.gate_name: r for r in gates.collect()}
+    assert not got["providers_ok"].passed and got["providers_ok"].details.startswith("missing relation")
+    assert not got["dim_products_rows"].passed and not got["rate_changes_rows"].passed
+    fresh = got["products_freshness_hours"]
+    assert fresh.passed and fresh.actual_value == 1.0 and fresh.details == "1.0h <= 36.0h"
+    assert got["schema_drift_events"].passed and got["dbt_tests"].details == "skipped"
+    assert Q.verdict(gates).first().exit_code == 1
