@@ -39,6 +39,7 @@ def _models(spark: SparkSession, sf_dir: str):
 
 @register("stg_products")
 def q_stg_products(spark, sf_dir):
+    """MOD1: one row per product of every OK page (JSON columns left out; lineage kept)."""
     m = _models(spark, sf_dir)
     return m.products.select(*[c for c in flatten.PRODUCT_COLUMNS if not c.endswith("_json")],
                              "page_num", "product_pos")
@@ -46,36 +47,43 @@ def q_stg_products(spark, sf_dir):
 
 @register("stg_fees")
 def q_stg_fees(spark, sf_dir):
+    """MOD2: one row per fee, fee JSON as compact text."""
     return flatten.json_columns_as_text(_models(spark, sf_dir).fees)
 
 
 @register("stg_rates")
 def q_stg_rates(spark, sf_dir):
+    """MOD3: deposit and lending rates in one pass, kind-tagged."""
     return _models(spark, sf_dir).rates.drop("tiers_json", "conditions_json", "rate_json")
 
 
 @register("stg_rate_tiers")
 def q_stg_rate_tiers(spark, sf_dir):
+    """MOD4: one row per (rate, tier); untiered rates keep one NULL-tier row."""
     return flatten.json_columns_as_text(_models(spark, sf_dir).rate_tiers)
 
 
 @register("dim_products")
 def q_dim_products(spark, sf_dir):
+    """MOD5: latest product version per (provider, product, date)."""
     return _models(spark, sf_dir).dim_products
 
 
 @register("fct_product_fees")
 def q_fct_product_fees(spark, sf_dir):
+    """MOD6: fee fact (projection, no dedupe)."""
     return flatten.json_columns_as_text(_models(spark, sf_dir).fct_product_fees)
 
 
 @register("fct_product_rates")
 def q_fct_product_rates(spark, sf_dir):
+    """MOD7: rate fact (projection, rate_value renamed to rate)."""
     return flatten.json_columns_as_text(_models(spark, sf_dir).fct_product_rates)
 
 
 @register("rate_changes")
 def q_rate_changes(spark, sf_dir):
+    """MOD8: rates added, removed or changed between each provider's consecutive snapshots."""
     return _models(spark, sf_dir).rate_changes()
 
 
@@ -87,6 +95,7 @@ def q_rate_changes_as_of(spark, sf_dir):
 
 @register("rate_change_report")
 def q_rate_change_report(spark, sf_dir):
+    """MOD10: top 200 changes on the report date by |delta|, NULL deltas last."""
     return rate_change_report(_models(spark, sf_dir).fct_product_rates, REPORT_DATE)
 
 
@@ -123,17 +132,20 @@ def _coverage(spark, sf_dir):
 
 @register("provider_coverage")
 def q_provider_coverage(spark, sf_dir):
+    """MOD9: pages OK, product rows, last status and error per run date and provider."""
     return _coverage(spark, sf_dir)
 
 
 @register("coverage_report")
 def q_coverage_report(spark, sf_dir):
+    """MOD11: coverage rows of the QA date, ordered by brand (NULL last)."""
     from ratewatch.plans.reports import coverage_report
     return coverage_report(_coverage(spark, sf_dir), QA_DATE)
 
 
 @register("coverage_summary")
 def q_coverage_summary(spark, sf_dir):
+    """MOD13: providers discovered and providers fetched OK on the QA date."""
     from ratewatch.plans.reports import coverage_summary
     return coverage_summary(_coverage(spark, sf_dir), QA_DATE)
 
@@ -154,6 +166,7 @@ def _fingerprints(spark, sf_dir):
 
 @register("fingerprints")
 def q_fingerprints(spark, sf_dir):
+    """DRF1-2: structural path set and SHA-256 fingerprint of every parsed page."""
     fp = _fingerprints(spark, sf_dir)
     return fp.select("provider_id", "endpoint", "fingerprint_hash",
                      F.array_join("fingerprint_paths", "|").alias("fingerprint_path_list"),
@@ -162,12 +175,14 @@ def q_fingerprints(spark, sf_dir):
 
 @register("drift_events")
 def q_drift_events(spark, sf_dir):
+    """DRF3: fingerprint changes between consecutive observations of a provider endpoint."""
     from ratewatch.operators.drift import drift_events
     return drift_events(_fingerprints(spark, sf_dir))
 
 
 @register("drift_report")
 def q_drift_report(spark, sf_dir):
+    """MOD12: last 50 drift events observed on the QA date."""
     from ratewatch.operators.drift import drift_events
     from ratewatch.plans.reports import drift_report
     return drift_report(drift_events(_fingerprints(spark, sf_dir)), QA_DATE)
@@ -199,23 +214,27 @@ def _qa_gates(spark, sf_dir):
 
 @register("qa_gates")
 def q_qa_gates(spark, sf_dir):
+    """QAG1-10: the six QA gates for the QA date."""
     return _qa_gates(spark, sf_dir)
 
 
 @register("qa_verdict")
 def q_qa_verdict(spark, sf_dir):
+    """QAG11: PASS/FAIL and exit code over the gates."""
     from ratewatch.operators.quality import verdict
     return verdict(_qa_gates(spark, sf_dir))
 
 
 @register("unique_combo")
 def q_unique_combo(spark, sf_dir):
+    """DQT1: duplicate (order, line number) combinations with their counts."""
     from ratewatch.operators.quality import unique_combo
     return unique_combo(testbed.read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @register("not_null")
 def q_not_null(spark, sf_dir):
+    """DQT2: NULL counts of the order columns, one pass."""
     from ratewatch.operators.quality import not_null
     return not_null(testbed.read(spark, sf_dir, "orders"),
                     ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
@@ -223,6 +242,7 @@ def q_not_null(spark, sf_dir):
 
 @register("accepted_values")
 def q_accepted_values(spark, sf_dir):
+    """DQT3: order statuses outside the accepted set."""
     from ratewatch.operators.quality import accepted_values
     return accepted_values(testbed.read(spark, sf_dir, "orders"), "o_orderstatus", ["F", "O"]).select(
         "o_orderkey", "o_orderstatus")
@@ -244,6 +264,7 @@ def q_fk_orphans(spark, sf_dir):
 
 @register("source_freshness")
 def q_source_freshness(spark, sf_dir):
+    """DQT4: age of the newest fetch per raw source and its pass/warn/error status."""
     from ratewatch.operators.quality import freshness
     ev = _events(spark, sf_dir)
     calls = testbed.event_call_log(ev)
@@ -273,6 +294,7 @@ def q_insert_ignore(spark, sf_dir):
 
 @register("upsert_all")
 def q_upsert_all(spark, sf_dir):
+    """SNK3: as insert_ignore's split, but the last write per key replaces every column."""
     from ratewatch.operators.upsert import upsert
     target, incoming = _writes(spark, sf_dir)
     base = upsert(None, target, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")])
@@ -312,24 +334,28 @@ BRAND_COLUMNS = ["run_id", "data_holder_brand_id", "brand_name", "brand_group",
 
 @register("discover_providers")
 def q_discover_providers(spark, sf_dir):
+    """COL1: register documents -> banking providers with an id."""
     from ratewatch.operators.collect import brand_rows
     return brand_rows(_discovered(spark, sf_dir)).select(*BRAND_COLUMNS)
 
 
 @register("discovery_counts")
 def q_discovery_counts(spark, sf_dir):
+    """COL1/AGG13: discovered, kept and skipped-for-missing-id counts per run."""
     from ratewatch.operators.collect import discovery_counts
     return discovery_counts(_discovered(spark, sf_dir), ["run_id"])
 
 
 @register("first_page_requests")
 def q_first_page_requests(spark, sf_dir):
+    """COL2: first product-list request per provider (base URI fallback, one slash)."""
     from ratewatch.operators.collect import brand_rows, first_page_requests
     return first_page_requests(brand_rows(_discovered(spark, sf_dir)))
 
 
 @register("detail_requests")
 def q_detail_requests(spark, sf_dir):
+    """COL3: one detail request per distinct product id of a provider, in id order."""
     from ratewatch.operators.collect import detail_requests
     prods = _models(spark, sf_dir).products
     return detail_requests(prods, testbed.supplier_brands(testbed.read(spark, sf_dir, "supplier")))
@@ -337,17 +363,20 @@ def q_detail_requests(spark, sf_dir):
 
 @register("version_choice")
 def q_version_choice(spark, sf_dir):
+    """COL4-5: attempt used per request and the version it answered with."""
     from ratewatch.operators.collect import choose_version
     return choose_version(testbed.event_attempts(_events(spark, sf_dir)))
 
 
 @register("call_log")
 def q_call_log(spark, sf_dir):
+    """COL8: call-log rows with body hash and error text."""
     return testbed.event_call_log(_events(spark, sf_dir))
 
 
 @register("run_totals")
 def q_run_totals(spark, sf_dir):
+    """COL10: products listed (duplicates counted) and pages per run and provider."""
     from ratewatch.operators.collect import run_totals
     return run_totals(testbed.landed_pricing_pages(spark, sf_dir))
 
@@ -356,6 +385,7 @@ def q_run_totals(spark, sf_dir):
 
 @register("text_functions")
 def q_text_functions(spark, sf_dir):
+    """STR2-6: hashing, clipping, page labels, path-safe names and error text on whole documents."""
     from ratewatch.functions.text import clip_text, error_text, page_label, safe_path_component, sha256_hex
     d = testbed.read(spark, sf_dir, "documents")
     clipped = clip_text(F.col("text"), 4000)
@@ -371,6 +401,7 @@ def q_text_functions(spark, sf_dir):
 
 @register("url_functions")
 def q_url_functions(spark, sf_dir):
+    """URL1-3, STR2: path-safe URLs, next-link resolution, URL join and template fill."""
     from ratewatch.functions.text import fill_template, resolve_url, safe_path_component, url_join
     p = testbed.read(spark, sf_dir, "pages")
     href = F.regexp_extract("html", 'href="([^"]*)"', 1)
@@ -384,6 +415,7 @@ def q_url_functions(spark, sf_dir):
 
 @register("safe_casts")
 def q_safe_casts(spark, sf_dir):
+    """NUM1, BOL1, TIM1: safe numeric, boolean and timestamp casts on generated text forms."""
     from ratewatch.functions.casting import to_bool_pg, to_numeric, to_timestamptz
     li = testbed.read(spark, sf_dir, "lineitem")
     n = F.col("l_linenumber")
@@ -408,6 +440,7 @@ def q_safe_casts(spark, sf_dir):
 
 @register("json_extract")
 def q_json_extract(spark, sf_dir):
+    """JSN2 + NUM1 on stored JSON text (events.props)."""
     from ratewatch.functions.casting import to_numeric
     from ratewatch.functions.jsonpath import json_text, parse_json_lenient
     ev = testbed.read(spark, sf_dir, "events")
