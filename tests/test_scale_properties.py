@@ -60,3 +60,20 @@ def test_previous_in_key_bucket_invariance(spark):
     assert _same(a, b) and _same(b, c)
     got = {r.seq: r.prev for r in c.collect()}
     assert got[0] is None and all(got[i] == f"h{(i - 1) // 3}" for i in range(1, 200))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_per_key_limits_before_shuffle(spark):
+    import __spark_entry__ as E
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(E.queries()["dim_products"](spark, "/root/testdata/sf0.001"))
+        report = _plan(E.queries()["rate_change_report"](spark, "/root/testdata/sf0.001"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    below = plan.split("Exchange hashpartitioning")[1]
+    assert "WindowGroupLimit" in below  # partial top-1 runs map-side, before the shuffle
+    assert "TakeOrderedAndProject" in report
