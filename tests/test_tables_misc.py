@@ -55,3 +55,12 @@ def test_run_qa_missing_marts_fail(spark):
     assert fresh.passed and fresh.actual_value == 1.0 and fresh.details == "1.0h <= 36.0h"
     assert got["schema_drift_events"].passed and got["dbt_tests"].details == "skipped"
     assert Q.verdict(gates).first().exit_code == 1
+
+
+def test_cluster_settings():
+    from ratewatch.session import cluster_settings
+    big = cluster_settings(100 * 10**12, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (128 << 20))
+    assert big["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+    small = cluster_settings(10 << 20, 64)
+    assert small["spark.sql.shuffle.partitions"] == "128"  # never fewer than 2 x cores
