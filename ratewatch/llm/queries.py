@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .runtime import table
 
+#: Public subword vocabulary with byte fallback; only its place is known here.
+VOCABULARY = os.environ.get("LLM_VOCABULARY", "/opt/tokenizers/piece_bpe_32k.model")
 #: Rules of op4, as its contract gives them: verdict, host, path.
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
              ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -28,4 +32,30 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op4_url_rules)}
+def op5_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokeniser fertility and base rules of every document."""
+    from pyspark.sql import functions as F
+
+    from .fertility import FIELDS, measure, verdicts
+    judged = verdicts(measure(table(spark, sf_dir, "documents"), VOCABULARY))
+    counts = [F.col("fertility")[f].alias(f) for f in FIELDS]
+    return judged.select("doc_id", *counts, F.col("fertility")["script"].alias("script"),
+                         "chars_per_token", "byte_share", "entropy_share", "base_failed", "kept")
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, its ids decoded again and compared."""
+    from .pieces import encode
+    coded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY)
+    return coded.select("doc_id", "n_tokens", "n_byte_tokens", "round_trip", "token_ids")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rank-order language profiles, learned from three quarters of the documents, on all of them."""
+    from .langid import held_out, predict_languages
+    predicted = predict_languages(table(spark, sf_dir, "documents"))
+    return predicted.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op4_url_rules, op5_fertility, op7_sentencepiece,
+                                   op10_language_id)}

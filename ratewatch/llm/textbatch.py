@@ -125,3 +125,42 @@ def strings(parts: np.ndarray, lengths: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(lengths),
                                  [None, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(parts))]
                                  ).cast(pa.binary())
+
+
+class SpanCache:
+    """Integer lists for byte spans (token ids of words, say): each distinct span is worked out once
+    and kept by its hash, up to ``most`` spans. ``work`` maps strings to joined lists and lengths."""
+
+    def __init__(self, work, most: int):
+        self.work, self.most = work, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes, self.flat = np.zeros(0, U), np.zeros(0, np.int32)
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def lists(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray):
+        """Joined lists of all spans in order, and the length of each."""
+        distinct, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.hashes) > self.most:
+            self.clear()
+        near = np.searchsorted(self.hashes, distinct)
+        new = np.ones(len(distinct), bool)
+        inside = near < len(self.hashes)
+        new[inside] = self.hashes[near[inside]] != distinct[inside]
+        if new.any():
+            spans = [raw[i:j].decode("utf-8", "replace") for i, j in zip(starts[at[new]].tolist(), ends[at[new]].tolist())]
+            flat, sizes = self.work(spans)
+            self.begin = np.insert(self.begin, near[new], len(self.flat) + np.cumsum(sizes) - sizes)
+            self.size = np.insert(self.size, near[new], sizes)
+            self.hashes = np.insert(self.hashes, near[new], distinct[new])
+            self.flat = np.concatenate([self.flat, flat])
+        place = np.searchsorted(self.hashes, distinct)[back]
+        return gathered(self.flat, self.begin[place], self.size[place]), self.size[place]
+
+
+def gathered(flat: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The slices ``flat[begin:begin + size]``, joined."""
+    ends = np.cumsum(sizes)
+    index = np.arange(int(ends[-1]) if len(ends) else 0)
+    return flat[index - np.repeat(ends - sizes - begin, sizes)]
