@@ -23,4 +23,65 @@ SELECT page_id, host, path, split_part(hit, ' ', 1) AS rule,
 FROM m
 """
 
-ORACLE = {"op4_url_rules": OP4}
+OP8 = """
+WITH raw AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS ln
+  FROM documents WHERE text IS NOT NULL),
+l AS (SELECT *, regexp_matches(line, '[^\\x20\\x09-\\x0D]') AS word FROM raw),
+numbered AS (
+  SELECT *, sum(CASE WHEN word THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY ln) AS seq FROM l),
+u AS (
+  SELECT doc_id, seq, line, length(line) AS n,
+         sum(length(line)) OVER (PARTITION BY doc_id ORDER BY seq) AS upto
+  FROM numbered WHERE word),
+ahead AS (
+  SELECT a.doc_id, a.seq AS s, min(b.seq) AS e FROM u a JOIN u b
+    ON a.doc_id = b.doc_id AND b.seq BETWEEN a.seq AND a.seq + 99 AND b.upto - a.upto + a.n >= 100
+  GROUP BY ALL),
+behind AS (
+  SELECT b.doc_id, max(a.seq) AS s, b.seq AS e FROM u b JOIN u a
+    ON a.doc_id = b.doc_id AND a.seq BETWEEN b.seq - 99 AND b.seq AND b.upto - a.upto + a.n >= 100
+  GROUP BY b.doc_id, b.seq),
+blocks AS (SELECT * FROM ahead UNION SELECT * FROM behind),
+content AS (
+  SELECT k.doc_id, k.s, k.e, list(u.line ORDER BY u.seq) AS lines
+  FROM blocks k JOIN u ON u.doc_id = k.doc_id AND u.seq BETWEEN k.s AND k.e GROUP BY ALL),
+marked AS (
+  SELECT *, row_number() OVER (PARTITION BY lines ORDER BY doc_id, s) AS nth FROM content),
+dropped AS (
+  SELECT DISTINCT m.doc_id, u.seq FROM marked m JOIN u
+    ON u.doc_id = m.doc_id AND u.seq BETWEEN m.s AND m.e WHERE nth > 1),
+gone AS (
+  SELECT doc_id, seq, seq - lag(seq) OVER (PARTITION BY doc_id ORDER BY seq) AS gap FROM dropped),
+gone_by_doc AS (
+  SELECT doc_id, count(*) AS n_deleted, count(*) FILTER (gap IS NULL OR gap > 1) AS n_runs FROM gone GROUP BY doc_id),
+rest AS (
+  SELECT n.doc_id, string_agg(n.line, chr(10) ORDER BY n.ln) AS kept
+  FROM numbered n LEFT JOIN dropped d ON n.doc_id = d.doc_id AND n.seq = d.seq
+  WHERE d.doc_id IS NULL GROUP BY n.doc_id),
+lines_by_doc AS (SELECT doc_id, count(*) AS n_lines FROM u GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted, coalesce(n_runs, 0) AS n_runs,
+       CASE WHEN d.text IS NULL THEN NULL ELSE length(coalesce(kept, '')) END AS kept_chars,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN rest USING (doc_id) LEFT JOIN gone_by_doc USING (doc_id) LEFT JOIN lines_by_doc USING (doc_id)
+"""
+
+OP9 = """
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS w FROM benchmark),
+ds AS (
+  SELECT DISTINCT doc_id, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(len(w) - 4, 1) + 1)]) AS sh
+  FROM dw WHERE len(w) > 0),
+its AS (
+  SELECT DISTINCT item_id, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(len(w) - 4, 1) + 1)]) AS sh
+  FROM iw WHERE len(w) > 0),
+size AS (SELECT item_id, count(*) AS n_item FROM its GROUP BY item_id)
+SELECT doc_id, item_id, n_item, count(*) AS n_shared, count(*) / n_item AS containment
+FROM ds JOIN its USING (sh) JOIN size USING (item_id)
+GROUP BY doc_id, item_id, n_item HAVING count(*) >= 0.75 * n_item
+"""
+
+ORACLE = {"op4_url_rules": OP4, "op8_line_runs": OP8, "op9_decontamination": OP9}

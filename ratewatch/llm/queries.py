@@ -50,6 +50,22 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "n_byte_tokens", "round_trip", "token_ids")
 
 
+def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without later copies of repeated line runs."""
+    from pyspark.sql import functions as F
+
+    from .linededup import dedup_lines
+    kept = dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_deleted", "n_runs", F.length("text").cast("long").alias("kept_chars"),
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of documents and benchmark items that they hold."""
+    from .decontam import contaminated_pairs
+    return contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("_k")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rank-order language profiles, learned from three quarters of the documents, on all of them."""
     from .langid import held_out, predict_languages
@@ -58,4 +74,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op4_url_rules, op5_fertility, op7_sentencepiece,
-                                   op10_language_id)}
+                                   op8_line_runs, op9_decontamination, op10_language_id)}
