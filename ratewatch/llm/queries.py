@@ -25,6 +25,18 @@ def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    from .neardup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("tk")
+
+
+def op3_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability under the filter's pair model, and the exact base score."""
+    from .bloomlm import score_documents
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url against the four rules."""
     from .urlrules import judge_urls
@@ -32,6 +44,12 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op6_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of repeated 200-byte strings."""
+    from .substrings import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokeniser fertility and base rules of every document."""
     from pyspark.sql import functions as F
@@ -73,5 +91,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op4_url_rules, op5_fertility, op7_sentencepiece,
+QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_near_duplicates, op3_bloom_lm, op4_url_rules, op5_fertility, op6_repeated_substrings, op7_sentencepiece,
                                    op8_line_runs, op9_decontamination, op10_language_id)}
