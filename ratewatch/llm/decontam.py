@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linededup import NO_ID
-from .runtime import cut, row_key
+from .runtime import cut, packed, row_key, unpacked
 
 WORDS, CONTAINMENT, COORDINATES = 5, 0.75, 32
 #: Hits out of COORDINATES that make a candidate: P(Binomial(32, 0.75) < 11) is below 1e-6.
@@ -87,5 +87,5 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Documents that hold no item."""
     bad = cut(contaminated_pairs(docs, items).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_d"), "_k").distinct(), "bad")
-    keyed = docs.withColumn("_d", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_k", row_key())
-    return keyed.join(bad, ["_d", "_k"], "left_anti").select(*docs.columns)
+    keyed = packed(docs, _d=F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), _k=row_key())
+    return unpacked(keyed.join(bad, ["_d", "_k"], "left_anti"), docs.columns)

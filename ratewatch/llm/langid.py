@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .runtime import packed, unpacked
 from .textbatch import buffers, row_groups
 
 #: Length of a profile.
@@ -173,8 +174,8 @@ def identify(docs: DataFrame, profiles, places: int = PLACES) -> DataFrame:
 
     guess.__annotations__ = {"column": pa.Array, "return": pa.Array}
     guessed = F.arrow_udf(guess, "lang_pred string, score double")(F.col("text"))
-    return (docs.withColumn("_guess", guessed).withColumn("lang_pred", F.col("_guess.lang_pred"))
-            .withColumn("score", F.col("_guess.score")).drop("_guess"))
+    return unpacked(packed(docs, guess=guessed), docs.columns,
+                    lang_pred=F.col("guess.lang_pred"), score=F.col("guess.score"))
 
 
 def held_out(folds: int = 4, fold: int = 2):

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import cut, row_key
+from .runtime import cut, packed, row_key, unpacked
 
 #: Characters from which a repeated run is deleted.
 MIN_CHARS = 100
@@ -114,8 +114,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     the input), ``n_deleted`` and ``n_runs``."""
     found = runs(repeated_blocks(docs, min_chars))
     per_doc = cut(found.groupBy("_d", "_k").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("_runs")), "runs")
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_deleted", "n_runs")]
-    keyed = docs.select(*kept, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_d"), row_key().alias("_k"))
+    keyed = packed(docs, text=F.col("text"), _d=F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), _k=row_key())
     joined = keyed.join(per_doc.hint("shuffle_hash"), ["_d", "_k"], "left").withColumn("_units", F.split("text", LINE))
     gaps = F.transform(                            # what lies between the runs
         F.arrays_zip(F.concat(F.array(F.lit(0)), F.transform("_runs", lambda r: r["stop"])).alias("a"),
@@ -125,6 +124,6 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     deleted = F.aggregate("_runs", F.lit(0), lambda s, r: s + r["stop"] - r["start"])
     blank = F.when(F.col("text").rlike(r"\A[ \t\x0B\f\r]*(\n|\z)"), 1).otherwise(0)
     lines = F.when(F.col("text").isNull(), 0).otherwise(F.size("_units") - blank)
-    return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in kept], lines.cast("long").alias("n_lines"),
-                         F.coalesce(deleted, F.lit(0)).cast("long").alias("n_deleted"),
-                         F.coalesce(F.size("_runs"), F.lit(0)).cast("long").alias("n_runs"))
+    return unpacked(joined, docs.columns, text=text, n_lines=lines.cast("long"),
+                    n_deleted=F.coalesce(deleted, F.lit(0)).cast("long"),
+                    n_runs=F.when(F.col("_runs").isNull(), 0).otherwise(F.size("_runs")).cast("long"))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .runtime import cut, row_key
+from .runtime import cut, packed, row_key, unpacked
 from .textbatch import U, buffers, mix, row_groups, shingle_hashes, span_hashes, word_bounds
 
 WORDS, COORDINATES, LEAST_MATCHES = 5, 64, 30
@@ -191,6 +191,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, the one with its least doc_id."""
     drop = cut(near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_d"), F.col("tk").alias("_t")).distinct(), "drop")
-    keyed = docs.withColumn("_t", row_key()).withColumn("_i", F.col("doc_id").cast("long"))
-    return keyed.join(drop.withColumnRenamed("_t", "_u"), (F.col("_t") == F.col("_u")) & F.col("_i").eqNullSafe(F.col("_d")),
-                      "left_anti").drop("_t", "_i")
+    keyed = packed(docs, _tk=row_key(), _id=F.col("doc_id").cast("long"))
+    gone = (F.col("_tk") == F.col("_t")) & F.col("_id").eqNullSafe(F.col("_d"))
+    return unpacked(keyed.join(drop, gone, "left_anti"), docs.columns)

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .runtime import packed, unpacked
 from .textbatch import SpanCache, buffers, gathered, row_groups, span_hashes, strings
 
 SPACE = "\u2581"
@@ -282,10 +283,8 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     coded = F.arrow_udf(run, "token_ids array<int>, n_tokens long, n_byte_tokens long, round_trip boolean")
-    out = docs.withColumn("_coded", coded(F.col("text")))
-    for name in ("token_ids", "n_tokens", "n_byte_tokens", "round_trip"):
-        out = out.withColumn(name, F.col("_coded")[name])
-    return out.drop("_coded")
+    return unpacked(packed(docs, coded=coded(F.col("text"))), docs.columns, **{
+        name: F.col("coded")[name] for name in ("token_ids", "n_tokens", "n_byte_tokens", "round_trip")})
 
 
 def decode(df: DataFrame, model_path: str, ids: str = "token_ids", to: str = "decoded") -> DataFrame:

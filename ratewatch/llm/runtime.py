@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch handed to Python: whole texts travel in them, so it stays small.
@@ -59,3 +59,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def row_key():
     """64-bit hash of the text next to doc_id: rows that repeat a doc_id stay apart by it."""
     return F.xxhash64(F.lit(7), F.col("text"))
+
+
+def packed(docs: DataFrame, **own: Column) -> DataFrame:
+    """All columns of ``docs`` as the struct ``row``, next to an operator's own columns: names in the
+    input can't clash with these."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       *[c.alias(name) for name, c in own.items()])
+
+
+def unpacked(df: DataFrame, columns: list[str], **set_: Column) -> DataFrame:
+    """The columns again, with those in ``set_`` added, or replaced in their place."""
+    return df.select(*[(set_[c] if c in set_ else F.col("row")[c]).alias(c) for c in columns],
+                     *[c.alias(name) for name, c in set_.items() if name not in columns])
