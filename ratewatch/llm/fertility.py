@@ -179,7 +179,7 @@ def measure(docs: DataFrame, model_path: str, column: str = "fertility") -> Data
 def verdicts(measured: DataFrame, bands: dict = BANDS, column: str = "fertility") -> DataFrame:
     """Add ``base_failed``, ``chars_per_token``, ``byte_share``, ``entropy_share`` and ``kept``."""
     f = F.col(column)
-    cpt, share = f["word_chars"] / f["n_tokens"], f["n_byte_tokens"] / f["n_tokens"]
+    cpt, share = (F.try_divide(f[x], f["n_tokens"]) for x in ("word_chars", "n_byte_tokens"))
     # the most entropy that so many tokens can have; a vocabulary has some 2**15 tokens
     even = f["entropy"] / F.least(F.log2(F.greatest(f["n_tokens"], F.lit(2))), F.lit(15.0))
 

@@ -87,7 +87,7 @@ def repeated_blocks(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
             heads = now.join(names.withColumnRenamed("name", "head"), PLACE)
             tails = names.select("_d", "_k", F.col("_s").alias("_e"), F.col("name").alias("tail"))
             whole = heads.withColumn("_e", F.col("_s") + F.col("size") - depth).join(tails, ["_d", "_k", "_e"])
-            found.append(_named(whole, ["size", "head", "tail"], ["size"]).where(later).select(*PLACE, "size"))
+            found.append(cut(_named(whole, ["size", "head", "tail"], ["size"]).where(later).select(*PLACE, "size"), "later"))
         if 2 * depth > longest:
             break
         nexts = names.select("_d", "_k", (F.col("_s") - depth).alias("_s"), F.col("name").alias("tail"))

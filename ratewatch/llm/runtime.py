@@ -7,15 +7,20 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch handed to Python: whole texts travel in them, so it stays small.
-BATCH_ROWS = 1000
+#: Rows and bytes of an Arrow batch handed to Python: whole texts travel in them, so it stays small.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Lower the Arrow batch size for text-carrying batches; a smaller own setting is kept."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Settings of text-carrying jobs: small Arrow batches (a smaller own setting is kept), and shuffle
+    files that go when the query that wrote them has ended. Operators write their steps as tables, so
+    no later step reads those files, and many steps don't pile up on the executors' disks."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(key, "0").rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 

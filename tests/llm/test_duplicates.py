@@ -230,7 +230,7 @@ def test_pipeline_stages(spark, odd, empty, tmp_path):
     items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa")], "item_id long, text string")
     items.write.parquet(str(tmp_path / "benchmark.parquet"))
     extra = spark.createDataFrame([(500, "intro words\nalpha beta gamma delta epsilon zeta eta theta iota kappa and more")], "doc_id long, text string")
-    docs = odd.unionByName(extra, allowMissingColumns=True)
+    docs = odd.where("doc_id is not null").unionByName(extra, allowMissingColumns=True)
     before = docs
     for name, stage in P.STAGES:
         after = stage(spark, before, str(tmp_path))
