@@ -17,7 +17,7 @@ def tune(spark: SparkSession) -> SparkSession:
     no later step reads those files, and many steps don't pile up on the executors' disks."""
     for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         key = f"spark.sql.execution.arrow.{key}"
-        now = spark.conf.get(key, "0").rstrip("b")
+        now = spark.conf.get(key).rstrip("b")
         if not now.isdigit() or not 0 < int(now) <= most:
             spark.conf.set(key, str(most))
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
