@@ -5,19 +5,17 @@ entity's previous date. Rows are matched on key columns; a key present only in t
 snapshot is "added" (previous value NULL), only in the previous one "removed" (current NULL);
 matched keys whose values differ are "changed". Unchanged keys are dropped.
 
-Duplicate keys inside one snapshot are compared as multisets: each snapshot keeps the distinct
-values of a key, ranks them, and value i of the current snapshot is paired with value i of the
-previous one. This emits one row per distinct value, never all current x previous pairs, so a key
-repeated many times (re-runs of the same day, several rates under one key) cannot blow up the
-output. When keys are unique per snapshot (the mart's declared contract) this equals a full
-outer join on the keys.
-
-Plan shape (one shuffle of the fact rows, no aggregate):
-  distinct (entity, date) -> lag/lead per entity -> size-checked broadcast join onto the facts
-  -> hash-partition by (entity, keys) -> rank values per (entity, keys, date) with a window
-  -> lag/lead of the same-rank row per (entity, keys, rank) ordered by date; a neighbour is a
-     match only if its date is the entity's previous / next snapshot date
-  -> each row emits "changed/added" as current and "removed" as previous  [no new exchange]
+A key may occur several times inside a snapshot. Then values that both snapshots hold under the key
+cancel out first, so a value that stays is never reported; what is left is ranked by value on each
+side and paired by rank. {0.02, 0.05} -> {0.05} is one removal of 0.02, and {0.02, 0.05} ->
+{0.01, 0.02, 0.05} one addition. Each value gives one row at most, never all current x previous
+pairs. When keys are unique per snapshot (the mart's declared contract) the result is the full outer
+join on the keys.
+
+Plan shape: snapshot dates joined to the facts (a plain join; a stored ``snapshots`` table is
+broadcast by its file size), then one exchange of the facts by (entity, keys). It belongs to an
+aggregate that collects the distinct rows of a key, so repeated rows collapse before the shuffle;
+cancelling, ranking and pairing all work inside that partitioning.
 """
 
 from __future__ import annotations
@@ -25,12 +23,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date as _date
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewatch.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, join_small
-
 
 def snapshot_pairs(df: DataFrame, entity: str, date: str, as_of: _date | None = None) -> DataFrame:
     """(entity, date, _prev, _next): each snapshot date with its neighbours for that entity."""
@@ -61,16 +56,14 @@ def snapshot_changes(
     previous_value_name: str | None = None,
     current_value_name: str | None = None,
     as_of: _date | None = None,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    num_partitions: int | None = None,
-    persist: bool = True,
-    dedupe_before_shuffle: bool = True,
+    snapshots: DataFrame | None = None,
 ) -> DataFrame:
     """Rows that differ between each entity's consecutive snapshots.
 
     keys           strict keys: compared with '=', a NULL never matches anything
     sentinel_keys  keys compared as coalesce(key, sentinel): NULL matches NULL (and the sentinel)
     carry          descriptive columns, output as coalesce(current, previous)
+    snapshots      (entity, date) of all snapshots, where a table of them is stored; else read off the facts
     """
     sentinel_keys = dict(sentinel_keys or {})
     keys, carry = list(keys), list(carry)
@@ -81,75 +74,49 @@ def snapshot_changes(
 
     norm = [f"_k{i}" for i in range(len(keys) + len(sentinel_keys))]
     norm_exprs = [F.col(k) for k in keys] + [F.coalesce(F.col(k), F.lit(s)) for k, s in sentinel_keys.items()]
-    strict_null = F.lit(False)
-    for k in keys:
-        strict_null = strict_null | F.col(k).isNull()
-
-    # The facts feed both the snapshot-date pairs and the diff: project them once and keep them,
-    # so an expensive upstream (e.g. JSON flattening) is computed a single time.
     facts = df.select(entity, date, *keys, *sentinel_keys, value, *carry)
-    if persist:
-        facts = facts.persist(StorageLevel.MEMORY_AND_DISK)
-    pairs = snapshot_pairs(facts, entity, date, as_of)
-    facts = join_small(facts, pairs, [entity, date], "inner", broadcast_max_rows)
-    facts = facts.select("*", *[e.alias(n) for e, n in zip(norm_exprs, norm)],
-                         strict_null.alias("_strict_null"))
-    if dedupe_before_shuffle:
-        # Collapse identical fact rows map-side (a keys-only hash aggregate with partial
-        # aggregation), so a row repeated millions of times (re-runs, duplicated quotes) costs one
-        # row per task in the shuffle. Equal values with different descriptions stay for the
-        # ranking window, which keeps the smallest description.
-        facts = facts.distinct()
-    part_cols = [entity, *norm]
-    facts = (facts.repartition(num_partitions, *part_cols) if num_partitions
-             else facts.repartition(*part_cols))
-
-    # Distinct values per (entity, keys, snapshot), ranked; the first row of each value wins
-    # (ordered by the descriptive columns, so the pick is deterministic).
-    w = Window.partitionBy(*part_cols, date).orderBy(
-        F.col(value).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in carry + list(sentinel_keys)])
-    facts = facts.withColumn("_first", F.coalesce(~F.col(value).eqNullSafe(F.lag(value).over(w)), F.lit(True)))
-    facts = facts.withColumn("_rank", F.sum(F.col("_first").cast("int")).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    facts = facts.filter("_first")
-
-    # Pair each row with the same-rank row of the neighbouring snapshots of its key. Both windows
-    # below are partitioned within (entity, keys): no further exchange, only sorts.
-    w2 = Window.partitionBy(*part_cols, "_rank").orderBy(date)
-    out_cols = [*keys, *sentinel_keys, *carry]
-    row = F.struct(F.col(date).alias("d"), F.col(value).alias("v"), *[F.col(c).alias(c) for c in out_cols])
-    facts = facts.withColumn("_lag", F.lag(row).over(w2)).withColumn("_lead", F.lead(row).over(w2))
-    ok = ~F.col("_strict_null")
-    matched_prev = ok & F.coalesce(F.col("_lag.d") == F.col("_prev"), F.lit(False))
-    matched_next = ok & F.coalesce(F.col("_lead.d") == F.col("_next"), F.lit(False))
-
-    def emit(cond, cur_date, prv_date, prv_val, cur_val, cur_src, prv_src):
-        return F.when(cond, F.struct(
-            cur_date.alias(cd_name), prv_date.alias(pd_name), prv_val.alias(pv_name), cur_val.alias(cv_name),
-            *[F.coalesce(cur_src(c), prv_src(c)).alias(c) for c in out_cols]))
-
-    def own(c):
-        return F.col(c)
-
-    def lagged(c):
-        return F.col(f"_lag.{c}")
-
-    def none(c):
-        return F.lit(None).cast(facts.schema[c].dataType)
-
-    null_v = F.lit(None).cast(facts.schema[value].dataType)
-    # as current snapshot: changed (matched, value differs) or added (no match in the previous one)
-    as_current = emit(F.col("_prev").isNotNull() & (~matched_prev | ~F.col(value).eqNullSafe(F.col("_lag.v"))),
-                      F.col(date), F.col("_prev"), F.when(matched_prev, F.col("_lag.v")).otherwise(null_v),
-                      F.col(value), own, lambda c: F.when(matched_prev, lagged(c)).otherwise(none(c)))
-    # as previous snapshot: removed (no match in the next one)
-    as_previous = emit(F.col("_next").isNotNull() & ~matched_next,
-                       F.col("_next"), F.col(date), F.col(value), null_v, none, own)
-    out = facts.select(entity, F.explode(F.filter(F.array(as_current, as_previous),
-                                                  lambda x: x.isNotNull())).alias("_o"))
-    out = out.select(entity, "_o.*")
+    pairs = snapshot_pairs(facts if snapshots is None else snapshots, entity, date, as_of)
+    facts = facts.join(pairs, [entity, date]).select("*", *[e.alias(n) for e, n in zip(norm_exprs, norm)])
+
+    # one exchange, by entity and keys; equal rows of a task are one row in it
+    part = [entity, *norm]
+    own = [date, "_prev", "_next", value, *sentinel_keys, *carry]
+    facts = (facts.groupBy(*part).agg(F.collect_set(F.struct(*own)).alias("_rows"))
+             .select(*part, F.inline("_rows")))
+    # one row per value and snapshot: the least description
+    first = Window.partitionBy(*part, date, value).orderBy(*[F.col(c).asc_nulls_last() for c in [*carry, *sentinel_keys, value]])
+    facts = facts.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
+
+    strict_null = F.lit(False)
+    for n in norm[:len(keys)]:
+        strict_null = strict_null | F.col(n).isNull()
+    same = Window.partitionBy(*part, value).orderBy(date)
+    stayed = ~strict_null & F.coalesce(F.lag(date).over(same) == F.col("_prev"), F.lit(False))
+    stays = ~strict_null & F.coalesce(F.lead(date).over(same) == F.col("_next"), F.lit(False))
+    facts = facts.withColumn("_stayed", stayed).withColumn("_stays", stays)
+
+    out_cols = [*sentinel_keys, *carry]
+
+    def side(name, cond, previous, current):
+        return F.when(cond, F.struct(F.lit(name).alias("_side"), previous.alias("_pd"), current.alias("_cd")))
+
+    events = F.filter(F.array(
+        side("c", F.col("_prev").isNotNull() & ~F.col("_stayed"), F.col("_prev"), F.col(date)),
+        side("p", F.col("_next").isNotNull() & ~F.col("_stays"), F.col(date), F.col("_next"))), lambda x: x.isNotNull())
+    left = facts.select(*part, value, *out_cols, F.inline(events))
+    rank = F.row_number().over(Window.partitionBy(*part, "_cd", "_side").orderBy(F.col(value).asc_nulls_last()))
+    alone = F.when(strict_null, F.col("_side"))
+    left = left.withColumn("_rank", rank).withColumn("_alone", alone)
+
+    def of(name, c):
+        return F.max(F.when(F.col("_side") == name, F.col(c)))
+
+    out = left.groupBy(*part, "_cd", "_pd", "_rank", "_alone").agg(
+        of("p", value).alias(pv_name), of("c", value).alias(cv_name),
+        *[F.coalesce(of("c", c), of("p", c)).alias(c) for c in out_cols])
     out = out.filter(~F.col(pv_name).eqNullSafe(F.col(cv_name)))
-    return out.select(entity, *out_cols, pd_name, cd_name, pv_name, cv_name)
+    return out.select(entity, *[F.col(n).alias(k) for n, k in zip(norm, keys)], *out_cols,
+                      F.col("_pd").alias(pd_name), F.col("_cd").alias(cd_name), pv_name, cv_name)
 
 
 # The pricing mart: keys and output names of ``mart_rate_changes``.
@@ -160,15 +127,16 @@ RATE_CHANGE_COLUMNS = [
 ]
 
 
-def rate_changes(rate_fact: DataFrame, as_of: _date | None = None, **kw) -> DataFrame:
-    """``mart_rate_changes`` over the rate fact (tier keys matched with '' / -1 sentinels)."""
+def rate_changes(rate_fact: DataFrame, as_of: _date | None = None, extra_keys: Sequence[str] = (), **kw) -> DataFrame:
+    """``mart_rate_changes`` over the rate fact (tier keys matched with '' / -1 sentinels).
+    ``extra_keys`` (``additional_value``, say) tell rates apart that the mart's own keys don't."""
     out = snapshot_changes(
         rate_fact, entity="provider_id", date="as_of_date",
         keys=["product_id", "rate_kind", "rate_type"],
         sentinel_keys={"tier_name": "", "tier_unit_of_measure": "",
-                       "tier_minimum_value": -1, "tier_maximum_value": -1},
+                       "tier_minimum_value": -1, "tier_maximum_value": -1, **{k: "" for k in extra_keys}},
         value="rate", carry=["brand_name", "product_name", "product_category"],
         previous_date_name="previous_as_of_date", current_date_name="current_as_of_date",
         previous_value_name="previous_rate", current_value_name="current_rate",
         as_of=as_of, **kw)
-    return out.select(*RATE_CHANGE_COLUMNS)
+    return out.select(*RATE_CHANGE_COLUMNS, *extra_keys)

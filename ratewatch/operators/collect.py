@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ratewatch.functions.casting import first_truthy, nullif_empty
 from ratewatch.functions.jsonpath import as_variant, json_array, json_member, json_text
 from ratewatch.functions.text import fill_template, url_join
-from ratewatch.operators.joins import join_small
 
 # Endpoint names and request paths.
 PRODUCTS_ENDPOINT = "banking:get-products"
@@ -77,7 +76,7 @@ def detail_requests(product_ids: DataFrame, brands: DataFrame, template: str = P
     b = brands.select(F.col("data_holder_brand_id").alias("provider_id"),
                       first_truthy("product_base_uri", "public_base_uri").alias("_base")).filter(
         F.col("_base").isNotNull())
-    j = join_small(ids, b, "provider_id")
+    j = ids.join(b, "provider_id")
     return (j.select("provider_id", "product_id", F.lit(DETAIL_ENDPOINT).alias("endpoint"),
                      url_join(F.col("_base"), fill_template(F.lit(template), F.col("product_id"))).alias("url"))
              .orderBy("provider_id", "product_id"))

@@ -120,14 +120,14 @@ QUALIFY row_number() OVER (PARTITION BY provider_id, product_id, as_of_date
 
 def snapshot_diff_sql(src: str, entity: str, date: str, strict: list[str], sentinel: dict[str, str],
                       value: str, carry: list[str], names: dict[str, str], where_current: str = "") -> str:
-    """Snapshot diff in plain SQL: distinct values per key and snapshot, ranked, paired by rank
-    with a full outer join (a plain-SQL statement of the same semantics)."""
-    keys_norm = [f"{k}" for k in strict] + [f"coalesce({k}, {s}) AS _n_{k}" for k, s in sentinel.items()]
+    """Snapshot diff of repeated keys in plain SQL: values held by both snapshots cancel, the rest is
+    ranked on each side and joined by rank."""
     part = [entity, *strict, *[f"_n_{k}" for k in sentinel]]
     pick_order = ", ".join(f"{c} ASC NULLS LAST" for c in carry + list(sentinel))
     on = " AND ".join([f"c.{entity} = p.{entity}", f"c.{date} = p._next", f"c._prev = p.{date}"]
-                      + [f"c.{k} = p.{k}" for k in strict] + [f"c._n_{k} = p._n_{k}" for k in sentinel]
-                      + ["c._rank = p._rank"])
+                      + [f"c.{k} = p.{k}" for k in strict] + [f"c._n_{k} = p._n_{k}" for k in sentinel])
+    held = f"{on} AND c.{value} IS NOT DISTINCT FROM p.{value}"
+    rank = f"row_number() OVER (PARTITION BY {', '.join(part)}, {date} ORDER BY {value} ASC NULLS LAST) AS _rank"
     out_cols = [f"coalesce(c.{entity}, p.{entity}) AS {entity}"]
     out_cols += [f"coalesce(c.{k}, p.{k}) AS {k}" for k in strict + list(sentinel) + carry]
     out_cols += [f"coalesce(c._prev, p.{date}) AS {names['pd']}", f"coalesce(c.{date}, p._next) AS {names['cd']}",
@@ -139,14 +139,13 @@ d AS (SELECT {entity}, {date}, lag({date}) OVER w AS _prev, lead({date}) OVER w
       FROM d0 WINDOW w AS (PARTITION BY {entity} ORDER BY {date})),
 f AS (SELECT src.*, d._prev, d._next, {", ".join(f"coalesce(src.{k}, {s}) AS _n_{k}" for k, s in sentinel.items()) or "1 AS _dummy"}
       FROM src JOIN d USING ({entity}, {date})),
-r AS (SELECT *, dense_rank() OVER (PARTITION BY {", ".join(part)}, {date} ORDER BY {value} ASC NULLS LAST) AS _rank,
-             row_number() OVER (PARTITION BY {", ".join(part)}, {date}, {value}
+r AS (SELECT *, row_number() OVER (PARTITION BY {", ".join(part)}, {date}, {value}
                                 ORDER BY {pick_order or value}) AS _rn
       FROM f),
 u AS (SELECT * FROM r WHERE _rn = 1),
-c AS (SELECT * FROM u WHERE _prev IS NOT NULL),
-p AS (SELECT * FROM u WHERE _next IS NOT NULL),
-j AS (SELECT {", ".join(out_cols)} FROM c FULL OUTER JOIN p ON {on})
+c0 AS (SELECT *, {rank} FROM u c WHERE _prev IS NOT NULL AND NOT EXISTS (SELECT 1 FROM u p WHERE {held})),
+p0 AS (SELECT *, {rank} FROM u p WHERE _next IS NOT NULL AND NOT EXISTS (SELECT 1 FROM u c WHERE {held})),
+j AS (SELECT {", ".join(out_cols)} FROM c0 c FULL OUTER JOIN p0 p ON {on} AND c._rank = p._rank)
 SELECT * FROM j WHERE {names['pv']} IS DISTINCT FROM {names['cv']} {where_current}"""
 
 
@@ -177,6 +176,25 @@ ORDER BY abs(current_rate - previous_rate) DESC NULLS LAST, provider_id, product
          tier_maximum_value NULLS LAST, previous_rate NULLS LAST, current_rate NULLS LAST
 LIMIT 200"""
 
+# the mart's own rule, written plainly: a full outer join of neighbouring snapshots on unique keys
+ORACLE["rate_changes_keyed"] = "WITH " + PRICING_LINES + """,
+f AS (SELECT provider_id, as_of_date, product_id, rate_kind, rate_type, coalesce(tier_name, '') AS tn,
+             coalesce(tier_minimum_value, -1) AS tmin, max(brand_name) AS brand_name, max(rate) AS rate
+      FROM (""" + RATE_FACT + """) r GROUP BY ALL),
+d AS (SELECT provider_id, as_of_date, lag(as_of_date) OVER w AS prev, lead(as_of_date) OVER w AS next
+      FROM (SELECT DISTINCT provider_id, as_of_date FROM f) WINDOW w AS (PARTITION BY provider_id ORDER BY as_of_date)),
+cur AS (SELECT f.*, d.prev FROM f JOIN d USING (provider_id, as_of_date) WHERE d.prev IS NOT NULL),
+prv AS (SELECT f.*, d.next FROM f JOIN d USING (provider_id, as_of_date) WHERE d.next IS NOT NULL)
+SELECT coalesce(c.provider_id, p.provider_id) AS provider_id, coalesce(c.brand_name, p.brand_name) AS brand_name,
+       coalesce(c.product_id, p.product_id) AS product_id, coalesce(c.rate_kind, p.rate_kind) AS rate_kind,
+       coalesce(c.rate_type, p.rate_type) AS rate_type, coalesce(c.tn, p.tn) AS tier_name,
+       coalesce(c.tmin, p.tmin) AS tier_minimum_value, coalesce(c.prev, p.as_of_date) AS previous_as_of_date,
+       coalesce(c.as_of_date, p.next) AS current_as_of_date, p.rate AS previous_rate, c.rate AS current_rate
+FROM cur c FULL OUTER JOIN prv p
+  ON c.provider_id = p.provider_id AND c.prev = p.as_of_date AND c.product_id = p.product_id
+ AND c.rate_kind = p.rate_kind AND c.rate_type = p.rate_type AND c.tn = p.tn AND c.tmin = p.tmin
+WHERE c.rate IS DISTINCT FROM p.rate"""
+
 ORACLE["rate_changes_flat"] = "WITH " + snapshot_diff_sql(
     """SELECT l_suppkey, l_partkey, l_linestatus, CAST(date_trunc('year', l_shipdate) AS DATE) AS as_of,
               CAST(l_discount AS DECIMAL(12,2)) AS discount FROM lineitem""",

@@ -87,6 +87,18 @@ def q_rate_changes(spark, sf_dir):
     return _models(spark, sf_dir).rate_changes()
 
 
+@register("rate_changes_keyed")
+def q_rate_changes_keyed(spark, sf_dir):
+    """MOD8 where keys are unique in every snapshot (one rate per key): the mart's full outer join."""
+    fact = _models(spark, sf_dir).fct_product_rates
+    keys = ["provider_id", "as_of_date", "product_id", "rate_kind", "rate_type"]
+    one = (fact.withColumn("tier_name", F.coalesce("tier_name", F.lit("")))
+           .withColumn("tier_minimum_value", F.coalesce("tier_minimum_value", F.lit(-1).cast("decimal(28,10)")))
+           .groupBy(*keys, "tier_name", "tier_minimum_value").agg(F.max("brand_name").alias("brand_name"), F.max("rate").alias("rate")))
+    return snapshot_changes(one, entity="provider_id", date="as_of_date", keys=["product_id", "rate_kind", "rate_type"],
+                            sentinel_keys={"tier_name": "", "tier_minimum_value": -1}, value="rate", carry=["brand_name"])
+
+
 @register("rate_changes_as_of")
 def q_rate_changes_as_of(spark, sf_dir):
     """Same mart, pruned to one current date before the joins."""

@@ -192,11 +192,10 @@ def event_runs(events: DataFrame) -> DataFrame:
 
 def event_brands(events: DataFrame, runs: DataFrame) -> DataFrame:
     """``data_holder_brand``: a run registers every user active that day or the day before."""
-    from ratewatch.operators.joins import join_small
     days = (events.select(F.to_date("ts").alias("run_date"), "user_id")
             .union(events.select(F.date_add(F.to_date("ts"), 1).alias("run_date"), "user_id"))
             .distinct())
-    days = join_small(days, runs.select("run_id", "run_date", "run_started_at"), "run_date")
+    days = days.join(runs.select("run_id", "run_date", "run_started_at"), "run_date")
     u = F.col("user_id").cast("string")
     return days.select(
         "run_id", F.concat(F.lit("user-"), u).alias("data_holder_brand_id"),
