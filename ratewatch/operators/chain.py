@@ -1,28 +1,32 @@
-"""Follow next-page links per provider, with loop detection and a page cap.
+"""Follow next-page links, with loop detection and an optional page cap.
 
-A provider's walk starts at its first-page URL and follows ``next`` links. It stops after a page
-with no next link or an unusable response, when the next URL was already visited (audit row
-"loop"), or when the page cap is reached (audit row "limit exceeded"; the cap check comes first).
+A walk starts at its first-page URL and follows ``next`` links. It ends after a page with no next link
+or an unusable response, or when the next URL was already visited (audit row "loop"). A caller may
+also pass ``cap``: then it ends there with the audit row "limit exceeded" (checked first).
 
-Instead of one join per step (up to ``cap`` joins), successors are composed by doubling:
-J0 = next, J(k+1) = Jk o Jk, for 2^K > cap. Every (provider, position 0..cap) row then finds its
-page with K lookups (one per bit of the position). Work is K self-joins of the link table plus K
-joins over providers x (cap+1) positions; nothing per step, nothing per provider in one task.
+Walks are kept apart by ``keys``, provider by default; with several runs in the link table, give
+(run, provider). Equal links count once; of differing links of one page the least next URL is followed.
+
+The visited block doubles: positions [0, 2^k) joined to the 2^k-step jump table give the next 2^k
+positions, and the jump table joined to itself gives the next jump. Only walks that are still open go
+on, and only links with a successor, so rounds are log2 of the longest walk and each is two joins.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# The default page cap and the audit texts.
-DEFAULT_PAGE_CAP = 200
+# The audit texts.
 LIMIT_TEXT = "Pagination limit exceeded ({cap})"
 LOOP_TEXT = "Pagination loop detected from links.next"
 
 
-def follow_links(starts: DataFrame, links: DataFrame, cap: int = DEFAULT_PAGE_CAP) -> DataFrame:
-    """starts(provider_id, url); links(provider_id, url, next_url, usable).
+def follow_links(starts: DataFrame, links: DataFrame, cap: int | None = None,
+                 keys: Sequence[str] = ("provider_id",)) -> DataFrame:
+    """starts(*keys, url); links(*keys, url, next_url, usable).
 
     Returns one row per visited page (kind='page', page_num 1..) and one per audit stop
     (kind='audit', http_status 0, error text). ``next_url`` should already be resolved (absolute);
@@ -30,39 +34,39 @@ def follow_links(starts: DataFrame, links: DataFrame, cap: int = DEFAULT_PAGE_CA
     """
     from ratewatch.session import checkpoint_dir
     checkpoint_dir(links.sparkSession)
-    k_max = max(1, cap.bit_length())
-    succ = links.select(
-        "provider_id", "url",
-        F.when(F.col("usable") & (F.coalesce(F.col("next_url"), F.lit("")) != ""), F.col("next_url")).alias("nxt"))
-    # Each level joins the previous level with itself; checkpoint it so the plan (and recovery
-    # after a lost executor) does not grow with 2^level copies of the link table.
-    jumps = [succ.checkpoint(eager=True)]
-    for _ in range(1, k_max):
-        j = jumps[-1]
-        nxt = j.select(F.col("provider_id").alias("_p2"), F.col("url").alias("_mid"), F.col("nxt").alias("_nxt2"))
-        j2 = (j.join(nxt, (F.col("provider_id") == F.col("_p2")) & (F.col("nxt") == F.col("_mid")), "left")
-               .select("provider_id", "url", F.col("_nxt2").alias("nxt")))
-        jumps.append(j2.checkpoint(eager=True))
-
-    pos = starts.select("provider_id", F.col("url").alias("node"),
-                        F.explode(F.sequence(F.lit(0), F.lit(cap))).alias("p"))
-    for k, j in enumerate(jumps):
-        jj = j.select(F.col("provider_id").alias("_pid"), F.col("url").alias("_u"), F.col("nxt").alias("_n"))
-        bit = F.shiftright(F.col("p"), k).bitwiseAND(F.lit(1)) == 1
-        pos = (pos.join(jj, (F.col("provider_id") == F.col("_pid")) & (F.col("node") == F.col("_u")) & bit, "left")
-                  .select("provider_id", "p", F.when(bit, F.col("_n")).otherwise(F.col("node")).alias("node")))
+    keys = list(keys)
+    jump = (links.filter(F.col("usable") & (F.coalesce(F.col("next_url"), F.lit("")) != ""))
+            .groupBy(*keys, "url").agg(F.min("next_url").alias("nxt")).checkpoint(eager=True))
+    seen = (starts.select(*keys, F.col("url").alias("node")).filter(F.col("node").isNotNull()).distinct()
+            .groupBy(*keys).agg(F.min("node").alias("node")).withColumn("p", F.lit(0).cast("long"))
+            .checkpoint(eager=True))
+    size = 1
+    while True:
+        step = jump.withColumnRenamed("url", "node")
+        more = seen.join(step, [*keys, "node"]).select(*keys, F.col("nxt").alias("node"), (F.col("p") + size).alias("p"))
+        seen = seen.unionByName(more)
+        # a walk is cut at its first repeated page, and at the cap
+        again = F.row_number().over(Window.partitionBy(*keys, "node").orderBy("p")) > 1
+        stop = again if cap is None else again | (F.col("p") >= cap)
+        seen = seen.withColumn("_stop", stop)
+        ends = seen.filter("_stop").groupBy(*keys).agg(F.min("p").alias("_end"))
+        seen = (seen.join(ends, keys, "left").filter(F.col("_end").isNull() | (F.col("p") <= F.col("_end")))
+                .withColumn("open", F.col("_end").isNull()).drop("_end", "_stop").checkpoint(eager=True))
+        size *= 2
+        # only a walk that filled its block and wasn't cut can go on
+        open_walks = seen.filter(F.col("open") & (F.col("p") == size - 1)).select(*keys)
+        seen = seen.drop("open")
+        if open_walks.isEmpty():
+            break
+        second = jump.select(*keys, F.col("url").alias("nxt"), F.col("nxt").alias("_far"))
+        jump = (jump.join(open_walks, keys, "left_semi").join(second, [*keys, "nxt"])
+                .select(*keys, "url", F.col("_far").alias("nxt")).checkpoint(eager=True))
 
-    first_seen = F.min("p").over(Window.partitionBy("provider_id", "node"))
-    pos = pos.withColumn("is_repeat", F.col("node").isNotNull() & (F.col("p") > first_seen))
-    stop = F.col("node").isNull() | F.col("is_repeat") | (F.col("p") == cap)
-    pos = pos.withColumn("end_p", F.min(F.when(stop, F.col("p"))).over(Window.partitionBy("provider_id")))
-    pages = pos.filter((F.col("p") < F.col("end_p")) & F.col("node").isNotNull()).select(
-        "provider_id", (F.col("p") + 1).alias("page_num"), F.col("node").alias("url"),
-        F.lit("page").alias("kind"), F.lit(None).cast("int").alias("http_status"),
-        F.lit(None).cast("string").alias("error"))
-    audit_cond = (F.col("p") == F.col("end_p")) & F.col("node").isNotNull()
-    audits = pos.filter(audit_cond).select(
-        "provider_id", (F.col("p") + 1).alias("page_num"), F.col("node").alias("url"),
-        F.lit("audit").alias("kind"), F.lit(0).alias("http_status"),
-        F.when(F.col("p") == cap, F.lit(LIMIT_TEXT.format(cap=cap))).otherwise(F.lit(LOOP_TEXT)).alias("error"))
-    return pages.unionByName(audits)
+    repeat = F.row_number().over(Window.partitionBy(*keys, "node").orderBy("p")) > 1
+    at_cap = F.lit(False) if cap is None else F.col("p") == cap
+    walked = seen.withColumn("_audit", F.when(at_cap, F.lit(LIMIT_TEXT.format(cap=cap))).when(repeat, F.lit(LOOP_TEXT)))
+    audit = F.col("_audit").isNotNull()
+    return walked.select(
+        *keys, (F.col("p") + 1).cast("int").alias("page_num"), F.col("node").alias("url"),
+        F.when(audit, F.lit("audit")).otherwise(F.lit("page")).alias("kind"),
+        F.when(audit, F.lit(0)).alias("http_status"), F.col("_audit").alias("error"))

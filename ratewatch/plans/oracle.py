@@ -539,7 +539,7 @@ SELECT event_id, json_extract_string(props, '$.k') AS k_text,
 FROM events"""
 
 
-ORACLE["page_chain"] = """
+ORACLE["page_chain_capped"] = """
 WITH RECURSIVE
 l AS (
   SELECT 'blk-' || CAST(event_id // 300 AS VARCHAR) AS provider_id,
@@ -572,6 +572,37 @@ SELECT provider_id, p + 1, url, 'audit', 0,
        CASE WHEN p = 200 THEN 'Pagination limit exceeded (200)' ELSE 'Pagination loop detected from links.next' END
 FROM walk WHERE p = 200 OR rep"""
 
+ORACLE["page_chain"] = """
+WITH RECURSIVE
+l AS (
+  SELECT 'blk-' || CAST(event_id // 300 AS VARCHAR) AS provider_id,
+         'https://blk-' || CAST(event_id // 300 AS VARCHAR) || '.example.com/cds/banking/products?page='
+           || CAST(event_id AS VARCHAR) AS url,
+         CASE WHEN event_type = 'error' AND value > 250 THEN NULL
+              WHEN event_type = 'signup' AND value > 250 THEN NULL
+              WHEN event_type = 'purchase' AND value > 250
+                THEN 'https://blk-' || CAST(event_id // 300 AS VARCHAR) || '.example.com/cds/banking/products?page='
+                     || CAST((event_id // 300) * 300 AS VARCHAR)
+              WHEN (event_id + 1) // 300 <> event_id // 300 THEN NULL
+              ELSE 'https://blk-' || CAST(event_id // 300 AS VARCHAR) || '.example.com/cds/banking/products?page='
+                   || CAST(event_id + 1 AS VARCHAR) END AS nxt
+  FROM events),
+s AS (SELECT 'blk-' || CAST(event_id // 300 AS VARCHAR) AS provider_id,
+             'https://blk-' || CAST(event_id // 300 AS VARCHAR) || '.example.com/cds/banking/products?page='
+               || CAST(min(event_id) AS VARCHAR) AS url
+      FROM events GROUP BY event_id // 300),
+walk(provider_id, p, url, seen, rep) AS (
+  SELECT provider_id, 0, url, [url], false FROM s
+  UNION ALL
+  SELECT w.provider_id, w.p + 1, l.nxt, list_append(w.seen, l.nxt), list_contains(w.seen, l.nxt)
+  FROM walk w JOIN l ON l.provider_id = w.provider_id AND l.url = w.url
+  WHERE NOT w.rep AND l.nxt IS NOT NULL),
+runs AS (SELECT unnest(['run-1', 'run-2']) AS run_id)
+SELECT run_id, provider_id, p + 1 AS page_num, url, CASE WHEN rep THEN 'audit' ELSE 'page' END AS kind,
+       CASE WHEN rep THEN 0 END AS http_status,
+       CASE WHEN rep THEN 'Pagination loop detected from links.next' END AS error
+FROM walk CROSS JOIN runs"""
+
 
 ORACLE["rate_change_markdown"] = """
 SELECT '| ' || concat_ws(' | ', coalesce(brand_name, 'None'), coalesce(nullif(product_name, ''), product_id),

@@ -461,12 +461,26 @@ def q_json_extract(spark, sf_dir):
                      json_text(v, "missing").alias("missing_text"))
 
 
+def _two_runs(df):
+    """The frame for two runs, every row twice: as a link table looks after a repeated collection."""
+    runs = F.explode(F.array(F.lit("run-1"), F.lit("run-2"), F.lit("run-1"), F.lit("run-2")))
+    return df.withColumn("run_id", runs)
+
+
 @register("page_chain")
 def q_page_chain(spark, sf_dir):
-    """Pages visited per provider chain plus loop / limit audit rows (cap 200)."""
+    """COL6: whole page walks of two runs over links that are stored twice, with loop audit rows."""
+    from ratewatch.operators.chain import follow_links
+    starts, links = testbed.event_links(_events(spark, sf_dir))
+    return follow_links(_two_runs(starts), _two_runs(links), keys=["run_id", "provider_id"])
+
+
+@register("page_chain_capped")
+def q_page_chain_capped(spark, sf_dir):
+    """COL7: pages visited per provider plus loop / limit audit rows, with a cap of 200 pages."""
     from ratewatch.operators.chain import follow_links
     starts, links = testbed.event_links(_events(spark, sf_dir))
-    return follow_links(starts, links)
+    return follow_links(starts, links, cap=200)
 
 
 @register("rate_change_markdown")
