@@ -638,3 +638,21 @@ brands_full AS (
 
 
 ORACLE["table_checks"] = _table_checks_sql()
+
+LANDED = EVENT_FETCH + """,
+bodies AS (
+  SELECT event_id, user_id, d, ts,
+         sha256(CASE event_type WHEN 'error' THEN '{"k":' || k ELSE payload END || CASE WHEN event_id % 7 = 0 THEN chr(10) ELSE '' END) AS h,
+         event_type <> 'error' AS parsed,
+         'https://api.user-' || CAST(user_id AS VARCHAR) || '.example.com/cds/banking/products?page=' || CAST(event_id AS VARCHAR) AS url
+  FROM evp WHERE event_type <> 'signup'),
+last_call AS (SELECT user_id, d, h, max(ts) AS ts, arg_max(url, (ts, url)) AS url FROM bodies GROUP BY ALL),
+landed AS (
+  SELECT 'run-' || strftime(b.d, '%Y-%m-%d') AS run_id, 'user-' || CAST(b.user_id AS VARCHAR) AS provider_id,
+         'banking:get-products' AS endpoint, c.url, b.event_id AS page_num, 200 AS http_status, c.ts AS fetched_at,
+         b.h AS payload_hash, b.parsed
+  FROM bodies b JOIN last_call c USING (user_id, d, h))"""
+ORACLE["landed_pages"] = "WITH " + LANDED + " SELECT * FROM landed"
+ORACLE["parse_error_calls"] = "WITH " + LANDED + """
+SELECT run_id, provider_id, endpoint, url, http_status, 3 AS responded_xv, fetched_at, payload_hash, 'JSON parse error' AS error
+FROM landed WHERE NOT parsed"""

@@ -461,6 +461,22 @@ def q_json_extract(spark, sf_dir):
                      json_text(v, "missing").alias("missing_text"))
 
 
+@register("landed_pages")
+def q_landed_pages(spark, sf_dir):
+    """SRC1: landed bodies with their calls, one row per body; equal bodies recur on pages and days."""
+    from ratewatch.sources.landing import landing_to_pages
+    pages = landing_to_pages(*testbed.landed_bodies(_events(spark, sf_dir)))
+    return pages.select("run_id", "provider_id", "endpoint", "url", "page_num", "http_status", "fetched_at", "payload_hash",
+                        F.col("payload").isNotNull().alias("parsed"))
+
+
+@register("parse_error_calls")
+def q_parse_error_calls(spark, sf_dir):
+    """JSN4: error rows for OK calls whose body is no JSON."""
+    from ratewatch.sources.landing import parse_error_calls
+    return parse_error_calls(*testbed.landed_bodies(_events(spark, sf_dir))).drop("etag")
+
+
 def _two_runs(df):
     """The frame for two runs, every row twice: as a link table looks after a repeated collection."""
     runs = F.explode(F.array(F.lit("run-1"), F.lit("run-2"), F.lit("run-1"), F.lit("run-2")))

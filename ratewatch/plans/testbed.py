@@ -77,29 +77,30 @@ def landed_pricing_pages(spark: SparkSession, sf_dir: str, namespace: str | None
 
     In the pipeline the page table is at rest before any model runs; landing the packed pages
     once (instead of re-packing them in every query) mirrors that. The copy is keyed by the
-    test-bed version and the input folder.
+    test-bed version and the input's file listing (names, sizes, times, read through Spark, so on
+    any file system), and it counts only once its write has committed (``_SUCCESS``).
     """
     import hashlib
-
-    from pyspark.errors import AnalysisException
+    import os
 
     from ratewatch.session import checkpoint_dir
-    import os
-    src = f"{sf_dir}/lineitem.parquet"
-    ident = sf_dir
-    if os.path.exists(src):  # a changed input gets a new landed copy
-        st = os.stat(src)
-        ident = f"{sf_dir}|{st.st_size}|{st.st_mtime_ns}"
-    key = hashlib.sha1(ident.encode()).hexdigest()[:16]
+    lineitem = read(spark, sf_dir, "lineitem")
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def listed(path: str) -> str:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        s = p.getFileSystem(conf).getFileStatus(p)
+        return f"{path}|{s.getLen()}|{s.getModificationTime()}"
+
+    key = hashlib.sha1("\n".join(listed(f) for f in sorted(lineitem.inputFiles())).encode()).hexdigest()[:16]
     ns = namespace or os.environ.get("RATEWATCH_LANDING_NAMESPACE", "shared")
     path = f"{checkpoint_dir(spark).rstrip('/')}/landed/{TESTBED_VERSION}/{ns}/{key}/products_raw"
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        pass
-    # payload is stored parsed (VARIANT, the counterpart of jsonb): readers never re-parse text
-    (pricing_pages(read(spark, sf_dir, "lineitem")).withColumn("payload", F.try_parse_json("payload"))
-        .write.mode("overwrite").parquet(path))
+    done = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(conf).exists(done):
+        # payload is stored parsed (VARIANT, the counterpart of jsonb): readers never re-parse text
+        (pricing_pages(lineitem).withColumn("payload", F.try_parse_json("payload"))
+            .write.mode("overwrite").parquet(path))
     return spark.read.parquet(path)
 
 
@@ -245,6 +246,25 @@ def event_pages(events: DataFrame) -> DataFrame:
         "responded_xv", "fetched_at", "etag", "payload", "payload_hash")
 
 
+def landed_bodies(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Landed response bodies of the listing pages and the call log of their fetches. Bodies repeat
+    over days and pages, every seventh ends in a newline, and those of error events are no JSON."""
+    from ratewatch.functions.jsonpath import json_text
+    from ratewatch.functions.text import safe_path_component, sha256_hex
+    f = _event_fetches(events.filter(F.col("event_type") != "signup"))
+    k = events.select(F.col("event_id").alias("page_num"), json_text(F.try_parse_json("props"), "k").alias("k"))
+    f = f.join(k, "page_num")
+    body = F.when(F.col("event_type") == "error", F.concat(F.lit('{"k":'), "k")).otherwise(F.col("payload"))
+    f = f.withColumn("content", F.concat(body, F.when(F.col("page_num") % 7 == 0, F.lit("\n")).otherwise(F.lit(""))))
+    landed = f.select(F.to_date("fetched_at").cast("string").alias("ingestion_date"),
+                      safe_path_component(F.col("provider_id")).alias("provider"),
+                      safe_path_component(F.col("endpoint")).alias("endpoint"), "page_num", "content",
+                      F.lit(None).cast("string").alias("path"))
+    log = f.select("run_id", "provider_id", "endpoint", "url", F.lit(200).alias("http_status"), "responded_xv",
+                   "fetched_at", "etag", sha256_hex(F.col("content")).alias("payload_hash"))
+    return landed, log
+
+
 def event_dim(events: DataFrame) -> DataFrame:
     """Product rows of the events domain: latest (provider, event type, day) among OK pages."""
     from ratewatch.operators.latest import latest_per_key

@@ -1,10 +1,10 @@
 """Incremental landing ingest: new page files -> page table, fingerprints, drift events.
 
 The same batch operators run inside ``foreachBatch``: each micro-batch of newly landed files is
-turned into page rows (appended), fingerprinted (appended), and compared with the latest stored
-fingerprint of each (provider, endpoint) to append drift events. The file source and the
-checkpoint make the job restartable after a failure without re-reading processed files; each
-micro-batch writes with a batch id column so a replayed batch can be recognised downstream.
+turned into page rows, fingerprinted, and compared with the latest fingerprint that earlier batches
+stored for each (provider, endpoint). The file source and the checkpoint make the job restartable
+after a failure without re-reading processed files. Outputs are partitioned by batch id, so a
+replayed batch replaces its own rows and gives the same events.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ratewatch.operators.drift import drift_events, fingerprints
-from ratewatch.sources.landing import landing_to_pages
+from ratewatch.sources.landing import landed_body, landing_to_pages
 
 
 # binaryFile columns plus the landing partition columns (kept as strings)
@@ -30,28 +30,31 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _replace_batch(df: DataFrame, path: str) -> None:
+    """Write one micro-batch's partition; a replay of the batch replaces it."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+
 def start_landing_stream(spark: SparkSession, landing_root: str, out_root: str, checkpoint: str,
-                         written_by_spark: bool = True, available_now: bool = True) -> StreamingQuery:
+                         available_now: bool = True) -> StreamingQuery:
     """Start the stream. Outputs under ``out_root``: products_raw, schema_fingerprint, schema_drift_event."""
     files = (spark.readStream.format("binaryFile").schema(LANDED_FILE_SCHEMA).option("pathGlobFilter", "*")
              .option("maxFilesPerTrigger", 10000).load(landing_root))
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        body = F.col("content").cast("string")
-        if written_by_spark:
-            body = F.regexp_replace(body, r"\n\z", "")
+        body = landed_body(F.col("content"), F.col("path"))
         landed = batch.select("ingestion_date", "provider", "endpoint",
                               F.regexp_extract("path", r"page=([0-9]+)", 1).cast("long").alias("page_num"),
                               body.alias("content"), "path")
         pages = landing_to_pages(landed, run_id=f"stream-{batch_id}").withColumn("batch_id", F.lit(batch_id))
-        pages.write.mode("append").parquet(f"{out_root}/products_raw")
-        fps = fingerprints(pages).withColumn("batch_id", F.lit(batch_id))
-        history = _read_or_none(spark, f"{out_root}/schema_fingerprint")
-        fps = fps.persist()
-        events = drift_events(fps, history=history)
-        fps.write.mode("append").parquet(f"{out_root}/schema_fingerprint")
-        events.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(f"{out_root}/schema_drift_event")
-        fps.unpersist()
+        _replace_batch(pages, f"{out_root}/products_raw")
+        # a replayed batch compares with the batches before it, not with itself
+        stored = _read_or_none(spark, f"{out_root}/schema_fingerprint")
+        history = None if stored is None else stored.filter(F.col("batch_id").cast("long") < batch_id)
+        _replace_batch(fingerprints(pages).withColumn("batch_id", F.lit(batch_id)), f"{out_root}/schema_fingerprint")
+        fps = spark.read.parquet(f"{out_root}/schema_fingerprint").filter(F.col("batch_id").cast("long") == batch_id)
+        events = drift_events(fps, history=history).withColumn("batch_id", F.lit(batch_id))
+        _replace_batch(events, f"{out_root}/schema_drift_event")
 
     w = files.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
