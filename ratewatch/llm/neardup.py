@@ -11,11 +11,13 @@ of frequent pairs, at the end of that order, are never merged; a candidate's rem
 counted by intersecting the two signatures.
 
 Groups of near copies are joined without all their pairs. First each posted list is linked to one hub,
-its least class; then, in the lists that still hold several components, to a hub chosen by hash for
-each list; and last, classes of a list that lie in *different* components are paired, once, where
+the class that shares most of its coordinates with others: the text that the copies were made from,
+if it is there. Then classes of a list that lie in *different* components are paired, once, where
 they first meet. So links between different texts aren't lost: a pair in one component needs no
-comparison. Every link is confirmed on the full shingle sets. A third of all documents in one group
-costs about as many rows as documents.
+comparison. Before that last step the full sets of the classes in question are compared with all
+shingles that occur twice among them: sets of n and m shingles that are similar enough have 3/7 (n + m)
+in common, so a class with fewer such shingles has no partner of that size. Every link is confirmed on
+the full shingle sets. A third of all documents in one group costs about as many rows as documents.
 
 At similarity 0.75 a pair collides in 30 of 64 coordinates but with a chance below 1e-6; shingles are
 compared by 56-bit hashes.
@@ -99,6 +101,15 @@ def _confirm(batches):
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
 
+def _spread(batches):
+    """Classes' texts -> one row for each distinct shingle."""
+    for batch in batches:
+        ids = batch.column("k")
+        for i, off, hashes in shingle_sets(batch.column("text")):
+            rows = pa.array(np.repeat(np.arange(len(off) - 1), np.diff(off)) + i)
+            yield pa.RecordBatch.from_arrays([ids.take(rows), pa.array(hashes.view(np.int64))], ["k", "sh"])
+
+
 def _similar_sizes(x: str, y: str):
     """Similar enough sets can't differ more in size than this."""
     return 100 * F.least(x, y) >= PERCENT * F.greatest(x, y)
@@ -115,7 +126,8 @@ def _posted(tokens: DataFrame) -> DataFrame:
 
 def link_classes(posted: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, root) of the classes' components; ``texts`` (k, text) has a text of every posted class."""
-    lists = posted.select("k", "n", F.explode(F.slice("tokens", F.lit(1), F.col("prefix"))).alias("token"))
+    lists = posted.select("k", "n", (-F.size("tokens")).alias("o"),
+                          F.explode(F.slice("tokens", F.lit(1), F.col("prefix"))).alias("token"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that collide often enough and whose sets are similar, written."""
@@ -126,32 +138,28 @@ def link_classes(posted: DataFrame, texts: DataFrame) -> DataFrame:
         whole = near.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
         return cut(whole.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long"), "links")
 
-    def hub_pairs(rows: DataFrame, order) -> DataFrame:
-        hubs = rows.groupBy("token").agg(F.min(F.struct(order.alias("o"), F.col("k"), F.col("n"))).alias("hub"))
-        return (rows.join(hubs, "token").where((F.col("hub.k") != F.col("k")) & _similar_sizes("n", "hub.n"))
-                .select(F.greatest("k", "hub.k").alias("a"), F.least("k", "hub.k").alias("b")))
-
     def open_lists(roots: DataFrame) -> DataFrame:
         """Lists whose classes lie in several components, with the component of each class."""
         placed = lists.join(roots.withColumnRenamed("node", "k"), "k", "left").withColumn("root", F.coalesce("root", "k"))
         several = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
         return cut(placed.join(several.select("token"), "token"), "open")
 
-    links = confirmed(hub_pairs(lists, F.lit(0)).distinct())
-    roots = components(links)
-    left = open_lists(roots)
-    by_list = left.withColumnRenamed("root", "r")
-    hubs = by_list.groupBy("token").agg(F.min(F.struct(F.xxhash64("token", "k").alias("o"), F.col("k"), F.col("n"), F.col("r"))).alias("hub"))
-    across = (by_list.join(hubs, "token").where((F.col("hub.r") != F.col("r")) & _similar_sizes("n", "hub.n"))
-              .select(F.greatest("k", "hub.k").alias("a"), F.least("k", "hub.k").alias("b")).distinct())
-    links = links.unionByName(confirmed(across))
+    hubs = lists.groupBy("token").agg(F.min(F.struct("o", "k", "n")).alias("hub"))
+    links = confirmed(lists.join(hubs, "token").where((F.col("hub.k") != F.col("k")) & _similar_sizes("n", "hub.n"))
+                      .select(F.greatest("k", "hub.k").alias("a"), F.least("k", "hub.k").alias("b")).distinct())
     roots = components(links)
     # what is left: pairs of one list in different components, taken where they first meet
-    left = cut(open_lists(roots).join(posted.select("k", "tokens", "prefix"), "k"), "left")
+    left = open_lists(roots)
+    spread = cut(texts.join(left.select("k").distinct(), "k", "left_semi").mapInArrow(_spread, "k long, sh long"), "shingles")
+    twice = spread.groupBy("sh").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("sh")
+    shared = spread.join(twice, "sh").groupBy("k").agg(F.count(F.lit(1)).alias("shared"))
+    able = posted.join(shared, "k").where(F.col("shared") * 100 >= PERCENT * F.col("n")).select("k", "tokens", "prefix", "shared")
+    left = cut(left.join(able, "k"), "left")
+    enough = F.least("x.shared", "y.shared") * (100 + PERCENT) >= PERCENT * (F.col("x.n") + F.col("y.n"))
     x, y = left.alias("x"), left.alias("y")
     head = F.array_intersect(F.slice("x.tokens", F.lit(1), F.col("x.prefix")), F.slice("y.tokens", F.lit(1), F.col("y.prefix")))
     rest = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.k") > F.col("y.k"))
-                  & (F.col("x.root") != F.col("y.root")) & _similar_sizes("x.n", "y.n")
+                  & (F.col("x.root") != F.col("y.root")) & _similar_sizes("x.n", "y.n") & enough
                   & (F.size(F.array_intersect("x.tokens", "y.tokens")) >= LEAST_MATCHES)
                   & (F.get(head, F.lit(0)) == F.col("x.token"))).select(F.col("x.k").alias("a"), F.col("y.k").alias("b"))
     rest = cut(rest, "rest")
