@@ -1,9 +1,9 @@
 """Payload structure fingerprints and drift events.
 
 The path set of a document is computed inside the row with higher-order functions (no explode,
-no shuffle): level by level, objects contribute ``parent.key`` paths and arrays ``parent[]``;
-only the first 3 elements of an array are descended and nodes deeper than ``max_depth`` are not
-expanded. The fingerprint is SHA-256 of the sorted distinct paths joined by newlines (an empty
+no shuffle): level by level, objects contribute ``parent.key`` paths and arrays ``parent[]``. By
+default every element of every array is descended to the deepest level that the documents have (one
+pass over their brackets finds it); a caller may pass ``max_depth`` and ``max_elems`` to look at less. The fingerprint is SHA-256 of the sorted distinct paths joined by newlines (an empty
 set hashes the empty string).
 """
 
@@ -43,19 +43,34 @@ def _emitted(i: Column) -> Column:
     return F.concat(keys, F.coalesce(arr, F.array().cast("array<string>")))
 
 
-def _children(i: Column, max_elems: int) -> Column:
+def _depth(node: Column) -> Column:
+    """Levels of nesting of a document: the most brackets that are open at once in its JSON text."""
+    brackets = F.regexp_replace(F.to_json(node), r'"(?:\\.|[^"\\])*+"|[^\[\]{}]', "")
+    marks = F.transform(F.split(brackets, ""), lambda c: F.when(c.isin("[", "{"), 1).when(c.isin("]", "}"), -1).otherwise(0))
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    return F.aggregate(marks, start, lambda a, x: F.struct(
+        (a["now"] + x).alias("now"), F.greatest(a["most"], a["now"] + x).alias("most")), lambda a: a["most"])
+
+
+def payload_depth(df: DataFrame, payload: str) -> int:
+    """The deepest nesting among all documents (one aggregate; a number reaches the driver)."""
+    return df.select(F.max(_depth(as_variant(df, payload)))).first()[0] or 0
+
+
+def _children(i: Column, max_elems: int | None) -> Column:
     obj = F.transform(F.map_entries(i["m"]),
                       lambda e: F.struct(_child_path(i["path"], e["key"]).alias("path"), e["value"].alias("node")))
-    arr = F.transform(F.slice(i["a"], 1, max_elems),
+    arr = F.transform(i["a"] if max_elems is None else F.slice(i["a"], 1, max_elems),
                       lambda x: F.struct(F.concat(i["path"], F.lit("[]")).alias("path"), x.alias("node")))
     empty = F.array().cast(_EMPTY_NODES)
     return F.concat(F.coalesce(obj, empty), F.coalesce(arr, empty))
 
 
-def with_fingerprint(df: DataFrame, payload: str, max_depth: int = 4, max_elems: int = 3,
+def with_fingerprint(df: DataFrame, payload: str, max_depth: int | None = None, max_elems: int | None = None,
                      paths_col: str = "fingerprint_paths", hash_col: str = "fingerprint_hash") -> DataFrame:
     """Add the sorted structural path set and its SHA-256 fingerprint for ``payload``."""
     cols = df.columns
+    max_depth = payload_depth(df, payload) if max_depth is None else max_depth
     x = df.withColumn("_lvl", F.array(F.struct(F.lit("").alias("path"), as_variant(df, payload).alias("node"))))
     x = x.withColumn("_paths", F.array().cast("array<string>"))
     for depth in range(max_depth + 1):
@@ -70,11 +85,11 @@ def with_fingerprint(df: DataFrame, payload: str, max_depth: int = 4, max_elems:
 
 
 def fingerprints(pages: DataFrame, *, payload: str = "payload", observed_at: str = "fetched_at",
-                 ok_status: int = 200) -> DataFrame:
+                 ok_status: int = 200, max_depth: int | None = None, max_elems: int | None = None) -> DataFrame:
     """One fingerprint row per parsed page (``schema_fingerprint``): only pages whose payload parsed."""
     p = pages.filter(F.col("http_status") == ok_status).withColumn("_v", as_variant(pages, payload))
     p = p.filter(F.col("_v").isNotNull())
-    fp = with_fingerprint(p, "_v")
+    fp = with_fingerprint(p, "_v", max_depth, max_elems)
     extra = [c for c in ("page_num",) if c in pages.columns]
     return fp.select("provider_id", "endpoint", "fingerprint_hash", "fingerprint_paths",
                      F.col(observed_at).alias("observed_at"), "run_id", *extra)
@@ -89,7 +104,8 @@ def drift_events(fps: DataFrame, history: DataFrame | None = None,
                      F.lit(1).alias("_new"))
     if history is not None:
         seed = (history.groupBy("provider_id", "endpoint")
-                .agg(F.max_by("fingerprint_hash", "observed_at").alias("fingerprint_hash"),
+                .agg(F.max_by("fingerprint_hash", F.struct("observed_at", *[c for c in tie if c in history.columns],
+                                                           "fingerprint_hash")).alias("fingerprint_hash"),
                      F.max("observed_at").alias("observed_at"))
                 .select("provider_id", "endpoint", "fingerprint_hash", "observed_at",
                         F.lit(None).cast("string").alias("run_id"),

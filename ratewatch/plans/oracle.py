@@ -285,10 +285,11 @@ fp0 AS (
          CASE event_type
            WHEN 'view' THEN ['data', 'data.products', 'data.products[]', 'data.products[].productId',
                              'links', 'links.next']
-           WHEN 'click' THEN ['data', 'data.products', 'data.products[]', 'data.products[].productId',
-                              'links', 'links.next', 'meta', 'meta.k']
+           WHEN 'click' THEN ['data', 'data.products', 'data.products[]', 'data.products[].extra',
+                              'data.products[].productId', 'links', 'links.next', 'meta', 'meta.k']
            WHEN 'purchase' THEN ['data', 'data.products', 'data.products[]', 'data.products[].fees',
-                                 'data.products[].fees[]', 'data.products[].productId', 'links', 'links.next']
+                                 'data.products[].fees[]', 'data.products[].fees[].amount', 'data.products[].productId',
+                                 'links', 'links.next']
          END AS paths
   FROM pages WHERE http_status = 200 AND payload IS NOT NULL),
 fp AS (SELECT *, sha256(array_to_string(paths, chr(10))) AS fingerprint_hash FROM fp0),
@@ -301,6 +302,10 @@ drift AS (SELECT provider_id, endpoint, old AS old_fingerprint_hash, fingerprint
 ORACLE["fingerprints"] = "WITH " + FINGERPRINTS + """
 SELECT provider_id, endpoint, fingerprint_hash, array_to_string(paths, '|') AS fingerprint_path_list,
        observed_at, run_id, page_num FROM fp"""
+ORACLE["fingerprints_limited"] = "WITH " + FINGERPRINTS + """,
+few AS (SELECT *, list_filter(paths, lambda x: x IN ('data', 'data.products', 'links', 'links.next', 'meta', 'meta.k')) AS upper FROM fp0)
+SELECT provider_id, endpoint, sha256(array_to_string(upper, chr(10))) AS fingerprint_hash,
+       array_to_string(upper, '|') AS fingerprint_path_list, observed_at, run_id, page_num FROM few"""
 ORACLE["drift_events"] = "WITH " + FINGERPRINTS + " SELECT * FROM drift"
 ORACLE["drift_report"] = "WITH " + FINGERPRINTS + """
 SELECT provider_id, endpoint, old_fingerprint_hash, new_fingerprint_hash, observed_at FROM drift

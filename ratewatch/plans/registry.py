@@ -185,6 +185,14 @@ def q_fingerprints(spark, sf_dir):
                      "observed_at", "run_id", "page_num")
 
 
+@register("fingerprints_limited")
+def q_fingerprints_limited(spark, sf_dir):
+    """DRF1 with the limits of the original pipeline: first elements of arrays, upper levels only."""
+    from ratewatch.operators.drift import fingerprints
+    fp = fingerprints(testbed.event_pages(_events(spark, sf_dir)), max_depth=1, max_elems=3)
+    return fp.withColumn("fingerprint_path_list", F.array_join("fingerprint_paths", "|")).drop("fingerprint_paths")
+
+
 @register("drift_events")
 def q_drift_events(spark, sf_dir):
     """DRF3: fingerprint changes between consecutive observations of a provider endpoint."""
@@ -218,7 +226,7 @@ def _qa_gates(spark, sf_dir):
         spark, QA_DATE, coverage=cov, dim_products=dim,
         rate_changes=lambda: rate_changes(testbed.event_rate_fact(ev), as_of=QA_DATE),
         pages=pages,
-        drift_events=lambda: drift_events(fingerprints(pages)),
+        drift_events=lambda: drift_events(fingerprints(pages, max_depth=4, max_elems=3)),
         tests=[Q.unique_combo(dim, ["provider_id", "product_id", "as_of_date"]),
                Q.not_null(dim, ["provider_id", "product_id", "as_of_date"]).filter(F.col("null_rows") > 0),
                Q.unique_combo(cov, ["as_of_date", "provider_id"])])
