@@ -11,6 +11,9 @@ from ratewatch.schemas import NUMERIC
 # optional fraction). \A and \z anchor the whole string, so a trailing newline is rejected.
 NUMERIC_TEXT_PATTERN = r"\A-?[0-9]+(\.[0-9]+)?\z"
 
+# Timestamps begin with year, month and day.
+DATE_PATTERN = r"\A\s*[0-9]{4,6}-[0-9]{1,2}-[0-9]{1,2}"
+
 # Boolean spellings accepted after trimming and lower-casing (unique prefixes of
 # true/false/yes/no, "on", "of"/"off", and the digits 1/0).
 BOOL_TRUE_WORDS = ["t", "tr", "tru", "true", "y", "ye", "yes", "on", "1"]
@@ -34,8 +37,20 @@ def to_numeric(c, dtype=NUMERIC) -> Column:
 
 
 def to_timestamptz(c) -> Column:
-    """Text -> timestamp; '' -> NULL; unparseable -> NULL (lenient, counted by callers)."""
-    return nullif_empty(_col(c).cast("string")).try_cast("timestamp")
+    """Text -> timestamp; '' and text that doesn't begin with a whole date -> NULL (so a time of day
+    or a bare year is not completed from the clock or the calendar)."""
+    text = _col(c).cast("string")
+    return F.when(text.rlike(DATE_PATTERN), text.try_cast("timestamp"))
+
+
+def bad_timestamps(c) -> Column:
+    """Aggregate: how many non-empty texts the timestamp cast rejects."""
+    return F.count_if(nullif_empty(_col(c).cast("string")).isNotNull() & to_timestamptz(c).isNull())
+
+
+def bad_numbers(c) -> Column:
+    """Aggregate: how many non-empty texts the numeric cast rejects (or can't hold)."""
+    return F.count_if(nullif_empty(_col(c).cast("string")).isNotNull() & to_numeric(c).isNull())
 
 
 def to_bool_pg(c) -> Column:

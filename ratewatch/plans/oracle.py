@@ -613,8 +613,8 @@ ORACLE["rate_change_markdown"] = """
 SELECT '| ' || concat_ws(' | ', coalesce(brand_name, 'None'), coalesce(nullif(product_name, ''), product_id),
                          coalesce(product_category, ''),
                          coalesce(rate_kind, 'None') || '/' || coalesce(rate_type, 'None'), coalesce(tier_name, ''),
-                         coalesce(CAST(previous_rate AS VARCHAR), 'None'), coalesce(CAST(current_rate AS VARCHAR), 'None'),
-                         coalesce(CAST(delta AS VARCHAR), 'None')) || ' |' AS line
+                         coalesce(CASE WHEN previous_rate = 0 THEN '0' ELSE rtrim(rtrim(CAST(previous_rate AS VARCHAR), '0'), '.') END, 'None'), coalesce(CASE WHEN current_rate = 0 THEN '0' ELSE rtrim(rtrim(CAST(current_rate AS VARCHAR), '0'), '.') END, 'None'),
+                         coalesce(CASE WHEN delta = 0 THEN '0' ELSE rtrim(rtrim(CAST(delta AS VARCHAR), '0'), '.') END, 'None')) || ' |' AS line
 FROM (""" + ORACLE["rate_change_report"] + """) r
 ORDER BY abs(delta) DESC NULLS LAST, provider_id, product_id, rate_kind, rate_type,
          tier_name NULLS LAST, previous_rate NULLS LAST, current_rate NULLS LAST
@@ -661,3 +661,35 @@ ORACLE["landed_pages"] = "WITH " + LANDED + " SELECT * FROM landed"
 ORACLE["parse_error_calls"] = "WITH " + LANDED + """
 SELECT run_id, provider_id, endpoint, url, http_status, 3 AS responded_xv, fetched_at, payload_hash, 'JSON parse error' AS error
 FROM landed WHERE NOT parsed"""
+
+ORACLE["qa_gates_strict"] = ORACLE["qa_gates"].split("SELECT 'providers_ok' AS gate_name")[0] + """
+SELECT 'providers_ok' AS gate_name, false AS passed, CAST(NULL AS DOUBLE) AS actual_value, 1.0::DOUBLE AS threshold_value,
+       'missing relation: expected mart_provider_coverage' AS details
+UNION ALL SELECT 'dim_products_rows', dim_rows >= 1000000000, CAST(dim_rows AS DOUBLE), 1e9,
+       """ + _fmt("dim_rows") + """ || ' < 1000000000.0' FROM m
+UNION ALL SELECT 'rate_changes_rows', false, NULL, 1.0, 'missing relation: expected mart_rate_changes'
+UNION ALL SELECT 'products_freshness_hours', coalesce(fresh <= 0.0, false), fresh, 0.0,
+       """ + _fmt("fresh") + """ || 'h > 0.0h' FROM m
+UNION ALL SELECT 'schema_drift_events', drift_n <= 0, CAST(drift_n AS DOUBLE), 0.0, """ + _fmt("drift_n") + """ || ' > 0.0' FROM m
+UNION ALL SELECT 'dbt_tests', true, 1.0, 1.0, 'skipped'"""
+
+
+def _declared_tests_sql() -> str:
+    from ratewatch.plans.qa import DECLARED_TESTS
+    src = {"dim_products": "dim_products", "fct_product_rates": "fct_product_rates", "mart_rate_changes": "rate_changes",
+           "mart_provider_coverage": "provider_coverage"}
+    parts = []
+    for model, test, cols in DECLARED_TESTS:
+        if test == "unique_combo":
+            key = ", ".join(cols)
+            parts.append((model, test, ",".join(cols), f"SELECT count(*) FROM (SELECT {key} FROM {model} GROUP BY {key} HAVING count(*) > 1) q"))
+        elif test == "not_null":
+            parts += [(model, test, c, f"SELECT count(*) FROM {model} WHERE {c} IS NULL") for c in cols]
+        else:
+            values = ", ".join(f"'{v}'" for v in cols[1:])
+            parts.append((model, test, cols[0], f"SELECT count(*) FROM {model} WHERE {cols[0]} NOT IN ({values})"))
+    return ("WITH " + ",\n".join(f"{m} AS ({ORACLE[q]})" for m, q in src.items()) + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{m}' AS model, '{t}' AS test, '{c}' AS columns, ({sql}) AS failing_rows" for m, t, c, sql in parts))
+
+
+ORACLE["declared_tests"] = _declared_tests_sql()

@@ -1,9 +1,18 @@
-"""QA run: the six gates over the built models for one QA date, thresholds as keyword arguments."""
+"""QA run: six gates over the built models for one QA date, the declared data tests, stored results.
+
+A gate is a row of ``GATES``: which input it reads, how its metric is computed and how the metric is
+held against a threshold. Missing inputs and metrics that can't be planned are failed gates;
+``evaluate_qa`` also computes each gate on its own, so one that fails at run time is a failed gate
+too and the others stand.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import date
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,60 +20,140 @@ from ratewatch.operators import quality as Q
 from ratewatch.operators.coverage import provider_ok
 
 
-def run_qa(spark: SparkSession, qa_date: date, *, coverage=None, dim_products=None, rate_changes=None,
-           pages=None, drift_events=None, tests: list[DataFrame] | None = None,
-           min_providers_ok: int | None = None, min_products: int | None = None,
-           min_rate_changes: int | None = None, max_freshness_hours: float | None = None,
-           fail_on_schema_drift: bool | None = None) -> DataFrame:
-    """Gate rows (gate_name, passed, actual_value, threshold_value, details).
+def _rows_on(column: str, condition: Callable | None = None):
+    def metric(df: DataFrame, day: date) -> DataFrame:
+        kept = df.filter(F.col(column).cast("date") == F.lit(day))
+        return Q.count_metric(kept if condition is None else kept.filter(condition(kept)))
+    return metric
 
-    Inputs are DataFrames or zero-argument callables returning one (so a missing table becomes a
-    failed gate instead of an error). Unset thresholds take the defaults.
-    """
-    t_prov = Q.DEFAULT_MIN_PROVIDERS_OK if min_providers_ok is None else min_providers_ok
-    t_prod = Q.DEFAULT_MIN_PRODUCTS if min_products is None else min_products
-    t_rc = Q.DEFAULT_MIN_RATE_CHANGES if min_rate_changes is None else min_rate_changes
-    t_fresh = Q.DEFAULT_MAX_FRESHNESS_HOURS if max_freshness_hours is None else max_freshness_hours
-    enforce = Q.DEFAULT_FAIL_ON_SCHEMA_DRIFT if fail_on_schema_drift is None else fail_on_schema_drift
-    d = F.lit(qa_date)
-
-    def get(x):
-        return x() if callable(x) else x
-
-    def missing(name, thr, what):
-        return Q.failed_gate(spark, name, float(thr), f"missing relation: expected {what}")
-
-    gates = []
-    if coverage is None:
-        gates.append(missing("providers_ok", t_prov, "mart_provider_coverage"))
-    else:
-        def prov():
-            cov = get(coverage)
-            return Q.count_metric(cov.filter((F.col("as_of_date") == d) & provider_ok(cov)))
-        gates.append(Q.gate_from(spark, "providers_ok", prov, t_prov))
-    if dim_products is None:
-        gates.append(missing("dim_products_rows", t_prod, "dim_products"))
-    else:
-        gates.append(Q.gate_from(spark, "dim_products_rows",
-                                 lambda: Q.count_metric(get(dim_products).filter(F.col("as_of_date") == d)), t_prod))
-    if rate_changes is None:
-        gates.append(missing("rate_changes_rows", t_rc, "mart_rate_changes"))
-    else:
-        gates.append(Q.gate_from(
-            spark, "rate_changes_rows",
-            lambda: Q.count_metric(get(rate_changes).filter(F.col("current_as_of_date") == d)), t_rc))
-    gates.append(Q.gate_from(spark, "products_freshness_hours",
-                             lambda: Q.freshness_metric(get(pages), qa_date), t_fresh, kind="max", unit="h"))
+
+@dataclass(frozen=True)
+class Gate:
+    name: str
+    source: str                 # keyword of run_qa
+    relation: str               # what the source is called in messages
+    metric: Callable[[DataFrame, date], DataFrame]
+    kind: str                   # min, max, or drift
+    default: float
+    unit: str = ""
+
+
+# Gate names, their order and default thresholds.
+GATES = (
+    Gate("providers_ok", "coverage", "mart_provider_coverage", _rows_on("as_of_date", provider_ok), "min", Q.DEFAULT_MIN_PROVIDERS_OK),
+    Gate("dim_products_rows", "dim_products", "dim_products", _rows_on("as_of_date"), "min", Q.DEFAULT_MIN_PRODUCTS),
+    Gate("rate_changes_rows", "rate_changes", "mart_rate_changes", _rows_on("current_as_of_date"), "min", Q.DEFAULT_MIN_RATE_CHANGES),
+    Gate("products_freshness_hours", "pages", "products_raw", Q.freshness_metric, "max", Q.DEFAULT_MAX_FRESHNESS_HOURS, "h"),
+    Gate("schema_drift_events", "drift_events", "schema_drift_event", _rows_on("observed_at"), "drift", 0.0),
+)
+
+# The declared data tests of the built models.
+DECLARED_TESTS = (
+    ("dim_products", "unique_combo", ("provider_id", "product_id", "as_of_date")),
+    ("dim_products", "not_null", ("provider_id", "product_id", "as_of_date")),
+    ("fct_product_rates", "not_null", ("provider_id", "product_id", "as_of_date", "rate_kind", "rate_type", "rate")),
+    ("fct_product_rates", "accepted_values", ("rate_kind", "deposit", "lending")),
+    ("mart_rate_changes", "unique_combo", ("provider_id", "product_id", "current_as_of_date", "rate_kind", "rate_type",
+                                           "tier_name", "tier_unit_of_measure", "tier_minimum_value", "tier_maximum_value")),
+    ("mart_rate_changes", "not_null", ("provider_id", "product_id")),
+    ("mart_provider_coverage", "unique_combo", ("as_of_date", "provider_id")),
+    ("mart_provider_coverage", "not_null", ("provider_id", "as_of_date")),
+)
+
+
+def declared_tests(models: dict[str, DataFrame]) -> DataFrame:
+    """One row per declared test: (model, test, columns, failing_rows). Unique tests count the key
+    combinations that occur more than once; NOT NULL columns of a model are counted in one pass."""
+    out = None
+    for model, test, cols in DECLARED_TESTS:
+        df = models[model]
+        if test == "not_null":
+            rows = Q.not_null(df, list(cols)).select(F.col("column_name").alias("columns"), F.col("null_rows").alias("failing_rows"))
+        elif test == "unique_combo":
+            rows = Q.unique_combo(df, list(cols)).agg(F.count(F.lit(1)).alias("failing_rows")).select(
+                F.lit(",".join(cols)).alias("columns"), "failing_rows")
+        else:
+            rows = Q.accepted_values(df, cols[0], list(cols[1:])).agg(F.count(F.lit(1)).alias("failing_rows")).select(
+                F.lit(cols[0]).alias("columns"), "failing_rows")
+        rows = rows.select(F.lit(model).alias("model"), F.lit(test).alias("test"), "columns", "failing_rows")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _gate_frame(spark: SparkSession, gate: Gate, source, qa_date: date, threshold: float, enforce: bool) -> DataFrame:
+    limit = None if gate.kind == "drift" and not enforce else float(threshold)
+    if source is None:
+        return Q.failed_gate(spark, gate.name, limit, f"missing relation: expected {gate.relation}")
+
+    def build() -> DataFrame:
+        return gate.metric(source() if callable(source) else source, qa_date)
+
+    if gate.kind != "drift":
+        return Q.gate_from(spark, gate.name, build, threshold, gate.kind, gate.unit)
     try:
-        dc = Q.count_metric(get(drift_events).filter(F.to_date("observed_at") == d))
-        dc.schema  # noqa: B018
-        gates.append(Q.drift_gate(dc, enforce))
-    except Exception as e:  # noqa: BLE001  (a failed drift query fails its gate even when not enforced)
-        gates.append(spark.createDataFrame(
-            [("schema_drift_events", False, None, 0.0 if enforce else None, Q._clip_py(f"query failed: {e}"))],
-            Q.GATE_SCHEMA))
-    gates.append(Q.tests_gate(spark, tests))
-    out = gates[0]
-    for g in gates[1:]:
-        out = out.unionByName(g)
+        return Q.drift_gate(build(), enforce)
+    except PySparkException as e:
+        return Q.failed_gate(spark, gate.name, limit, f"query failed: {e}")
+
+
+def _frames(spark: SparkSession, qa_date: date, inputs: dict, tests, thresholds: dict, enforce: bool) -> list[tuple[str, DataFrame]]:
+    frames = []
+    for gate in GATES:
+        given = thresholds.get(gate.name)
+        frames.append((gate.name, _gate_frame(spark, gate, inputs.get(gate.source), qa_date,
+                                              gate.default if given is None else given, enforce)))
+    return [*frames, ("dbt_tests", Q.tests_gate(spark, tests))]
+
+
+def _settings(kw: dict) -> tuple[dict, dict, bool]:
+    inputs = {g.source: kw.pop(g.source, None) for g in GATES}
+    enforce = kw.pop("fail_on_schema_drift", None)
+    names = {"min_providers_ok": "providers_ok", "min_products": "dim_products_rows",
+             "min_rate_changes": "rate_changes_rows", "max_freshness_hours": "products_freshness_hours"}
+    unknown = set(kw) - set(names)
+    if unknown:
+        raise TypeError(f"unknown QA settings: {sorted(unknown)}")
+    return inputs, {names[k]: v for k, v in kw.items()}, Q.DEFAULT_FAIL_ON_SCHEMA_DRIFT if enforce is None else enforce
+
+
+def run_qa(spark: SparkSession, qa_date: date, *, tests: list[DataFrame] | None = None, **kw) -> DataFrame:
+    """Gate rows (gate_name, passed, actual_value, threshold_value, details), lazily.
+
+    Inputs (coverage, dim_products, rate_changes, pages, drift_events) are DataFrames or zero-argument
+    callables returning one; ``tests`` are frames of failing rows. Thresholds: min_providers_ok,
+    min_products, min_rate_changes, max_freshness_hours, fail_on_schema_drift; unset ones take the
+    defaults.
+    """
+    inputs, thresholds, enforce = _settings(dict(kw))
+    frames = [f for _, f in _frames(spark, qa_date, inputs, tests, thresholds, enforce)]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
     return out
+
+
+def evaluate_qa(spark: SparkSession, qa_date: date, *, tests: list[DataFrame] | None = None, **kw) -> DataFrame:
+    """``run_qa`` with every gate computed on its own (one row each reaches the driver)."""
+    inputs, thresholds, enforce = _settings(dict(kw))
+    done = None
+    for name, frame in _frames(spark, qa_date, inputs, tests, thresholds, enforce):
+        try:
+            row = spark.createDataFrame([tuple(frame.first())], Q.GATE_SCHEMA)
+        except PySparkException as e:
+            row = Q.failed_gate(spark, name, None, f"query failed: {e}")
+        done = row if done is None else done.unionByName(row)
+    return done
+
+
+def store_qa(spark: SparkSession, qa_date: date, qa_run_id: str, out_root: str, *, tests: Sequence[DataFrame] | None = None,
+             tests_command: str | None = None, **kw) -> DataFrame:
+    """Evaluate the gates, append them to ``out_root/qa_gate_result``, write the Markdown summary and
+    return the verdict row."""
+    from ratewatch.plans.reports import qa_summary, write_lines
+    from ratewatch.sources.tables import write_table
+    gates = evaluate_qa(spark, qa_date, tests=None if tests is None else list(tests), **kw)
+    ran = tests is not None
+    passed = gates.filter((F.col("gate_name") == "dbt_tests") & ~F.col("passed")).isEmpty()
+    write_table(Q.gate_records(gates, qa_run_id, qa_date, ran, passed, tests_command), f"{out_root}/qa_gate_result", "qa_gate_result")
+    write_lines(spark, qa_summary(gates, qa_date, qa_run_id, ran, tests_command), f"{out_root}/qa_summary_{qa_date.isoformat()}")
+    return Q.verdict(gates)

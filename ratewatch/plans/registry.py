@@ -238,6 +238,28 @@ def q_qa_gates(spark, sf_dir):
     return _qa_gates(spark, sf_dir)
 
 
+@register("declared_tests")
+def q_declared_tests(spark, sf_dir):
+    """DQT1-3: all 17 declared tests of the built models, with their failing rows. Rates repeat under
+    the mart's key here, so its unique test fails."""
+    from ratewatch.plans.qa import declared_tests
+    m = _models(spark, sf_dir)
+    return declared_tests({"dim_products": m.dim_products, "fct_product_rates": m.fct_product_rates,
+                           "mart_rate_changes": m.rate_changes(), "mart_provider_coverage": _coverage(spark, sf_dir)})
+
+
+@register("qa_gates_strict")
+def q_qa_gates_strict(spark, sf_dir):
+    """QAG1-10 where gates fail: thresholds out of reach, drift enforced, a missing relation."""
+    from ratewatch.operators.drift import drift_events, fingerprints
+    from ratewatch.plans.qa import run_qa
+    ev = _events(spark, sf_dir)
+    pages = testbed.event_pages(ev)
+    return run_qa(spark, QA_DATE, coverage=None, dim_products=testbed.event_dim(ev), pages=pages, rate_changes=None,
+                  drift_events=lambda: drift_events(fingerprints(pages, max_depth=4, max_elems=3)),
+                  min_products=10**9, max_freshness_hours=0.0, fail_on_schema_drift=True)
+
+
 @register("qa_verdict")
 def q_qa_verdict(spark, sf_dir):
     """QAG11: PASS/FAIL and exit code over the gates."""

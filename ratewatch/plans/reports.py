@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratewatch.functions.text import py_float_text
 from ratewatch.operators.changes import rate_changes
 
 RATE_REPORT_COLUMNS = [
@@ -65,16 +66,24 @@ def drift_report(events: DataFrame, report_date: date, limit: int = 50) -> DataF
 
 # ---- writers ---------------------------------------------------------------------------------
 
-def write_csv(df: DataFrame, path: str) -> bool:
+def write_csv(df: DataFrame, path: str, one_file: bool = False) -> bool:
     """CSV with a header, written only if there are rows. Quotes are doubled inside quoted
-    fields and NULL is an empty field. Reports are small, so one file is written."""
-    if df.limit(1).count() == 0:
+    fields and NULL is an empty field. ``one_file`` is for reports of a bounded number of rows; others
+    keep their partitions, in order."""
+    if df.isEmpty():
         return False
-    (df.coalesce(1).write.mode("overwrite").option("header", True).option("emptyValue", "")
+    ((df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).option("emptyValue", "")
        .option("escape", '"').csv(path))
     return True
 
 
+def _number(c: str) -> F.Column:
+    """A decimal without padding zeros (0.0100000000 -> 0.01); NULL -> 'None'."""
+    text = F.col(c).cast("string")
+    short = F.when(text.contains("."), F.regexp_replace(F.regexp_replace(text, "0+$", ""), r"\.$", "")).otherwise(text)
+    return F.coalesce(F.when(F.col(c) == 0, F.lit("0")).otherwise(short), F.lit("None"))
+
+
 def _text(c: str) -> F.Column:
     """Value as Python would print it in the summary (NULL -> 'None')."""
     return F.coalesce(F.col(c).cast("string"), F.lit("None"))
@@ -89,13 +98,18 @@ def rate_change_table_lines(report: DataFrame, n: int = 20) -> DataFrame:
                        F.coalesce(F.col("product_category"), F.lit("")),
                        F.concat(_text("rate_kind"), F.lit("/"), _text("rate_type")),
                        F.coalesce(F.col("tier_name"), F.lit("")),
-                       _text("previous_rate"), _text("current_rate"), _text("delta"))
+                       _number("previous_rate"), _number("current_rate"), _number("delta"))
     return top.select(F.concat(F.lit("| "), line, F.lit(" |")).alias("line"),
                       "provider_id", "product_id", "rate_kind", "rate_type", "tier_name")
 
 
+def _zoned(t) -> str:
+    """An instant in ISO form with its UTC offset."""
+    return (t if t.tzinfo else t.replace(tzinfo=timezone.utc)).isoformat()
+
+
 def pipeline_summary_lines(report_date: date, notes: list[str], coverage_counts: DataFrame | None,
-                           change_lines: DataFrame | None, drift: DataFrame | None) -> list:
+                           change_lines: DataFrame | None, drift: DataFrame | None, drift_rows: int = 10) -> list:
     """Markdown lines of the pipeline summary, built from small, already-aggregated frames."""
     out = [f"# Pipeline summary — {report_date.isoformat()}", ""]
     if notes:
@@ -112,30 +126,34 @@ def pipeline_summary_lines(report_date: date, notes: list[str], coverage_counts:
                     "| Brand | Product | Category | Rate type | Tier | Previous | Current | Δ |",
                     "|---|---|---|---|---:|---:|---:|---:|"] + rows + [""]
     if drift is not None:
-        rows = drift.limit(10).collect()
+        rows = drift.limit(drift_rows).collect()
         if rows:
-            out += ["## Schema drift events (last 10)", ""] + [
-                f"- {r['observed_at'].isoformat()} — provider={r['provider_id']} endpoint={r['endpoint']} "
+            out += [f"## Schema drift events (last {drift_rows})", ""] + [
+                f"- {_zoned(r['observed_at'])} — provider={r['provider_id']} endpoint={r['endpoint']} "
                 f"old={r['old_fingerprint_hash']} new={r['new_fingerprint_hash']}" for r in rows] + [""]
     return out
 
 
-def qa_summary_lines(qa_date: date, qa_run_id: str, gates: DataFrame, tests_ran: bool = False,
-                     tests_command: str | None = None) -> list:
-    """Markdown lines of the QA summary (gates are a handful of rows)."""
-    g = gates.collect()
-    failed = [r for r in g if not r["passed"]]
-    tests = next((r for r in g if r["gate_name"] == "dbt_tests"), None)
-    out = [f"# QA summary - {qa_date.isoformat()}", "", f"- Status: **{'PASS' if not failed else 'FAIL'}**",
-           f"- QA run id: `{qa_run_id}`",
-           f"- dbt tests: **{'PASS' if (tests is None or tests['passed']) else 'FAIL'}**"
-           + (f" (`{tests_command}`)" if tests_ran else " (skipped)"), "",
-           "| Gate | Passed | Actual | Threshold | Details |", "|---|---|---:|---:|---|"]
-    for r in g:
-        a = "" if r["actual_value"] is None else str(r["actual_value"])
-        t = "" if r["threshold_value"] is None else str(r["threshold_value"])
-        out.append(f"| {r['gate_name']} | {'yes' if r['passed'] else 'no'} | {a} | {t} | {r['details']} |")
-    return out
+def _plain(c: str) -> F.Column:
+    """A number as the summary tables print it; NULL is empty."""
+    return F.coalesce(py_float_text(F.col(c)), F.lit(""))
+
+
+def qa_summary(gates: DataFrame, qa_date: date, qa_run_id: str, tests_ran: bool = False,
+               tests_command: str | None = None) -> list:
+    """Markdown lines of the QA summary, rendered from the gate rows and their totals."""
+    word = F.when(F.col("passed"), "yes").otherwise("no")
+    rows = gates.select("passed", "gate_name", F.concat(
+        F.lit("| "), F.concat_ws(" | ", "gate_name", word, _plain("actual_value"), _plain("threshold_value"), "details"), F.lit(" |")).alias("line"))
+    lines = rows.collect()                           # one row per gate
+    state = {True: "PASS", False: "FAIL"}
+    tests_ok = all(r["passed"] for r in lines if r["gate_name"] == "dbt_tests")
+    how = f"`{tests_command}`" if tests_ran else "skipped"
+    # Headings of the summary
+    head = [f"# QA summary - {qa_date.isoformat()}", "", f"- Status: **{state[all(r['passed'] for r in lines)]}**",
+            f"- QA run id: `{qa_run_id}`", f"- dbt tests: **{state[tests_ok]}** ({how})", "",
+            "| Gate | Passed | Actual | Threshold | Details |", "|---|---|---:|---:|---|"]
+    return head + [r["line"] for r in lines]
 
 
 def write_lines(spark, lines: list, path: str) -> None:

@@ -27,5 +27,50 @@ def test_build_write_and_report(spark):
     lines = write_reports(spark, d, f"{out}/reports", rate_changes_path=f"{out}/mart_rate_changes",
                           coverage_path=None, drift_path=f"{out}/no_such_table")
     assert lines[0] == "# Pipeline summary — 1998-01-01"
-    assert "- mart_provider_coverage not available" in lines
+    assert "- mart_provider_coverage not available (expected mart_provider_coverage)" in lines
     assert any(line.startswith("| Brand ") for line in lines)
+
+
+def _page(day, rate, n=1):
+    import json
+    payload = {"data": {"products": [{"productId": "a", "depositRates": [{"depositRateType": "FIXED", "rate": rate}]}] * n}, "links": {}}
+    return ("run", "p", "B", "banking:get-products", f"https://x/{day}", 1, 200, 3, dt.datetime.fromisoformat(f"{day}T01:00:00"), None,
+            json.dumps(payload), "h", day)
+
+
+PAGE = ("run_id string, provider_id string, brand_name string, endpoint string, url string, page_num long, http_status int, "
+        "responded_xv int, fetched_at timestamp, etag string, payload string, payload_hash string, fetched_date string")
+
+
+def test_a_correction_empties_its_partition(spark):
+    d2 = dt.date(2026, 2, 10)
+    for as_of in (None, d2):
+        out = tempfile.mkdtemp(prefix="models-")
+        build_and_write(spark.createDataFrame([_page("2026-02-09", "0.01"), _page("2026-02-10", "0.02")], PAGE), out)
+        assert spark.read.parquet(f"{out}/mart_rate_changes").count() == 1
+        build_and_write(spark.createDataFrame([_page("2026-02-09", "0.01"), _page("2026-02-10", "0.01")], PAGE), out, as_of=as_of)
+        assert spark.read.schema("as_of_date string, provider_id string").parquet(f"{out}/mart_rate_changes").count() == 0
+        assert spark.read.parquet(f"{out}/fct_product_rates").count() == 2
+
+
+def test_a_date_build_reads_only_that_dates_pages(spark):
+    from ratewatch.plans.jobs import _pages_of
+    from ratewatch.plans.pipeline import build_models
+    root = tempfile.mkdtemp(prefix="pages-")
+    spark.createDataFrame([_page("2026-02-09", "0.01"), _page("2026-02-10", "0.02")], PAGE).write.mode("overwrite").partitionBy("fetched_date").parquet(root)
+    day = _pages_of(spark.read.parquet(root), dt.date(2026, 2, 10), "fetched_date")
+    plan = build_models(day).fct_product_rates._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(fetched_date" in plan and "= 2026-02-10" in plan
+    assert build_models(day).fct_product_rates.count() == 1
+
+
+def test_all_marts_are_stored_and_reported(spark):
+    out = tempfile.mkdtemp(prefix="models-")
+    ev = testbed.read(spark, SF, "events")
+    runs = testbed.event_runs(ev)
+    build_and_write(testbed.event_pages(ev), out, runs=runs, brands=testbed.event_brands(ev, runs), call_log=testbed.event_call_log(ev))
+    d = dt.date(2024, 1, 15)
+    lines = write_reports(spark, d, f"{out}/reports", rate_changes_path=f"{out}/mart_rate_changes",
+                          coverage_path=f"{out}/mart_provider_coverage", drift_path=f"{out}/schema_drift_event")
+    assert any("Providers discovered" in x for x in lines)
+    assert spark.read.parquet(f"{out}/schema_fingerprint").count() > 0

@@ -35,7 +35,7 @@ def test_landing_round_trip(spark):
 def test_csv_and_summary(spark):
     out = tempfile.mkdtemp(prefix="report-")
     df = spark.createDataFrame([("p1", 'Brand "X"', None)], "provider_id string, brand_name string, tier_name string")
-    assert reports.write_csv(df, f"{out}/rate_changes")
+    assert reports.write_csv(df, f"{out}/rate_changes", one_file=True)
     text = "".join(open(os.path.join(f"{out}/rate_changes", f)).read()
                    for f in os.listdir(f"{out}/rate_changes") if f.endswith(".csv"))
     assert text == 'provider_id,brand_name,tier_name\np1,"Brand ""X""",\n'

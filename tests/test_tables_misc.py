@@ -64,3 +64,33 @@ def test_cluster_settings():
     assert big["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
     small = cluster_settings(10 << 20, 64)
     assert small["spark.sql.shuffle.partitions"] == "128"  # never fewer than 2 x cores
+
+
+def test_a_gate_that_fails_at_run_time_leaves_the_others(spark, tmp_path):
+    import datetime as dt
+
+    from ratewatch.plans.qa import evaluate_qa, store_qa
+    day = dt.date(2026, 2, 10)
+    pages = spark.createDataFrame([(dt.datetime(2026, 2, 10, 23, 0),)], "fetched_at timestamp")
+    dim = spark.createDataFrame([(day, "x")], "as_of_date date, v string")
+    broken = dim.select(F.raise_error(F.lit("broken mart")).cast("date").alias("current_as_of_date"))
+    got = {r.gate_name: r for r in evaluate_qa(spark, day, dim_products=dim, rate_changes=broken, pages=None).collect()}
+    assert got["dim_products_rows"].passed and not got["rate_changes_rows"].passed
+    assert got["rate_changes_rows"].details.startswith("query failed") and "broken mart" in got["rate_changes_rows"].details
+    assert got["products_freshness_hours"].details == "missing relation: expected products_raw"
+    for run in ("run-1", "run-2"):
+        verdict = store_qa(spark, day, run, str(tmp_path), dim_products=dim, pages=pages, tests=[dim.filter("v is null")], tests_command="check").first()
+        assert verdict.exit_code == 1
+    stored = spark.read.parquet(str(tmp_path / "qa_gate_result"))
+    assert stored.count() == 12 and {r.dbt_test_command for r in stored.collect()} == {"check"}
+    lines = [r.value for r in spark.read.text(str(tmp_path / "qa_summary_2026-02-10")).collect()]
+    assert lines[0] == "# QA summary - 2026-02-10" and "- Status: **FAIL**" in lines and "- dbt tests: **PASS** (`check`)" in lines
+    assert "| dim_products_rows | yes | 1.0 | 1.0 | 1.0 >= 1.0 |" in lines
+
+
+def test_timestamps_need_a_whole_date(spark):
+    from ratewatch.functions.casting import bad_numbers, bad_timestamps, to_timestamptz
+    df = spark.createDataFrame([("10:30",), ("2024",), ("2024-05",), ("2024-05-06",), ("2024-05-06T07:08:09Z",), ("",), (None,), ("x",)], "t string")
+    got = [r.v for r in df.select(to_timestamptz("t").alias("v")).collect()]
+    assert [v is not None for v in got] == [False, False, False, True, True, False, False, False]
+    assert tuple(df.agg(bad_timestamps("t"), bad_numbers("t")).first()) == (4, 5)
