@@ -96,9 +96,10 @@ def fingerprints(pages: DataFrame, *, payload: str = "payload", observed_at: str
 
 
 def drift_events(fps: DataFrame, history: DataFrame | None = None,
-                 order_tiebreak: tuple[str, ...] = ("page_num",)) -> DataFrame:
+                 order_tiebreak: tuple[str, ...] = ("page_num",), bucket: Column | None = None) -> DataFrame:
     """Drift event for every observation whose previous fingerprint (same provider and endpoint)
-    exists and differs. ``history`` (stored fingerprints) seeds the previous value of a new batch."""
+    exists and differs. ``history`` (stored fingerprints) seeds the previous value of a new batch.
+    ``bucket``: see ``previous_in_key``."""
     tie = [c for c in order_tiebreak if c in fps.columns]
     cur = fps.select("provider_id", "endpoint", "fingerprint_hash", "observed_at", "run_id", *tie,
                      F.lit(1).alias("_new"))
@@ -113,7 +114,7 @@ def drift_events(fps: DataFrame, history: DataFrame | None = None,
                         F.lit(0).alias("_new")))
         cur = cur.unionByName(seed)
     order = ["observed_at", "_new", *tie]
-    x = previous_in_key(cur, ["provider_id", "endpoint"], order, "fingerprint_hash", "old_fingerprint_hash")
+    x = previous_in_key(cur, ["provider_id", "endpoint"], order, "fingerprint_hash", "old_fingerprint_hash", bucket)
     x = x.filter((F.col("_new") == 1) & F.col("old_fingerprint_hash").isNotNull()
                  & (F.col("old_fingerprint_hash") != F.col("fingerprint_hash")))
     return x.select("provider_id", "endpoint", "old_fingerprint_hash",

@@ -71,6 +71,21 @@ def test_previous_in_key_bucket_invariance(spark):
     assert got[0] is None and all(got[i] == f"h{(i - 1) // 3}" for i in range(1, 200))
 
 
+def test_previous_in_key_splits_one_key_at_one_instant(spark):
+    """All rows share the key and the time: ranges still cut them, and each task gets a share."""
+    rows = [("k", dt.datetime(2026, 2, 10), i, f"h{i // 3}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "key string, ts timestamp, seq int, h string")
+    out = previous_in_key(df, ["key"], ["ts", "seq"], "h", "prev")
+    got = {r.seq: r.prev for r in out.collect()}
+    assert got[0] is None and all(got[i] == f"h{(i - 1) // 3}" for i in range(1, 4000))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")    # small ranges would be joined
+    try:
+        ranges = df.repartitionByRange("key", "ts", "seq").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(ranges) > 1 and max(r["count"] for r in ranges) < 3000
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
