@@ -67,7 +67,8 @@ def line_table(docs: DataFrame, min_chars: int) -> DataFrame:
 def _named(rows: DataFrame, by: list[str], keep: list[str]) -> DataFrame:
     """Rows whose key occurs again, with ``name``, the first place of the key."""
     first = rows.groupBy(*by).agg(F.min(F.struct(*PLACE)).alias("name"), F.count(F.lit(1)).alias("n"))
-    return rows.join(first.where("n > 1").drop("n"), by).select(*PLACE, "name", *keep)
+    # written: both sides of the join are then plain exchanges, and Spark splits the rows of a hot key
+    return rows.join(cut(first.where("n > 1").drop("n"), "first"), by).select(*PLACE, "name", *keep)
 
 
 def repeated_blocks(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
