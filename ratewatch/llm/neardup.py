@@ -118,7 +118,8 @@ def _similar_sizes(x: str, y: str):
 def _posted(tokens: DataFrame) -> DataFrame:
     """(k, n, tokens, prefix): each class's shared pairs, rarest first, and how many are posted."""
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    return (tokens.join(shared, "token").groupBy("k", "n")
+    # written, like the other sums joined back: Spark can then split the rows of a hot pair
+    return (tokens.join(cut(shared, "df"), "token").groupBy("k", "n")
             .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
             .where(F.size("t") >= LEAST_MATCHES)
             .select("k", "n", F.col("t.token").alias("tokens"), (F.size("t") - LEAST_MATCHES + 1).alias("prefix")))
@@ -142,17 +143,17 @@ def link_classes(posted: DataFrame, texts: DataFrame) -> DataFrame:
         """Lists whose classes lie in several components, with the component of each class."""
         placed = lists.join(roots.withColumnRenamed("node", "k"), "k", "left").withColumn("root", F.coalesce("root", "k"))
         several = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-        return cut(placed.join(several.select("token"), "token"), "open")
+        return cut(placed.join(cut(several.select("token"), "several"), "token"), "open")
 
     hubs = lists.groupBy("token").agg(F.min(F.struct("o", "k", "n")).alias("hub"))
-    links = confirmed(lists.join(hubs, "token").where((F.col("hub.k") != F.col("k")) & _similar_sizes("n", "hub.n"))
+    links = confirmed(lists.join(cut(hubs, "hubs"), "token").where((F.col("hub.k") != F.col("k")) & _similar_sizes("n", "hub.n"))
                       .select(F.greatest("k", "hub.k").alias("a"), F.least("k", "hub.k").alias("b")).distinct())
     roots = components(links)
     # what is left: pairs of one list in different components, taken where they first meet
     left = open_lists(roots)
     spread = cut(texts.join(left.select("k").distinct(), "k", "left_semi").mapInArrow(_spread, "k long, sh long"), "shingles")
     twice = spread.groupBy("sh").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("sh")
-    shared = spread.join(twice, "sh").groupBy("k").agg(F.count(F.lit(1)).alias("shared"))
+    shared = spread.join(cut(twice, "twice"), "sh").groupBy("k").agg(F.count(F.lit(1)).alias("shared"))
     able = posted.join(shared, "k").where(F.col("shared") * 100 >= PERCENT * F.col("n")).select("k", "tokens", "prefix", "shared")
     left = cut(left.join(able, "k"), "left")
     enough = F.least("x.shared", "y.shared") * (100 + PERCENT) >= PERCENT * (F.col("x.n") + F.col("y.n"))
