@@ -29,12 +29,12 @@ def components(edges: DataFrame) -> DataFrame:
     node that is not its own root."""
     e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
     e = cut(e, "edges")
-    before = None
     while True:
-        large = _linked_to_least(e, True).where("a > b").distinct()
-        small = _linked_to_least(large, False).where("a > b").distinct()
-        e = cut(small, "edges")
-        state = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
+        large = _linked_to_least(e, True).where("a > b")
+        e = cut(_linked_to_least(large, False).where("a > b").distinct(), "edges")
+        # done when all is stars: no node has two smaller neighbours, or one while it is another's
+        roles = e.select(F.col("a").alias("v"), F.lit(1).alias("child"), F.lit(0).alias("parent")).unionByName(
+            e.select(F.col("b").alias("v"), F.lit(0).alias("child"), F.lit(1).alias("parent")))
+        open_ = roles.groupBy("v").agg(F.sum("child").alias("child"), F.max("parent").alias("parent")).where("child + parent > 1")
+        if open_.agg(F.count(F.lit(1))).first()[0] == 0:
             return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = state

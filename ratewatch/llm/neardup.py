@@ -14,9 +14,9 @@ Groups of near copies are joined without all their pairs. First each posted list
 the class that shares most of its coordinates with others: the text that the copies were made from,
 if it is there. Then classes of a list that lie in *different* components are paired, once, where
 they first meet. So links between different texts aren't lost: a pair in one component needs no
-comparison. Before that last step the full sets of the classes in question are compared with all
-shingles that occur twice among them: sets of n and m shingles that are similar enough have 3/7 (n + m)
-in common, so a class with fewer such shingles has no partner of that size. Every link is confirmed on
+comparison. For that last step the shingles that occur twice among the classes in question are counted
+and set as bits for each class: sets of n and m shingles that are similar enough have 3/7 (n + m) in
+common, and a pair whose counts and bitmaps leave less room is no candidate. Every link is confirmed on
 the full shingle sets. A third of all documents in one group costs about as many rows as documents.
 
 At similarity 0.75 a pair collides in 30 of 64 coordinates but with a chance below 1e-6; shingles are
@@ -42,6 +42,8 @@ from .textbatch import U, buffers, mix, row_groups, shingle_hashes, span_hashes,
 WORDS, COORDINATES, LEAST_MATCHES = 5, 64, 30
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
+#: Longs of a class's bitmap of shared shingles.
+BITMAP = 16
 #: Rows and bytes worked on at once; eight bits tell the rows of a chunk apart in a sort.
 CHUNK_ROWS, CHUNK = 256, 1 << 21
 _RANDOM = np.random.default_rng(20240229)
@@ -126,18 +128,15 @@ def _posted(tokens: DataFrame) -> DataFrame:
 
 
 def link_classes(posted: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, root) of the classes' components; ``texts`` (k, text) has a text of every posted class."""
+    """(node, root) of the classes' components; ``texts`` (k, n, tokens, text) has a row for every posted class."""
     lists = posted.select("k", "n", (-F.size("tokens")).alias("o"),
                           F.explode(F.slice("tokens", F.lit(1), F.col("prefix"))).alias("token"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that collide often enough and whose sets are similar, written."""
-        side = posted.select("k", "n", "tokens")
-        near = (pairs.join(side.toDF("a", "na", "ta"), "a").where(F.col("na").isNotNull())
-                .join(side.toDF("b", "nb", "tb"), "b").where(_similar_sizes("na", "nb"))
-                .where(F.size(F.array_intersect("ta", "tb")) >= LEAST_MATCHES).select("a", "b"))
-        whole = near.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-        return cut(whole.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long"), "links")
+        near = (pairs.join(texts.toDF("a", "na", "ta", "text_a"), "a").join(texts.toDF("b", "nb", "tb", "text_b"), "b")
+                .where(_similar_sizes("na", "nb") & (F.size(F.array_intersect("ta", "tb")) >= LEAST_MATCHES)))
+        return cut(near.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long"), "links")
 
     def open_lists(roots: DataFrame) -> DataFrame:
         """Lists whose classes lie in several components, with the component of each class."""
@@ -151,12 +150,23 @@ def link_classes(posted: DataFrame, texts: DataFrame) -> DataFrame:
     roots = components(links)
     # what is left: pairs of one list in different components, taken where they first meet
     left = open_lists(roots)
-    spread = cut(texts.join(left.select("k").distinct(), "k", "left_semi").mapInArrow(_spread, "k long, sh long"), "shingles")
+    spread = cut(texts.select("k", "text").join(left.select("k").distinct(), "k", "left_semi").mapInArrow(_spread, "k long, sh long"), "shingles")
     twice = spread.groupBy("sh").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("sh")
-    shared = spread.join(cut(twice, "twice"), "sh").groupBy("k").agg(F.count(F.lit(1)).alias("shared"))
-    able = posted.join(shared, "k").where(F.col("shared") * 100 >= PERCENT * F.col("n")).select("k", "tokens", "prefix", "shared")
+    # the shingles that a class may share: their number, and a bitmap of them in BITMAP longs
+    word = F.col("sh") % BITMAP
+    shared = spread.join(cut(twice, "twice"), "sh").groupBy("k").agg(F.count(F.lit(1)).alias("shared"), *[
+        F.bit_or(F.when(word == i, F.expr("shiftleft(1L, CAST(shiftright(sh, 6) % 64 AS INT))")).otherwise(F.lit(0).cast("long"))).alias(f"b{i}")
+        for i in range(BITMAP)])
+    bits = [f"b{i}" for i in range(BITMAP)]
+    able = posted.join(shared, "k").where(F.col("shared") * 100 >= PERCENT * F.col("n")).select("k", "tokens", "prefix", "shared", *bits)
     left = cut(left.join(able, "k"), "left")
-    enough = F.least("x.shared", "y.shared") * (100 + PERCENT) >= PERCENT * (F.col("x.n") + F.col("y.n"))
+
+    def common(x: str, y: str):
+        """At most so many shingles of x are in y: each bit that only x has is one that isn't."""
+        return F.col(f"{x}.shared") - sum(F.bit_count(F.col(f"{x}.{b}").bitwiseAND(F.bitwise_not(F.col(f"{y}.{b}")))) for b in bits)
+
+    needed = PERCENT * (F.col("x.n") + F.col("y.n"))
+    enough = (common("x", "y") * (100 + PERCENT) >= needed) & (common("y", "x") * (100 + PERCENT) >= needed)
     x, y = left.alias("x"), left.alias("y")
     head = F.array_intersect(F.slice("x.tokens", F.lit(1), F.col("x.prefix")), F.slice("y.tokens", F.lit(1), F.col("y.prefix")))
     rest = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.k") > F.col("y.k"))
@@ -166,7 +176,7 @@ def link_classes(posted: DataFrame, texts: DataFrame) -> DataFrame:
     rest = cut(rest, "rest")
     if rest.isEmpty():
         return roots
-    return components(links.unionByName(confirmed(rest)))
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(confirmed(rest)))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -182,9 +192,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tokens = classes.select("k", "n", F.posexplode("signature").alias("c", "v")).select(
         "k", "n", F.shiftleft(F.col("c").cast("long"), 32).bitwiseOR(F.col("v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("token"))
     posted = cut(_posted(tokens), "posted")
-    wanted = classes.join(posted.select("k"), "k", "left_semi").select("k", "doc_id", "tk")
-    texts = keyed.join(wanted.withColumnRenamed("doc_id", "_d").hint("shuffle_hash"),
-                       F.col("doc_id").eqNullSafe(F.col("_d")) & (keyed["tk"] == wanted["tk"])).select("k", "text")
+    wanted = classes.select("k", "doc_id", "tk").join(posted.select("k", "n", "tokens"), "k")
+    texts = keyed.join(wanted.withColumnRenamed("doc_id", "_d").withColumnRenamed("tk", "_t").hint("shuffle_hash"),
+                       F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tk") == F.col("_t"))).select("k", "n", "tokens", "text")
     texts = cut(texts.dropDuplicates(["k"]), "texts")
     roots = link_classes(posted, texts)
     named = classes.join(roots.withColumnRenamed("node", "k"), "k", "left").withColumn("root", F.coalesce("root", "k"))
