@@ -37,7 +37,6 @@ END, BEGIN = U(0x5851F42D4C957F2D), U(0x14057B7EF767814F)
 PAIR = (U(0x9FB21C651E98DF25), U(0xD1B54A32D192ED03))
 #: Filter bits per event and probes per event: about 1 % false positives.
 BITS, PROBES = 10, 7
-LEAST_PAIR = 2
 #: Weight of the pair's share; the rest goes to the unigram share.
 PAIR_WEIGHT = 0.2
 BROADCAST_BYTES, HEAD_WORDS = 96 << 20, 150_000
@@ -147,9 +146,8 @@ def _merge(group: pa.Table) -> pa.Table:
         parts = [unpack(x.as_py(), width) for x in group.column(name)]
         sums.append(summed(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])))
     (words, word_counts), (two, two_counts) = sums
-    two, two_counts = two[two_counts >= LEAST_PAIR], two_counts[two_counts >= LEAST_PAIR]
     keys = np.concatenate([words, pair_keys(two)])
-    level = np.concatenate([levels(word_counts), levels(two_counts) - 1])      # a pair's least count is 2
+    level = np.concatenate([levels(word_counts), levels(two_counts)])
     bit_count = max(64, int(level.sum()) * BITS + 7 & ~7)
     bits = np.zeros(bit_count, bool)
     for at in range(1, int(level.max(initial=0)) + 1):
@@ -220,7 +218,7 @@ def _read_pass(shared, head, totals, last: bool):
         n_tokens, n_types, n_docs = totals
         common, common_counts = head.value
         worth = np.concatenate([[0], 1.5 * 2.0 ** np.arange(-1, 254)])
-        worth[1] = 1.0                                 # level 1 of a word is a count of 1
+        worth[1] = 1.0                                 # level 1 is a count of 1
         part_id, serial = TaskContext.get().partitionId(), 0
         for batch in batches:
             n = batch.num_rows
@@ -241,7 +239,7 @@ def _read_pass(shared, head, totals, last: bool):
                 if not last:
                     found += [word[a:b].tobytes() + pair[a:b].tobytes() for a, b in zip(at, at[1:])]
                     continue
-                c, c2 = worth[word], np.where(pair > 0, worth[np.minimum(pair + 1, 255)], 0.0)
+                c, c2 = worth[word], worth[pair]
                 context = np.empty_like(c)
                 context[1:] = c[:-1]
                 context[at[:-1]] = n_docs

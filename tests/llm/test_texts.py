@@ -1,5 +1,6 @@
 """Operators 3, 5, 7 and 10 against brute force."""
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -11,7 +12,7 @@ import pytest
 from ratewatch.llm import bloomlm, fertility, langid, pieces
 from ratewatch.llm.textbatch import buffers
 
-from .conftest import CLASH, lower, words
+from .conftest import CLASH, lower, prose, words
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -62,6 +63,46 @@ def test_filter_holds_levels():
     assert (f.read(rng.integers(0, 1 << 62, 4000, dtype=np.uint64), keys) > 0).mean() < 0.05
 
 
+def brute_scores(docs):
+    """Scores by exact counts, each rounded to its level's value; pairs of every count."""
+    toks = [(r.doc_id, ["begin", *[(w,) for w in words(lower(r.text))], "end"]) for r in docs]
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    counts = Counter(t for i, w in toks if not held(i) for t in w[1:])
+    two = Counter(x for i, w in toks if not held(i) for x in zip(w, w[1:]))
+    n, v, out = sum(counts.values()), len(counts), {}
+    worth = lambda c: float(c) if c < 2 else 1.5 * 2.0 ** (c.bit_length() - 2)
+    for i, w in toks:
+        out[i] = 0.0
+        for x, y in zip(w, w[1:]):
+            context = counts["end"] if x == "begin" else worth(counts[x])
+            c2 = worth(two[x, y])
+            out[i] += math.log10(min(1.0, 0.2 * c2 / max(context, c2, 1.0) + 0.8 * (worth(counts[y]) + 1) / (n + v + 1)))
+    return out, {x for x, c in two.items() if c == 1}
+
+
+def test_scores_like_a_brute_force_quantised_model(spark):
+    rng = random.Random(8)
+    texts = [prose(rng, 6) for _ in range(260)]
+    texts += [" ".join(t.split()[:4]) for t in texts[:140]]          # pairs of count 1 and 2, also in held-out documents
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    expected, once = brute_scores(docs.collect())
+    got = rows(bloomlm.score_documents(docs))
+    assert len(once) > 500 and len(got) == len(expected)
+    off = [r.score - expected[r.doc_id] for r in got]
+    # the filter's false positives, about 1 % of the probes, change the other documents
+    assert sum(abs(x) < 1e-6 for x in off) > 0.75 * len(off), sorted(off)[::20]
+
+
+def test_filter_holds_pairs_seen_once():
+    two = np.sort(np.random.default_rng(2).integers(0, 1 << 48, 3000, dtype=np.uint64))
+    counts = np.where(np.arange(3000) % 2, 1, 5)
+    none = bloomlm.pack(np.zeros(0, np.uint64), np.zeros(0, int), 8)
+    out = bloomlm._merge(pa.table({"seg": pa.array([0], pa.int32()), "words": [none], "pairs": [bloomlm.pack(two, counts, 6)]})).to_pylist()[0]
+    f = bloomlm.Filter(1, np.array([0]), np.array([out["bit_count"]]), np.frombuffer(out["bits"], np.uint8))
+    found = f.read(bloomlm.pair_keys(two), two)
+    assert (found >= np.where(counts == 1, 1, 3)).all() and (found[counts == 1] == 1).mean() > 0.95
+
+
 # ---- fertility ----------------------------------------------------------------------------------
 
 def brute_counts(text, model):
