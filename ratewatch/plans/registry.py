@@ -226,7 +226,7 @@ def _qa_gates(spark, sf_dir):
         spark, QA_DATE, coverage=cov, dim_products=dim,
         rate_changes=lambda: rate_changes(testbed.event_rate_fact(ev), as_of=QA_DATE),
         pages=pages,
-        drift_events=lambda: drift_events(fingerprints(pages, max_depth=4, max_elems=3), bucket=F.date_trunc("minute", "observed_at")),
+        drift_events=lambda: drift_events(fingerprints(pages), bucket=F.date_trunc("minute", "observed_at")),
         tests=[Q.unique_combo(dim, ["provider_id", "product_id", "as_of_date"]),
                Q.not_null(dim, ["provider_id", "product_id", "as_of_date"]).filter(F.col("null_rows") > 0),
                Q.unique_combo(cov, ["as_of_date", "provider_id"])])
@@ -256,7 +256,7 @@ def q_qa_gates_strict(spark, sf_dir):
     ev = _events(spark, sf_dir)
     pages = testbed.event_pages(ev)
     return run_qa(spark, QA_DATE, coverage=None, dim_products=testbed.event_dim(ev), pages=pages, rate_changes=None,
-                  drift_events=lambda: drift_events(fingerprints(pages, max_depth=4, max_elems=3), bucket=F.date_trunc("minute", "observed_at")),
+                  drift_events=lambda: drift_events(fingerprints(pages), bucket=F.date_trunc("minute", "observed_at")),
                   min_products=10**9, max_freshness_hours=0.0, fail_on_schema_drift=True)
 
 
