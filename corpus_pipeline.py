@@ -6,7 +6,7 @@ of documents.
 
 1. ``language_id``: documents without a determinable language go.
 2. ``line_dedup``: later copies of repeated line runs are deleted; a document that has no word left goes.
-3. ``near_dedup``: one document of each near-duplicate component stays, the one with the least doc_id.
+3. ``near_dedup``: one row of each near-duplicate component stays, the first by doc_id (nulls last) and text hash.
 4. ``decontamination``: documents that hold a benchmark item go.
 5. ``sentencepiece``: the remaining texts are encoded; token counts, ids and a round-trip flag are added.
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ratewatch.llm.decontam import decontaminate
 from ratewatch.llm.langid import UNDETERMINED, fit_profiles, held_out, identify
 from ratewatch.llm.linededup import WORD, dedup_lines
-from ratewatch.llm.neardup import keep_one
+from ratewatch.llm.neardup import leave_one
 from ratewatch.llm.pieces import encode
 from ratewatch.llm.queries import VOCABULARY
 from ratewatch.llm.runtime import cut, table, tune
@@ -47,9 +47,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: one document of each near-duplicate component stays."""
+    """Operator 2: one row of each near-duplicate component stays."""
     tune(spark)
-    return keep_one(docs).select(*docs.columns)
+    return leave_one(docs).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

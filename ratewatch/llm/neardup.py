@@ -25,7 +25,7 @@ compared by 56-bit hashes.
 Null, empty and blank texts have no shingle and are linked with nothing; a text of one to four words is one
 shingle. Rows that repeat a doc_id are documents of their own with one name; a null doc_id stays
 null unless its component has another. Very long texts are handled in one row's arrays. Empty
-tables give no rows. Extra columns aren't read; ``keep_one`` passes them through.
+tables give no rows. Extra columns aren't read; ``keep_one`` and ``leave_one`` pass them through.
 """
 
 from __future__ import annotations
@@ -179,15 +179,17 @@ def link_classes(posted: DataFrame, texts: DataFrame) -> DataFrame:
     return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(confirmed(rest)))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, tk (text hash), n_shingles, component_id, kept."""
+def _placed(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, tk (text hash), n (shingles), component_id, and ``first``, the
+    (no_id, doc_id, tk) of its component's first document; the last two are null without shingles."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("tk"), "text")
     sketched = cut(keyed.mapInArrow(_sketch, "doc_id long, tk long, n long, h1 long, h2 long, signature array<int>"), "sketch")
     # classes of equal sets; k numbers them within this run only
     own = ["n", "h1", "h2"]
     classes = cut(sketched.where("n > 0").groupBy(*own).agg(
-        F.min(F.struct("doc_id", "tk", "signature")).alias("r"), F.min("doc_id").alias("least"))
-        .select(*own, F.col("r.doc_id").alias("doc_id"), F.col("r.tk").alias("tk"), F.col("r.signature").alias("signature"), "least")
+        F.min(F.struct("doc_id", "tk", "signature")).alias("r"), F.min("doc_id").alias("least"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tk")).alias("first"))
+        .select(*own, F.col("r.doc_id").alias("doc_id"), F.col("r.tk").alias("tk"), F.col("r.signature").alias("signature"), "least", "first")
         .withColumn("k", F.monotonically_increasing_id()), "classes")
     tokens = classes.select("k", "n", F.posexplode("signature").alias("c", "v")).select(
         "k", "n", F.shiftleft(F.col("c").cast("long"), 32).bitwiseOR(F.col("v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("token"))
@@ -198,18 +200,39 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = cut(texts.dropDuplicates(["k"]), "texts")
     roots = link_classes(posted, texts)
     named = classes.join(roots.withColumnRenamed("node", "k"), "k", "left").withColumn("root", F.coalesce("root", "k"))
-    names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    member = named.select(*own, "root").join(names, "root").select(*own, "component_id")
-    out = sketched.drop("signature").join(member, own, "left")
+    names = named.groupBy("root").agg(F.min("least").alias("component_id"), F.min("first").alias("first"))
+    member = named.select(*own, "root").join(names, "root").select(*own, "component_id", "first")
+    return sketched.drop("signature").join(member, own, "left")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, tk (text hash), n_shingles, component_id, kept."""
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return (out.withColumn("component_id", component)
+    return (_placed(docs).withColumn("component_id", component)
             .select("doc_id", "tk", F.col("n").alias("n_shingles"), "component_id",
                     F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with its least doc_id."""
+    """The documents with the least doc_id of their component: all rows that have it."""
     drop = cut(near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_d"), F.col("tk").alias("_t")).distinct(), "drop")
     keyed = packed(docs, _tk=row_key(), _id=F.col("doc_id").cast("long"))
     gone = (F.col("_tk") == F.col("_t")) & F.col("_id").eqNullSafe(F.col("_d"))
     return unpacked(keyed.join(drop, gone, "left_anti"), docs.columns)
+
+
+def leave_one(docs: DataFrame) -> DataFrame:
+    """One row of each component: the first by doc_id (nulls last), text hash, and a hash of the whole
+    row among rows equal in both. Rows without a shingle are linked with nothing and stay."""
+    first = F.col("first")
+    held = (_placed(docs).where("n > 0")
+            .select("doc_id", "tk", (first["doc_id"].eqNullSafe(F.col("doc_id")) & (first["tk"] == F.col("tk"))).alias("is_first"))
+            .groupBy("doc_id", "tk", "is_first").agg(F.count(F.lit(1)).alias("times")))
+    held = cut(held.select(F.col("doc_id").alias("_d"), F.col("tk").alias("_t"), "is_first", "times").where("NOT is_first OR times > 1"), "held")
+    keyed = packed(docs, _tk=row_key(), _id=F.col("doc_id").cast("long"))
+    same = (F.col("_tk") == F.col("_t")) & F.col("_id").eqNullSafe(F.col("_d"))
+    single = keyed.join(held.select("_d", "_t"), same, "left_anti")
+    # written, so that the rows of a hot group can be split; each task then sends one row of it
+    repeats = cut(keyed.join(held.where("is_first").select("_d", "_t"), same, "left_semi"), "repeats")
+    one = repeats.groupBy("_id", "_tk").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return unpacked(single.select("row").unionByName(one.select("row")), docs.columns)

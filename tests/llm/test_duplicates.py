@@ -80,6 +80,27 @@ def test_keep_one_and_empty(odd, empty):
     assert near_duplicates(empty).count() == 0 and keep_one(empty).count() == 0
 
 
+def test_near_dedup_stage_leaves_one_row_of_each_group(spark, empty):
+    import random
+
+    import corpus_pipeline as P
+
+    from .conftest import prose
+    rng = random.Random(4)
+    same, no_id, variants, alone = (prose(rng, 90) for _ in range(4))
+    near = variants.split()
+    near[40] = "changed"
+    rows = [(1, same, "en")] * 30 + [(None, no_id, "en")] * 20 + [(None, no_id.upper(), "en"), (2, variants, "en"), (2, " ".join(near), "en"),
+            (3, alone, "en"), (3, prose(rng, 90), "de"), (4, prose(rng, 90), "en"), (None, same, "en"), (1, same, "de"), (5, None, "en"), (5, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    left = P.near_dedup(spark, docs, "").collect()
+    group = lambda t: (t or "").lower().replace("changed", variants.split()[40])
+    assert Counter(r.doc_id for r in left) == {1: 1, None: 1, 2: 1, 3: 2, 4: 1, 5: 2}
+    assert len({group(r.text) for r in left if r.text}) == 6 == sum(r.text is not None for r in left)
+    assert all(tuple(r) in rows for r in left)
+    assert P.near_dedup(spark, empty, "").count() == 0
+
+
 # ---- repeated substrings ------------------------------------------------------------------------
 
 def brute_removed(docs, span=200):
