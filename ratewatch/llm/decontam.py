@@ -1,13 +1,13 @@
-"""Operator 9, benchmark decontamination: size-partitioned MinHash containment search.
+"""Operator 9, benchmark decontamination: MinHash containment search, small items whole.
 
 A test item is short and a document long, so their Jaccard similarity says little; what counts is the
 share of the item's five-word shingles that the document has. Under each of ``COORDINATES`` hash
 functions an item is represented by its shingle of least hash: a document that holds a share t of the
-item holds each representative with probability t. Items are partitioned by size: those of at most
-``COORDINATES`` shingles stand for themselves entirely, larger ones by their representatives, and
-each partition has the number of hits that a true container misses with a chance below 1e-6. Enough hits,
-and a document large enough to hold the share, make a candidate pair; the exact count of common distinct
-shingles then decides.
+item holds each representative with probability t. There are two cases of size: items of at most
+``COORDINATES`` shingles stand for themselves entirely and need the share's number of hits; all larger
+ones go by their representatives and need ``LEAST_HITS`` hits, which a true container of any size misses
+with a chance below 1e-6. Enough hits make a candidate pair; the exact count of common distinct shingles
+then decides. ``part`` (log2 of the size) is only carried along; no bound depends on it.
 
 DataFrame functions only. Documents are read once, in one stage: words, shingle hashes and the probe of the
 items' shingles run without moving a text; only shingles that some item has go on. The items' shingle hashes are
