@@ -84,4 +84,46 @@ FROM ds JOIN its USING (sh) JOIN size USING (item_id)
 GROUP BY doc_id, item_id, n_item HAVING count(*) >= 0.75 * n_item
 """
 
-ORACLE = {"op4_url_rules": OP4, "op8_line_runs": OP8, "op9_decontamination": OP9}
+OP11 = """
+WITH low AS (
+  SELECT rowid AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM (SELECT row_number() OVER () AS rowid, doc_id, text FROM documents)),
+d AS (SELECT r, doc_id, len(w) AS n, w FROM low WHERE len(w) > 0),
+size AS (SELECT count(*) AS nn, sum(n)::BIGINT AS l FROM d),
+terms AS (
+  SELECT DISTINCT i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS i, item_id, text FROM benchmark)),
+tf AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM terms) GROUP BY ALL),
+df AS (
+  SELECT term, floor(1000 * ln((2 * any_value(nn) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tf, size GROUP BY term),
+scored AS (
+  SELECT i, item_id, r, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + ((90 * n * nn) // l)))))::BIGINT AS score
+  FROM terms JOIN tf USING (term) JOIN df USING (term), size GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+OP12 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, row_number() OVER () AS r FROM pages),
+q AS (
+  SELECT *, sha1(html) AS h, first_value(page_id) OVER same AS top, row_number() OVER same AS nth FROM p
+  WINDOW same AS (PARTITION BY html ORDER BY page_id DESC NULLS LAST, r DESC))
+SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                               (((('0x' || substr(h, 10 * (i // 8) + 1, 10))::BIGINT >> (35 - 5 * (i % 8))) & 31) + 1)::INTEGER, 1)
+                        FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN nth > 1 THEN top END AS refers_to, TRUE AS verified
+FROM q
+"""
+
+ORACLE = {"op4_url_rules": OP4, "op8_line_runs": OP8, "op9_decontamination": OP9, "op11_ranked_search": OP11, "op12_warc": OP12}

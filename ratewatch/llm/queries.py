@@ -91,5 +91,54 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    from .lexical import ranked_search
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives, equal payloads once, and read back."""
+    import uuid
+
+    from .runtime import shared_dir
+    from .warc import resolve, write_archive
+    path = f"{shared_dir(spark).rstrip('/')}/llm-archive-{uuid.uuid4().hex}"
+    write_archive(table(spark, sf_dir, "pages"), path)
+    return resolve(spark, path)
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """The documents of op13's contract: in one of ten by crc32 of doc_id, a tail of the words is made periodic."""
+    from pyspark.sql import functions as F
+
+    key = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8"))
+    docs = docs.select("doc_id", "text", key.alias("h"), F.floor(key / 10).alias("g"))
+    words = F.when((F.col("h") % 10 == 0) & F.col("text").isNotNull(), F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    docs = docs.select("doc_id", "text", "g", words.alias("w"))
+    docs = docs.select("*", F.size("w").cast("long").alias("n"))
+    docs = docs.select("*", F.when(F.col("n") > 0, F.col("g") % F.col("n")).alias("a"))
+    docs = docs.select("*", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).alias("p"))
+    a, p = F.col("a"), F.col("p")
+    periodic = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.get(
+        "w", F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))), " ")
+    return docs.select("doc_id", F.when(F.col("n") > 0, periodic).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document, and the text without their repeats."""
+    from pyspark.sql import functions as F
+
+    from .periodic import longest, periodic_runs, runs_text
+    found = periodic_runs(planted_runs(table(spark, sf_dir, "documents")))
+    found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest(F.col("runs")).alias("top"),
+                         F.sha2(runs_text(F.col("runs")), 256).alias("runs_sha256"),
+                         F.sha2(F.coalesce("collapsed", F.lit("")), 256).alias("collapsed_sha256"))
+    return found.select("doc_id", "n_runs", F.col("top.start").alias("start"), F.col("top.length").alias("length"),
+                        F.col("top.period").alias("period"),
+                        F.expr("(1000 * top.length) div top.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_near_duplicates, op3_bloom_lm, op4_url_rules, op5_fertility, op6_repeated_substrings, op7_sentencepiece,
-                                   op8_line_runs, op9_decontamination, op10_language_id)}
+                                   op8_line_runs, op9_decontamination, op10_language_id, op11_ranked_search, op12_warc,
+                                   op13_periodic_runs)}
