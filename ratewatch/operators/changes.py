@@ -13,7 +13,8 @@ pairs. When keys are unique per snapshot (the mart's declared contract) the resu
 join on the keys.
 
 Plan shape: snapshot dates joined to the facts (a plain join; a stored ``snapshots`` table is
-broadcast by its file size), then one exchange of the facts by (entity, keys). It belongs to an
+broadcast by its file size, and with ``as_of`` or ``current`` the few pairs that are left are worked out
+first and broadcast up to a counted bound), then one exchange of the facts by (entity, keys). It belongs to an
 aggregate that collects the distinct rows of a key, so repeated rows collapse before the shuffle;
 cancelling, ranking and pairing all work inside that partitioning.
 """
@@ -26,20 +27,37 @@ from datetime import date as _date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratewatch.session import checkpoint_dir
 
-def snapshot_pairs(df: DataFrame, entity: str, date: str, as_of: _date | None = None) -> DataFrame:
-    """(entity, date, _prev, _next): each snapshot date with its neighbours for that entity."""
+
+#: (entity, date) pairs that go out by broadcast when there are no more of them; beyond, the join shuffles.
+BROADCAST_PAIRS = 1 << 20
+
+
+def snapshot_pairs(df: DataFrame, entity: str, date: str, as_of: _date | None = None, current: DataFrame | None = None) -> DataFrame:
+    """(entity, date, _prev, _next): each snapshot date with its neighbours for that entity. With ``as_of`` or
+    ``current`` (entity, date) only the pairs that end there are left."""
     d = df.select(entity, date).distinct()
     w = Window.partitionBy(entity).orderBy(date)
     d = d.select(entity, date, F.lag(date).over(w).alias("_prev"), F.lead(date).over(w).alias("_next"))
-    if as_of is not None:
-        # Only the pair (prev(as_of), as_of) is needed: prune before touching the facts.
-        a = F.lit(as_of).cast("date")
-        d = (d.filter((F.col(date) == a) | (F.col("_next") == a))
-              .select(entity, date,
-                      F.when(F.col(date) == a, F.col("_prev")).alias("_prev"),
-                      F.when(F.col("_next") == a, F.col("_next")).alias("_next")))
-    return d
+    if as_of is None and current is None:
+        return d
+    if current is None:
+        is_end, next_is_end = F.col(date) == F.lit(as_of).cast("date"), F.col("_next") == F.lit(as_of).cast("date")
+    else:
+        ends = current.select(F.col(entity), F.col(date)).distinct()
+        d = (d.join(ends.withColumn("_e", F.lit(True)), [entity, date], "left")
+             .join(ends.select(entity, F.col(date).alias("_next"), F.lit(True).alias("_ne")), [entity, "_next"], "left"))
+        is_end, next_is_end = F.col("_e").isNotNull(), F.col("_ne").isNotNull()
+    return d.filter(is_end | next_is_end).select(entity, date, F.when(is_end, F.col("_prev")).alias("_prev"),
+                                                 F.when(next_is_end, F.col("_next")).alias("_next"))
+
+
+def _small(pairs: DataFrame) -> DataFrame:
+    """Pairs worked out once, and sent to every task if there are few."""
+    checkpoint_dir(pairs.sparkSession)
+    pairs = pairs.checkpoint()
+    return F.broadcast(pairs) if pairs.count() <= BROADCAST_PAIRS else pairs
 
 
 def snapshot_changes(
@@ -57,6 +75,7 @@ def snapshot_changes(
     current_value_name: str | None = None,
     as_of: _date | None = None,
     snapshots: DataFrame | None = None,
+    current: DataFrame | None = None,
 ) -> DataFrame:
     """Rows that differ between each entity's consecutive snapshots.
 
@@ -64,6 +83,8 @@ def snapshot_changes(
     sentinel_keys  keys compared as coalesce(key, sentinel): NULL matches NULL (and the sentinel)
     carry          descriptive columns, output as coalesce(current, previous)
     snapshots      (entity, date) of all snapshots, where a table of them is stored; else read off the facts
+    as_of          only changes that become current on this date
+    current        only changes that become current on these (entity, date)
     """
     sentinel_keys = dict(sentinel_keys or {})
     keys, carry = list(keys), list(carry)
@@ -75,7 +96,12 @@ def snapshot_changes(
     norm = [f"_k{i}" for i in range(len(keys) + len(sentinel_keys))]
     norm_exprs = [F.col(k) for k in keys] + [F.coalesce(F.col(k), F.lit(s)) for k, s in sentinel_keys.items()]
     facts = df.select(entity, date, *keys, *sentinel_keys, value, *carry)
-    pairs = snapshot_pairs(facts if snapshots is None else snapshots, entity, date, as_of)
+    if as_of is not None:
+        facts = facts.filter(F.col(date) <= F.lit(as_of))
+        snapshots = None if snapshots is None else snapshots.filter(F.col(date) <= F.lit(as_of))
+    pairs = snapshot_pairs(facts if snapshots is None else snapshots, entity, date, as_of, current)
+    if as_of is not None or current is not None:
+        pairs = _small(pairs)
     facts = facts.join(pairs, [entity, date]).select("*", *[e.alias(n) for e, n in zip(norm_exprs, norm)])
 
     # one exchange, by entity and keys; equal rows of a task are one row in it

@@ -74,3 +74,65 @@ def test_all_marts_are_stored_and_reported(spark):
                           coverage_path=f"{out}/mart_provider_coverage", drift_path=f"{out}/schema_drift_event")
     assert any("Providers discovered" in x for x in lines)
     assert spark.read.parquet(f"{out}/schema_fingerprint").count() > 0
+
+
+def _marts(spark, out):
+    """All rows of the change mart and of the drift events, as plain values."""
+    cols = {"mart_rate_changes": ["as_of_date", "provider_id", "product_id", "previous_as_of_date", "previous_rate", "current_rate"],
+            "schema_drift_event": ["as_of_date", "provider_id", "endpoint", "old_fingerprint_hash", "new_fingerprint_hash", "observed_at"]}
+    return {t: sorted(tuple(str(v) for v in r) for r in spark.read.parquet(f"{out}/{t}").select(*c).collect()) for t, c in cols.items()}
+
+
+def _versions():
+    """Pages of two providers: one lists every day, the other misses some; shapes change too."""
+    import json
+    rows = []
+    for i, day in enumerate(["2026-02-09", "2026-02-10", "2026-02-11", "2026-02-12", "2026-02-13"]):
+        for prov, days in (("p", range(5)), ("q", (0, 2, 4))):
+            if i not in days:
+                continue
+            rate = {"depositRateType": "FIXED", "rate": f"0.0{i + 1}" if prov == "p" else "0.05"}
+            product = {"productId": "a", "depositRates": [rate]}
+            if i in (1, 2):
+                product["extra"] = 1
+            payload = json.dumps({"data": {"products": [product]}, "links": {}})
+            rows.append((f"run-{i}", prov, "B", "banking:get-products", f"https://{prov}/{day}", 1, 200, 3,
+                         dt.datetime.fromisoformat(f"{day}T01:00:00"), None, payload, "h", day))
+    return rows
+
+
+def test_dates_built_in_any_order_equal_a_full_build(spark):
+    rows = _versions()
+    pages = spark.createDataFrame(rows, PAGE)
+    full = tempfile.mkdtemp(prefix="models-")
+    build_and_write(pages, full)
+    want = _marts(spark, full)
+    assert len(want["mart_rate_changes"]) == 4 and len(want["schema_drift_event"]) == 4
+    out = tempfile.mkdtemp(prefix="models-")
+    done = []
+    for day in ("2026-02-09", "2026-02-13", "2026-02-11", "2026-02-10", "2026-02-12", "2026-02-10"):
+        done.append(day)
+        build_and_write(spark.createDataFrame([r for r in rows if r[-1] in done], PAGE), out, as_of=dt.date.fromisoformat(day))
+    assert _marts(spark, out) == want
+    # a date that loses a provider: the provider's next date is compared with the one before
+    some = [r for r in rows if (r[1], r[-1]) != ("p", "2026-02-11")]
+    build_and_write(spark.createDataFrame(some, PAGE), out, as_of=dt.date(2026, 2, 11))
+    again = tempfile.mkdtemp(prefix="models-")
+    build_and_write(spark.createDataFrame(some, PAGE), again)
+    assert _marts(spark, out) == _marts(spark, again)
+
+
+def test_a_new_date_reads_the_fingerprint_state(spark):
+    """The earlier fingerprints may be gone when a later date is built: the state has what is needed."""
+    import shutil
+    rows = _versions()
+    out = tempfile.mkdtemp(prefix="models-")
+    build_and_write(spark.createDataFrame([r for r in rows if r[-1] < "2026-02-13"], PAGE), out)
+    events = len(_marts(spark, out)["schema_drift_event"])
+    state = {(r.provider_id, r.endpoint): r.observed_at for r in spark.read.parquet(f"{out}/fingerprint_state").collect()}
+    assert {p: t.day for (p, _), t in state.items()} == {"p": 12, "q": 11}
+    shutil.move(f"{out}/schema_fingerprint/as_of_date=2026-02-11", f"{out}/gone")
+    build_and_write(spark.createDataFrame(rows, PAGE), out, as_of=dt.date(2026, 2, 13))
+    assert len(_marts(spark, out)["schema_drift_event"]) == events + 1      # q's shape of the 11th is not that of the 13th
+    state = {r.provider_id: r.observed_at.day for r in spark.read.parquet(f"{out}/fingerprint_state").collect()}
+    assert state == {"p": 13, "q": 13}
