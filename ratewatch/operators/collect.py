@@ -126,11 +126,21 @@ def run_totals(pages: DataFrame, details: DataFrame | None = None, by: tuple[str
         F.coalesce("pages", F.lit(0)).alias("pages"), F.coalesce("details_ok", F.lit(0)).alias("details_ok"))
 
 
+def detail_retry(requests: DataFrame, fetched: DataFrame, key: tuple[str, ...] = ("run_id", "provider_id", "product_id")) -> DataFrame:
+    """Requested details that no fetch answered with 200: the next round's requests, with the attempts made so far and
+    the last status (None: never tried). Fetches are summed per key before the join."""
+    tried = fetched.groupBy(*key).agg(F.count(F.lit(1)).alias("attempts"), F.count_if(F.col("http_status") == 200).alias("_ok"),
+                                      F.max_by("http_status", F.struct("fetched_at", "http_status")).alias("last_status"))
+    wanted = requests.select(*key).distinct()
+    return (wanted.join(tried, list(key), "left").filter(F.coalesce(F.col("_ok"), F.lit(0)) == 0)
+            .select(*key, F.coalesce("attempts", F.lit(0)).alias("attempts"), "last_status"))
+
+
 def call_log_rows(responses: DataFrame, body: str = "body") -> DataFrame:
-    """Call-log rows from responses: SHA-256 of the body (NULL when empty) and the error text."""
+    """Call-log rows from responses: SHA-256 of the body (NULL when empty) and the error text; the body itself stays out."""
     from ratewatch.functions.text import error_text, sha256_hex
     return responses.select("*", sha256_hex(F.col(body)).alias("payload_hash"),
-                            error_text(F.col("http_status"), F.col(body)).alias("error"))
+                            error_text(F.col("http_status"), F.col(body)).alias("error")).drop(body)
 
 
 

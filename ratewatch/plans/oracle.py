@@ -303,7 +303,7 @@ ORACLE["fingerprints"] = "WITH " + FINGERPRINTS + """
 SELECT provider_id, endpoint, fingerprint_hash, array_to_string(paths, '|') AS fingerprint_path_list,
        observed_at, run_id, page_num FROM fp"""
 ORACLE["fingerprints_limited"] = "WITH " + FINGERPRINTS + """,
-few AS (SELECT *, list_filter(paths, lambda x: x IN ('data', 'data.products', 'links', 'links.next', 'meta', 'meta.k')) AS upper FROM fp0)
+few AS (SELECT *, list_filter(paths, lambda x: x NOT IN ('data.products[].extra', 'data.products[].fees[].amount')) AS upper FROM fp0)
 SELECT provider_id, endpoint, sha256(array_to_string(upper, chr(10))) AS fingerprint_hash,
        array_to_string(upper, '|') AS fingerprint_path_list, observed_at, run_id, page_num FROM few"""
 ORACLE["drift_events"] = "WITH " + FINGERPRINTS + " SELECT * FROM drift"
@@ -621,27 +621,58 @@ ORDER BY abs(delta) DESC NULLS LAST, provider_id, product_id, rate_kind, rate_ty
 LIMIT 20"""
 
 
-def _table_checks_sql() -> str:
-    from ratewatch.schemas import TABLES
-    srcs = {"products_raw": "pages", "api_call_log": "fetches", "pipeline_run": "runs_full",
-            "data_holder_brand": "brands_full"}
-    parts = []
-    for name, src in srcs.items():
-        t = TABLES[name]
-        key = ", ".join(t.key)
-        parts.append(f"SELECT '{name}' AS table_name, 'unique' AS \"check\", '{','.join(t.key)}' AS column_or_key, "
-                     f"(SELECT count(*) FROM (SELECT {key} FROM {src} GROUP BY {key} HAVING count(*) > 1) q) AS failing_rows")
-        for c in t.not_null:
-            parts.append(f"SELECT '{name}', 'not_null', '{c}', (SELECT count(*) FROM {src} WHERE {c} IS NULL)")
-    return "WITH " + EVENT_FETCH + """,
+DETAILS = """
+details AS (
+  SELECT 'run-' || strftime(d, '%Y-%m-%d') AS run_id, 'user-' || CAST(user_id AS VARCHAR) AS provider_id,
+         CASE WHEN user_id % 10 = 0 THEN NULL ELSE 'User ' || CAST(user_id AS VARCHAR) END AS brand_name,
+         'prod-' || CAST(event_id % 7 AS VARCHAR) AS product_id, 'banking:get-product-detail' AS endpoint,
+         'https://api.user-' || CAST(user_id AS VARCHAR) || '.example.com/cds/banking/products/prod-' || CAST(event_id % 7 AS VARCHAR)
+           || '?try=' || CAST(event_id AS VARCHAR) AS url,
+         CASE event_id % 3 WHEN 0 THEN 200 WHEN 1 THEN 500 ELSE 304 END AS http_status, 3 AS responded_xv, ts AS fetched_at,
+         CAST(NULL AS VARCHAR) AS etag,
+         CASE WHEN event_id % 3 = 0 THEN '{"data":{"productId":"prod-' || CAST(event_id % 7 AS VARCHAR) || '"'
+              || CASE WHEN event_id % 2 = 0 THEN ',"fees":[{"amount":"1.00"}]' ELSE '' END || '}}' END AS payload,
+         event_id AS fetch_id, d
+  FROM ev WHERE event_type = 'signup')"""
+
+ALL_TABLES = FINGERPRINTS + "," + DETAILS + """,
 runs_full AS (SELECT *, 'banking' AS register_industry, 'banking' AS filter_industry,
                      false AS fetch_product_details FROM runs),
 brands_full AS (
   SELECT r.run_id, 'user-' || CAST(u.user_id AS VARCHAR) AS data_holder_brand_id, r.run_started_at AS extracted_at
-  FROM (SELECT d AS run_date, user_id FROM ev UNION SELECT d + 1, user_id FROM ev) u JOIN runs r USING (run_date))
-""" + "\nUNION ALL\n".join(parts)
+  FROM (SELECT d AS run_date, user_id FROM ev UNION SELECT d + 1, user_id FROM ev) u JOIN runs r USING (run_date)),
+prints_full AS (SELECT *, paths AS fingerprint_paths FROM fp)
+"""
+TABLE_SOURCES = {"products_raw": "pages", "api_call_log": "fetches", "pipeline_run": "runs_full", "data_holder_brand": "brands_full",
+                 "product_detail_raw": "details", "schema_fingerprint": "prints_full", "schema_drift_event": "drift"}
+
+
+def _table_checks_sql() -> str:
+    from ratewatch.schemas import TABLES
+    parts = []
+    for name, t in TABLES.items():
+        key, src = ", ".join(t.key), TABLE_SOURCES.get(name)
+        # the gate results are made by the run itself: keys and declared columns are never missing
+        count = f"SELECT count(*) FROM (SELECT {key} FROM {src} GROUP BY {key} HAVING count(*) > 1) q" if src else "SELECT 0::BIGINT"
+        parts.append(f"SELECT '{name}' AS table_name, 'unique' AS \"check\", '{','.join(t.key)}' AS column_or_key, ({count}) AS failing_rows")
+        for c in t.not_null:
+            count = f"SELECT count(*) FROM {src} WHERE {c} IS NULL" if src else "SELECT 0::BIGINT"
+            parts.append(f"SELECT '{name}', 'not_null', '{c}', ({count})")
+    return "WITH " + ALL_TABLES + "\nUNION ALL\n".join(parts)
+
+
+def _run_fk_sql() -> str:
+    from ratewatch.schemas import TABLES
+    union = " UNION ALL ".join(f"SELECT '{n}' AS table_name, run_id FROM {src}" for n, src in TABLE_SOURCES.items() if TABLES[n].run_fk)
+    return "WITH " + ALL_TABLES + f""",
+known AS (SELECT run_id FROM runs WHERE run_date NOT IN (DATE '2024-01-15', DATE '2024-01-17')),
+child AS ({union})
+SELECT table_name, count(*) AS child_rows, count(*) FILTER (run_id NOT IN (SELECT run_id FROM known)) AS orphan_rows,
+       count(DISTINCT run_id) FILTER (run_id NOT IN (SELECT run_id FROM known)) AS orphan_keys
+FROM child GROUP BY table_name"""
 
 
+ORACLE["run_fk_checks"] = _run_fk_sql()
 ORACLE["table_checks"] = _table_checks_sql()
 
 LANDED = EVENT_FETCH + """,
@@ -673,6 +704,12 @@ UNION ALL SELECT 'products_freshness_hours', coalesce(fresh <= 0.0, false), fres
 UNION ALL SELECT 'schema_drift_events', drift_n <= 0, CAST(drift_n AS DOUBLE), 0.0, """ + _fmt("drift_n") + """ || ' > 0.0' FROM m
 UNION ALL SELECT 'dbt_tests', true, 1.0, 1.0, 'skipped'"""
 
+ORACLE["qa_gates_by_name"] = (
+    ORACLE["qa_gates"].split("SELECT 'rate_changes_rows'")[0]
+    + "SELECT 'rate_changes_rows', false, NULL, 1.0, 'missing relation: expected gold_mart_rate_changes or public_gold_mart_rate_changes'\nUNION ALL\n"
+    + "SELECT 'products_freshness_hours'" + ORACLE["qa_gates"].split("SELECT 'products_freshness_hours'")[1].split("SELECT 'dbt_tests'")[0]
+    + "SELECT 'dbt_tests', true, 1.0, 1.0, 'skipped'")
+
 
 def _declared_tests_sql() -> str:
     from ratewatch.plans.qa import DECLARED_TESTS
@@ -693,3 +730,68 @@ def _declared_tests_sql() -> str:
 
 
 ORACLE["declared_tests"] = _declared_tests_sql()
+
+# ---- stored tables ------------------------------------------------------------------------------
+
+ORACLE["provider_publish"] = "WITH " + EVENT_FETCH + """,
+a1 AS (SELECT run_id, provider_id, page_num, http_status, 1 AS attempt FROM pages WHERE d <= DATE '2024-01-15'),
+a2 AS (SELECT run_id, provider_id, page_num, http_status, 2 AS attempt, event_type FROM pages
+       WHERE d >= DATE '2024-01-13' AND event_type <> 'click'),
+bad1 AS (SELECT DISTINCT run_id, provider_id FROM a1 WHERE http_status >= 500),
+bad2 AS (SELECT DISTINCT run_id, provider_id FROM a2 WHERE http_status >= 500 OR (page_num % 5 = 0 AND event_type = 'purchase')),
+good2 AS (SELECT DISTINCT run_id, provider_id FROM a2 WHERE (run_id, provider_id) NOT IN (SELECT (run_id, provider_id) FROM bad2))
+SELECT run_id, provider_id, page_num, http_status, attempt FROM a1
+WHERE (run_id, provider_id) NOT IN (SELECT (run_id, provider_id) FROM bad1)
+  AND (run_id, provider_id) NOT IN (SELECT (run_id, provider_id) FROM good2)
+UNION ALL
+SELECT run_id, provider_id, page_num, http_status, attempt FROM a2 WHERE (run_id, provider_id) IN (SELECT (run_id, provider_id) FROM good2)"""
+
+
+def _merge_sql(source: str, key: list[str], run_and_key: str, columns: list[str]) -> str:
+    own = [c for c in columns if c not in (*key, "brand_name", "url")]
+    return f"""
+src AS ({run_and_key}),
+oldest AS (SELECT {", ".join(key)}, brand_name, url FROM src
+           QUALIFY row_number() OVER (PARTITION BY {", ".join(key)} ORDER BY fetched_at, fetch_id) = 1),
+newest AS (SELECT {", ".join(key + own)} FROM src
+           QUALIFY row_number() OVER (PARTITION BY {", ".join(key)} ORDER BY fetched_at DESC, fetch_id DESC) = 1)
+SELECT {", ".join(columns)} FROM oldest JOIN newest USING ({", ".join(key)})"""
+
+
+ORACLE["merge_products_raw"] = "WITH " + EVENT_FETCH + "," + _merge_sql(
+    "pages", ["run_id", "provider_id", "endpoint", "page_num"],
+    "SELECT * EXCLUDE (run_id, page_num), 'run-' || strftime(fetched_at, '%Y-%m') AS run_id, page_num AS fetch_id, page_num % 4 AS page_num FROM pages",
+    ["run_id", "provider_id", "brand_name", "endpoint", "url", "page_num", "http_status", "responded_xv", "fetched_at", "etag", "payload",
+     "payload_hash"])
+ORACLE["merge_details"] = "WITH " + EVENT_FETCH + "," + DETAILS + "," + _merge_sql(
+    "details", ["run_id", "provider_id", "product_id"],
+    "SELECT * EXCLUDE (run_id), 'run-' || strftime(fetched_at, '%Y-%m') AS run_id, sha256(payload) AS payload_hash FROM details",
+    ["run_id", "provider_id", "brand_name", "product_id", "url", "http_status", "responded_xv", "fetched_at", "etag", "payload", "payload_hash"])
+
+ORACLE["rejects"] = "WITH " + EVENT_FETCH + """,
+p AS (SELECT run_id, provider_id, endpoint, page_num AS fetch_id, page_num % 2 AS page_num,
+             CASE WHEN page_num % 11 <> 0 THEN url END AS url, fetched_at FROM pages),
+r AS (SELECT *, row_number() OVER (PARTITION BY run_id, provider_id, endpoint, page_num, url IS NULL ORDER BY fetched_at, fetch_id) AS nth FROM p)
+SELECT run_id, provider_id, endpoint, page_num, url, fetched_at, CASE WHEN url IS NULL THEN 'not_null:url' ELSE 'unique' END AS reject_reason
+FROM r WHERE url IS NULL OR nth > 1"""
+
+ORACLE["detail_retry"] = "WITH " + EVENT_FETCH + "," + DETAILS + """
+SELECT run_id, provider_id, product_id, count(*) AS attempts, arg_max(http_status, (fetched_at, http_status)) AS last_status
+FROM details GROUP BY run_id, provider_id, product_id HAVING count(*) FILTER (http_status = 200) = 0"""
+
+ORACLE["run_totals_details"] = "WITH " + EVENT_FETCH + "," + DETAILS + """,
+t AS (SELECT run_id, provider_id, sum(CASE WHEN http_status <> 200 THEN 0 WHEN event_type = 'click' THEN 4 ELSE 1 END)::BIGINT AS products_listed,
+             count(*) AS pages FROM pages GROUP BY ALL),
+o AS (SELECT run_id, provider_id, count(*) FILTER (http_status = 200) AS details_ok FROM details GROUP BY ALL)
+SELECT run_id, provider_id, coalesce(products_listed, 0) AS products_listed, coalesce(pages, 0) AS pages, coalesce(details_ok, 0) AS details_ok
+FROM t FULL JOIN o USING (run_id, provider_id)"""
+
+ORACLE["endpoint_drift"] = "WITH " + FINGERPRINTS + "," + DETAILS + """,
+dp AS (SELECT provider_id, endpoint, fetched_at AS observed_at, run_id, fetch_id,
+              sha256(array_to_string(CASE WHEN fetch_id % 2 = 0
+                THEN ['data', 'data.fees', 'data.fees[]', 'data.fees[].amount', 'data.productId'] ELSE ['data', 'data.productId'] END, chr(10))) AS h
+       FROM details WHERE http_status = 200),
+dd AS (SELECT *, lag(h) OVER (PARTITION BY provider_id, endpoint ORDER BY observed_at, fetch_id) AS old FROM dp)
+SELECT * FROM drift
+UNION ALL
+SELECT provider_id, endpoint, old, h, observed_at, run_id, 'Schema/path fingerprint changed' FROM dd WHERE old IS NOT NULL AND old <> h"""

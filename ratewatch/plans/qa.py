@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ratewatch.operators import quality as Q
 from ratewatch.operators.coverage import provider_ok
+from ratewatch.session import utc_today
 
 
 def _rows_on(column: str, condition: Callable | None = None):
@@ -132,6 +133,20 @@ def run_qa(spark: SparkSession, qa_date: date, *, tests: list[DataFrame] | None
     return out
 
 
+def run_qa_by_name(spark: SparkSession, qa_date: date, *, separator: str = ".", **kw) -> DataFrame:
+    """``run_qa`` over the relations that the catalog has: each input goes by the first of its names that exists, and
+    a gate whose relation is absent fails and says which names were tried."""
+    from ratewatch.sources.tables import candidates, resolved
+    relations = {g.source: resolved(spark, g.relation, separator) for g in GATES}
+    gates = run_qa(spark, qa_date, **{**relations, **kw})
+    missing = F.col("details")
+    for g in GATES:
+        if relations[g.source] is None and g.source not in kw:
+            names = " or ".join(candidates(g.relation, separator))
+            missing = F.when(F.col("gate_name") == g.name, F.lit(f"missing relation: expected {names}")).otherwise(missing)
+    return gates.withColumn("details", missing)
+
+
 def evaluate_qa(spark: SparkSession, qa_date: date, *, tests: list[DataFrame] | None = None, **kw) -> DataFrame:
     """``run_qa`` with every gate computed on its own (one row each reaches the driver)."""
     inputs, thresholds, enforce = _settings(dict(kw))
@@ -145,15 +160,17 @@ def evaluate_qa(spark: SparkSession, qa_date: date, *, tests: list[DataFrame] |
     return done
 
 
-def store_qa(spark: SparkSession, qa_date: date, qa_run_id: str, out_root: str, *, tests: Sequence[DataFrame] | None = None,
+def store_qa(spark: SparkSession, qa_date: date | None, qa_run_id: str, out_root: str, *, tests: Sequence[DataFrame] | None = None,
              tests_command: str | None = None, **kw) -> DataFrame:
-    """Evaluate the gates, append them to ``out_root/qa_gate_result``, write the Markdown summary and
-    return the verdict row."""
+    """Evaluate the gates, append them to ``out_root/qa_gate_result`` (a retry of the run replaces its rows), write the Markdown summary and
+    return the verdict row. Without a date it is today's, UTC."""
     from ratewatch.plans.reports import qa_summary, write_lines
     from ratewatch.sources.tables import write_table
+    qa_date = qa_date or utc_today()
     gates = evaluate_qa(spark, qa_date, tests=None if tests is None else list(tests), **kw)
     ran = tests is not None
     passed = gates.filter((F.col("gate_name") == "dbt_tests") & ~F.col("passed")).isEmpty()
-    write_table(Q.gate_records(gates, qa_run_id, qa_date, ran, passed, tests_command), f"{out_root}/qa_gate_result", "qa_gate_result")
+    write_table(Q.gate_records(gates, qa_run_id, qa_date, ran, passed, tests_command), f"{out_root}/qa_gate_result", "qa_gate_result",
+                run="qa_run_id")
     write_lines(spark, qa_summary(gates, qa_date, qa_run_id, ran, tests_command), f"{out_root}/qa_summary_{qa_date.isoformat()}")
     return Q.verdict(gates)

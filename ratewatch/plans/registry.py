@@ -187,9 +187,9 @@ def q_fingerprints(spark, sf_dir):
 
 @register("fingerprints_limited")
 def q_fingerprints_limited(spark, sf_dir):
-    """DRF1 with the limits of the original pipeline: first elements of arrays, upper levels only."""
+    """DRF1 with the limits of the original pipeline: the first three elements of arrays, four levels."""
     from ratewatch.operators.drift import fingerprints
-    fp = fingerprints(testbed.event_pages(_events(spark, sf_dir)), max_depth=1, max_elems=3)
+    fp = fingerprints(testbed.event_pages(_events(spark, sf_dir)), max_depth=4, max_elems=3)
     return fp.withColumn("fingerprint_path_list", F.array_join("fingerprint_paths", "|")).drop("fingerprint_paths")
 
 
@@ -260,6 +260,19 @@ def q_qa_gates_strict(spark, sf_dir):
                   min_products=10**9, max_freshness_hours=0.0, fail_on_schema_drift=True)
 
 
+@register("qa_gates_by_name")
+def q_qa_gates_by_name(spark, sf_dir):
+    """SRC11, FLT14: the gates over whichever relation a model has in the catalog; the change mart has none."""
+    from ratewatch.operators.drift import drift_events, fingerprints
+    from ratewatch.plans.qa import run_qa_by_name
+    from ratewatch.sources.tables import register_models
+    ev = _events(spark, sf_dir)
+    pages = testbed.event_pages(ev)
+    register_models({"public_gold_mart_provider_coverage": _coverage(spark, sf_dir), "silver_dim_products": testbed.event_dim(ev),
+                     "raw_products_raw": pages, "bronze_schema_drift_event": drift_events(fingerprints(pages))})
+    return run_qa_by_name(spark, QA_DATE, separator="_")
+
+
 @register("qa_verdict")
 def q_qa_verdict(spark, sf_dir):
     """QAG11: PASS/FAIL and exit code over the gates."""
@@ -412,8 +425,9 @@ def q_version_choice(spark, sf_dir):
 
 @register("call_log")
 def q_call_log(spark, sf_dir):
-    """COL8: call-log rows with body hash and error text."""
-    return testbed.event_call_log(_events(spark, sf_dir))
+    """COL8: call-log rows with body hash and error text, from the responses."""
+    from ratewatch.operators.collect import call_log_rows
+    return call_log_rows(testbed.event_responses(_events(spark, sf_dir)))
 
 
 @register("run_totals")
@@ -537,15 +551,134 @@ def q_rate_change_markdown(spark, sf_dir):
     return rate_change_table_lines(rep, 20).select("line")
 
 
+def _tables(spark, sf_dir):
+    """The eight declared tables over the events."""
+    from ratewatch.operators.drift import drift_events, fingerprints
+    from ratewatch.operators.quality import gate_records
+    from ratewatch.plans.qa import run_qa
+    ev = _events(spark, sf_dir)
+    runs, pages = testbed.event_runs(ev), testbed.event_pages(ev)
+    prints = fingerprints(pages)
+    return {"products_raw": pages, "api_call_log": testbed.event_call_log(ev), "pipeline_run": runs,
+            "data_holder_brand": testbed.event_brands(ev, runs), "product_detail_raw": testbed.event_details(ev),
+            "schema_fingerprint": prints, "schema_drift_event": drift_events(prints),
+            "qa_gate_result": gate_records(run_qa(spark, QA_DATE, pages=pages), "qa-1", QA_DATE)}
+
+
 @register("table_checks")
 def q_table_checks(spark, sf_dir):
-    """Declared keys and NOT NULL columns of the page, call-log, run and brand tables (DDL contract)."""
+    """Declared keys and NOT NULL columns of all eight tables (DDL contract)."""
     from ratewatch.operators.quality import table_checks
-    ev = _events(spark, sf_dir)
-    runs = testbed.event_runs(ev)
     out = None
-    for df, spec in ((testbed.event_pages(ev), "products_raw"), (testbed.event_call_log(ev), "api_call_log"),
-                     (runs, "pipeline_run"), (testbed.event_brands(ev, runs), "data_holder_brand")):
+    for spec, df in _tables(spark, sf_dir).items():
         c = table_checks(df, spec)
         out = c if out is None else out.unionByName(c)
     return out
+
+
+@register("run_fk_checks")
+def q_run_fk_checks(spark, sf_dir):
+    """JOI10, DQT7: orphans of the six tables that reference a run, in one pass; the runs of two days are missing."""
+    from ratewatch.operators.quality import run_fk_checks
+    from ratewatch.schemas import TABLES
+    tables = _tables(spark, sf_dir)
+    runs = tables["pipeline_run"].filter(~F.col("run_date").isin(QA_DATE, date(2024, 1, 17)))
+    return run_fk_checks({n: df for n, df in tables.items() if TABLES[n].run_fk}, runs)
+
+
+# ---- stored tables: publish, merge, contracts at the write ----------------------------------------
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+
+    from ratewatch.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/stored/{name}-{uuid.uuid4().hex}"
+
+
+@register("provider_publish")
+def q_provider_publish(spark, sf_dir):
+    """SNK9: two collections over the days before and after the QA date, two days in both. A provider that fails
+    midway publishes nothing of that run; one that is collected again replaces its rows."""
+    from ratewatch.sources import store
+    ev = _events(spark, sf_dir)
+    pages = testbed.event_pages(ev).select("run_id", "provider_id", "page_num", "http_status", "payload", F.to_date("fetched_at").alias("d"))
+    day = F.lit(QA_DATE)
+    root, group = _scratch(spark, "pages"), ["run_id", "provider_id"]
+    first = pages.filter(F.col("d") <= day).withColumn("attempt", F.lit(1))
+    again = pages.filter((F.col("d") >= F.date_sub(day, 2)) & ~F.coalesce(F.col("payload").contains('"meta"'), F.lit(False)))
+    again = again.withColumn("attempt", F.lit(2))
+    failed = F.col("http_status") >= 500
+    store.publish_groups(first, root, group, failed=first.filter(failed))
+    failed = failed | ((F.col("page_num") % 5 == 0) & F.col("payload").contains('"fees"'))
+    store.publish_groups(again, root, group, failed=again.filter(failed))
+    return store.read_published(spark, root, first.schema).select(*group, "page_num", "http_status", "attempt")
+
+
+def _merged(spark, rows, name, key, columns):
+    """``rows`` merged into a stored table: first those before the QA date, then the others."""
+    from ratewatch.sources import store
+    root = _scratch(spark, name)
+    early = F.col("fetched_at") < F.lit(QA_DATE).cast("timestamp")
+    for part in (rows.filter(early), rows.filter(~early)):
+        store.merge_into(part, root, key, order=[F.col("fetched_at"), F.col("fetch_id")], keep_first=["brand_name", "url"])
+    return store.read_stored(spark, root, rows.schema).select(*columns)
+
+
+@register("merge_products_raw")
+def q_merge_products_raw(spark, sf_dir):
+    """SNK4: page fetches of monthly runs upserted into the stored page table; four page numbers per provider and run."""
+    month = F.concat(F.lit("run-"), F.date_format("fetched_at", "yyyy-MM"))
+    rows = testbed.event_pages(_events(spark, sf_dir)).withColumn("fetch_id", F.col("page_num")).withColumns(
+        {"run_id": month, "page_num": F.col("page_num") % 4})
+    return _merged(spark, rows, "products_raw", ["run_id", "provider_id", "endpoint", "page_num"],
+                   ["run_id", "provider_id", "brand_name", "endpoint", "url", "page_num", "http_status", "responded_xv", "fetched_at", "etag",
+                    "payload", "payload_hash"])
+
+
+@register("merge_details")
+def q_merge_details(spark, sf_dir):
+    """SNK5: detail fetches of monthly runs upserted into the stored detail table."""
+    month = F.concat(F.lit("run-"), F.date_format("fetched_at", "yyyy-MM"))
+    rows = testbed.event_details(_events(spark, sf_dir)).withColumn("run_id", month)
+    return _merged(spark, rows, "product_detail_raw", ["run_id", "provider_id", "product_id"],
+                   ["run_id", "provider_id", "brand_name", "product_id", "url", "http_status", "responded_xv", "fetched_at", "etag", "payload",
+                    "payload_hash"])
+
+
+@register("rejects")
+def q_rejects(spark, sf_dir):
+    """SRC12, DQT5-6 at the write: pages without a URL, and pages whose key an earlier one has, with their reasons."""
+    from ratewatch.sources.tables import read_rejected, write_checked
+    rows = testbed.event_pages(_events(spark, sf_dir)).withColumn("fetch_id", F.col("page_num")).withColumns(
+        {"page_num": F.col("page_num") % 2, "url": F.when(F.col("page_num") % 11 != 0, F.col("url"))})
+    path = _scratch(spark, "checked")
+    write_checked(rows, path, "products_raw", [F.col("fetched_at"), F.col("fetch_id")])
+    return read_rejected(spark, path).select("run_id", "provider_id", "endpoint", "page_num", "url", "fetched_at", "reject_reason")
+
+
+# ---- the detail endpoint ----------------------------------------------------------------------------
+
+@register("detail_retry")
+def q_detail_retry(spark, sf_dir):
+    """COL3, COL10: requested details that no attempt answered with 200."""
+    from ratewatch.operators.collect import detail_retry
+    d = testbed.event_details(_events(spark, sf_dir))
+    return detail_retry(d, d)
+
+
+@register("run_totals_details")
+def q_run_totals_details(spark, sf_dir):
+    """AGG12, COL10: products listed, pages and details answered with 200, per run and provider."""
+    from ratewatch.operators.collect import run_totals
+    ev = _events(spark, sf_dir)
+    return run_totals(testbed.event_pages(ev), testbed.event_details(ev))
+
+
+@register("endpoint_drift")
+def q_endpoint_drift(spark, sf_dir):
+    """DRF4: drift events of both endpoints, listing pages and product details."""
+    from ratewatch.operators.drift import drift_events, fingerprints
+    ev = _events(spark, sf_dir)
+    cols = ["run_id", "provider_id", "endpoint", "page_num", "http_status", "fetched_at", "payload"]
+    both = testbed.event_pages(ev).select(*cols).unionByName(testbed.event_details(ev).withColumnRenamed("fetch_id", "page_num").select(*cols))
+    return drift_events(fingerprints(both))

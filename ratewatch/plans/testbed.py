@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratewatch.functions.jsonpath import json_text
+
 PRODUCTS_ENDPOINT = "banking:get-products"
 DETAIL_ENDPOINT = "banking:get-product-detail"
 
@@ -210,8 +212,7 @@ def event_brands(events: DataFrame, runs: DataFrame) -> DataFrame:
         F.col("run_started_at").alias("extracted_at"))
 
 
-def _event_fetches(events: DataFrame) -> DataFrame:
-    from ratewatch.functions.jsonpath import json_text
+def _event_fetches(events: DataFrame, *own: str) -> DataFrame:
     from ratewatch.functions.text import error_text, sha256_hex
     u = F.col("user_id").cast("string")
     st = _status(F.col("event_type"))
@@ -230,7 +231,7 @@ def _event_fetches(events: DataFrame) -> DataFrame:
         F.col("event_id").alias("page_num"), st.alias("http_status"), F.lit(3).alias("responded_xv"),
         F.col("ts").cast("timestamp").alias("fetched_at"), F.lit(None).cast("string").alias("etag"),
         payload.alias("payload"), sha256_hex(body).alias("payload_hash"),
-        error_text(st, body).alias("error"), F.col("event_type"), F.col("value"))
+        error_text(st, body).alias("error"), F.col("event_type"), F.col("value"), *own)
 
 
 def event_call_log(events: DataFrame) -> DataFrame:
@@ -246,10 +247,44 @@ def event_pages(events: DataFrame) -> DataFrame:
         "responded_xv", "fetched_at", "etag", "payload", "payload_hash")
 
 
+def event_responses(events: DataFrame) -> DataFrame:
+    """Responses behind ``event_call_log``: one per event, with the body instead of its hash and error text."""
+    st = _status(F.col("event_type"))
+    k = json_text(F.try_parse_json("props"), "k")
+    body = F.when(st == 200, _event_payload(F.col("event_type"), k)).when(st == 500, F.col("props"))
+    return _event_fetches(events.withColumn("_body", body), "_body").select(
+        "run_id", "provider_id", "endpoint", "url", "http_status", "responded_xv", "fetched_at", "etag", F.col("_body").alias("body"))
+
+
+# Statuses of detail fetches by event id modulo 3.
+DETAIL_STATUS = {0: 200, 1: 500, 2: 304}
+
+
+def event_details(events: DataFrame) -> DataFrame:
+    """``product_detail_raw``-shaped fetches: one attempt per signup event, for one of seven products of the user's
+    run. A third answers 200, with one of two payload shapes."""
+    e = events.filter(F.col("event_type") == "signup")
+    u, n = F.col("user_id").cast("string"), F.col("event_id")
+    product = F.concat(F.lit("prod-"), (n % 7).cast("string"))
+    st = F.lit(None).cast("int")
+    for rest, status in DETAIL_STATUS.items():
+        st = F.when(n % 3 == rest, F.lit(status)).otherwise(st)
+    fees = F.when(n % 2 == 0, F.lit(',"fees":[{"amount":"1.00"}]')).otherwise(F.lit(""))
+    payload = F.when(st == 200, F.concat(F.lit('{"data":{"productId":"'), product, F.lit('"'), fees, F.lit("}}")))
+    return e.select(
+        F.concat(F.lit("run-"), F.date_format(F.to_date("ts"), "yyyy-MM-dd")).alias("run_id"),
+        F.concat(F.lit("user-"), u).alias("provider_id"),
+        F.when(F.col("user_id") % 10 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("User "), u)).alias("brand_name"),
+        product.alias("product_id"), F.lit(DETAIL_ENDPOINT).alias("endpoint"),
+        F.concat(F.lit("https://api.user-"), u, F.lit(".example.com/cds/banking/products/"), product, F.lit("?try="), n.cast("string")).alias("url"),
+        st.alias("http_status"), F.lit(3).alias("responded_xv"), F.col("ts").cast("timestamp").alias("fetched_at"),
+        F.lit(None).cast("string").alias("etag"), payload.alias("payload"), F.sha2(payload, 256).alias("payload_hash"),
+        n.alias("fetch_id"))
+
+
 def landed_bodies(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Landed response bodies of the listing pages and the call log of their fetches. Bodies repeat
     over days and pages, every seventh ends in a newline, and those of error events are no JSON."""
-    from ratewatch.functions.jsonpath import json_text
     from ratewatch.functions.text import safe_path_component, sha256_hex
     f = _event_fetches(events.filter(F.col("event_type") != "signup"))
     k = events.select(F.col("event_id").alias("page_num"), json_text(F.try_parse_json("props"), "k").alias("k"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from datetime import date, datetime, timezone
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +30,11 @@ SCALE_SQL_CONF = {
 }
 
 
+def utc_today() -> date:
+    """The date of runs that name none."""
+    return datetime.now(timezone.utc).date()
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
     for k, v in REQUIRED_SQL_CONF.items():
         spark.conf.set(k, v)

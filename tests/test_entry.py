@@ -65,3 +65,23 @@ def test_every_query_has_oracle_or_is_documented():
     from ratewatch.plans.registry import QUERIES
     missing = set(QUERIES) - set(E.oracle_sql())
     assert not missing, missing
+
+
+@pytest.mark.parametrize("pipeline_stays", [True, False])
+def test_the_rest_works_without_the_training_data_folders(tmp_path, pipeline_stays):
+    import shutil
+    import subprocess
+    import sys
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    copy = tmp_path / "copy"
+    shutil.copytree(here, copy, ignore=shutil.ignore_patterns(".git", "llm", "__pycache__", "*.json", "*.md"))
+    assert not (copy / "ratewatch" / "llm").exists()
+    if not pipeline_stays and (copy / "corpus_pipeline.py").exists():
+        (copy / "corpus_pipeline.py").unlink()
+    code = ("import __spark_entry__ as E; q, o = E.queries(), E.oracle_sql(); "
+            "assert 'rate_changes' in q and not [n for n in [*q, *o] if n == 'pipeline' or n.startswith('op')], list(q); print('fine')")
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0 and "fine" in done.stdout, done.stderr
+    collected = subprocess.run([sys.executable, "-m", "pytest", "tests", "--collect-only", "-q", "-p", "no:cacheprovider"], cwd=copy,
+                               capture_output=True, text=True, timeout=300)
+    assert collected.returncode == 0, collected.stdout[-2000:]

@@ -94,3 +94,78 @@ def test_timestamps_need_a_whole_date(spark):
     got = [r.v for r in df.select(to_timestamptz("t").alias("v")).collect()]
     assert [v is not None for v in got] == [False, False, False, True, True, False, False, False]
     assert tuple(df.agg(bad_timestamps("t"), bad_numbers("t")).first()) == (4, 5)
+
+
+def test_a_repeated_append_replaces_its_run(spark, tmp_path):
+    from ratewatch.plans.qa import store_qa
+    from ratewatch.session import utc_today
+    from ratewatch.sources.tables import write_table
+    pages = spark.createDataFrame([], "fetched_at timestamp")
+    for run in ("run-1", "run-1", "run-2"):
+        store_qa(spark, None, run, str(tmp_path), pages=pages)
+    stored = spark.read.parquet(str(tmp_path / "qa_gate_result"))
+    assert stored.count() == 12 and {r.qa_date for r in stored.collect()} == {utc_today()}
+    log = ("r1", "p", "e", "u", 200, 3, None, None, None, None)
+    cols = ("run_id string, provider_id string, endpoint string, url string, http_status int, responded_xv int, fetched_at timestamp, "
+            "etag string, payload_hash string, error string")
+    for rows in ([log], [log], [("r2", *log[1:])]):
+        write_table(spark.createDataFrame(rows, cols), str(tmp_path / "log"), "api_call_log", run="run_id")
+    assert sorted(r.run_id for r in spark.read.parquet(str(tmp_path / "log")).collect()) == ["r1", "r2"]
+
+
+def test_rejects_and_accepted_rows(spark, tmp_path):
+    import datetime as dt
+
+    from ratewatch.sources.tables import read_accepted, read_rejected, write_checked
+    t = dt.datetime(2026, 2, 10)
+    row = ("r", t, t.date(), "banking", "banking", False, None)
+    rows = [row, ("r", dt.datetime(2026, 2, 9), *row[2:]), (None, *row[1:]), (None, *row[1:]), ("q", None, *row[2:]), ("q", *row[1:])]
+    df = spark.createDataFrame(rows, "run_id string, run_started_at timestamp, run_date date, register_industry string, "
+                               "filter_industry string, fetch_product_details boolean, notes string")
+    path = str(tmp_path / "runs")
+    counts = {(r.fate, r.reject_reason): r.n_rows for r in write_checked(df, path, "pipeline_run", [F.col("run_started_at")]).collect()}
+    assert counts == {("accepted", None): 2, ("rejected", "unique"): 1, ("rejected", "not_null:run_id"): 2, ("rejected", "not_null:run_started_at"): 1}
+    assert {(r.run_id, r.run_started_at.day) for r in read_accepted(spark, path, "pipeline_run").collect()} == {("r", 9), ("q", 10)}
+    assert read_rejected(spark, path).count() == 4
+
+
+def test_foreign_keys_in_one_pass(spark):
+    runs = spark.createDataFrame([("a",), ("b",)], "run_id string")
+    kids = {"x": spark.createDataFrame([("a",), ("c",), ("c",), (None,), ("d",)], "run_id string"), "y": runs.union(runs), "z": runs.limit(0)}
+    got = Q.run_fk_checks(kids, runs)
+    assert {tuple(r) for r in got.collect()} == {("x", 5, 3, 2), ("y", 4, 0, 0), ("z", 0, 0, 0)}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = Q.run_fk_checks(kids, runs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Join") == 1 and "LeftAnti" not in plan
+    assert plan.split("Union")[0].count("Exchange hashpartitioning(_key") <= 2
+
+
+def test_details_to_ask_for_again(spark):
+    import datetime as dt
+
+    from ratewatch.operators.collect import detail_retry
+    t = [dt.datetime(2026, 2, 10, h) for h in range(4)]
+    asked = spark.createDataFrame([("r", "p", x) for x in "abc"], "run_id string, provider_id string, product_id string")
+    done = spark.createDataFrame([("r", "p", "a", 500, t[0]), ("r", "p", "a", 200, t[1]), ("r", "p", "b", 304, t[1]), ("r", "p", "b", 500, t[2])],
+                                 "run_id string, provider_id string, product_id string, http_status int, fetched_at timestamp")
+    assert {tuple(r) for r in detail_retry(asked, done).collect()} == {("r", "p", "b", 2, 500), ("r", "p", "c", 0, None)}
+
+
+def test_stored_models_by_name(spark, tmp_path):
+    import datetime as dt
+
+    from ratewatch.plans.qa import run_qa_by_name
+    from ratewatch.sources.tables import register_stored, resolved
+    day = dt.date(2026, 2, 10)
+    spark.createDataFrame([("p", day)], "provider_id string, as_of_date date").write.partitionBy("as_of_date").parquet(str(tmp_path / "dim"))
+    try:
+        register_stored(spark, str(tmp_path), {"public_silver.dim_products": "dim"})
+        assert resolved(spark, "dim_products").first().as_of_date == day and resolved(spark, "mart_rate_changes") is None
+        got = {r.gate_name: r for r in run_qa_by_name(spark, day).collect()}
+        assert got["dim_products_rows"].passed
+        assert got["rate_changes_rows"].details == "missing relation: expected gold.mart_rate_changes or public_gold.mart_rate_changes"
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS public_silver CASCADE")
