@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import checkpointed
+from .runtime import checkpointed, cut, packed
 
 #: Bytes added to each text for its size.
 ROW_OVERHEAD = 16
@@ -139,12 +139,21 @@ def shard_ranges(sharded: DataFrame, dims: list[str]) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, sharded: DataFrame, path: str) -> None:
-    """Whole documents as files by shard, in curve order: ``path/shard=N``. Rows that share a doc_id
-    are told apart by size and checksum."""
+    """Whole documents as files by shard, in curve order: ``path/shard=N``. Rows that share doc_id, size and checksum
+    are numbered on both sides, so each gets a slot of its own. A column of the documents named ``shard``
+    gives way to the shard."""
+    from pyspark.sql import Window
     text = F.coalesce(F.col("text"), F.lit(""))
-    keys = sharded.select(F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), "shard", "slot") \
-        .dropDuplicates(["_id", "_crc"])
-    (docs.withColumn("_c", F.crc32(F.encode(text, "UTF-8")))
-     .join(keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_c") == F.col("_crc")))
-     .drop("_id", "_crc", "_c").repartitionByRange("shard", "slot")
-     .sortWithinPartitions("shard", "slot").drop("slot").write.partitionBy("shard").parquet(path))
+    own = [F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_id"), F.col("doc_id").isNull().alias("_none")]
+    keys = sharded.select(*own, F.col("size").alias("_size"), F.col("text_crc32").alias("_crc"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
+    same = ["_id", "_none", "_size", "_crc"]
+    keys = keys.withColumn("_nth", F.row_number().over(Window.partitionBy(*same).orderBy("_shard", "_slot")))
+    rows = packed(docs, _id=own[0], _none=own[1], _size=(F.octet_length(text) + F.lit(ROW_OVERHEAD)).cast("long"),
+                  _crc=F.crc32(F.encode(text, "UTF-8")), _at=F.monotonically_increasing_id())
+    # whole texts aren't sorted for the numbers: only their keys are
+    rows = cut(rows, "rows")
+    nth = F.row_number().over(Window.partitionBy(*same).orderBy("_at"))
+    place = rows.select(*same, "_at").withColumn("_nth", nth).join(keys, [*same, "_nth"]).select("_at", "_shard", "_slot")
+    kept = [c for c in docs.columns if c != "shard"]
+    placed = rows.join(place, "_at").repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot")
+    placed.select(*[F.col("row")[c].alias(c) for c in kept], F.col("_shard").alias("shard")).write.partitionBy("shard").parquet(path)

@@ -5,9 +5,10 @@ space), most frequent first. A document gets the same list from its whole text;
 language sums, over its n-grams, how far their places differ, or the profile length where an n-gram
 is missing. The nearest language wins; ``score`` is 1 minus the distance over its greatest value.
 
-Profiles are fitted on a bounded sample, ``fit_rows`` labelled documents a language at most, chosen
-by a hash of doc_id, of ``languages`` labels at most (those with most rows). So what is broadcast is
-at most ``languages * places`` numbers. Prediction is one narrow pass without a shuffle.
+Profiles are fitted on a bounded sample, some ``fit_rows`` different labelled documents a language at most, chosen
+by a hash of doc_id and text; a document's copies count with it, but its text is counted once. More than
+``languages`` labels are an error. So what is broadcast is at most ``languages * places`` numbers. A label whose
+documents have no letter has no profile and is never predicted. Prediction is one narrow pass without a shuffle.
 
 A null text or one without a letter is ``und`` with score 0, and so is every text when nothing could
 be learned. Equal counts rank by n-gram length, then code points; equal distances go to the first
@@ -108,29 +109,39 @@ def fit_profiles(labelled: DataFrame, fit_rows: int = FIT_ROWS, languages: int =
     language (``places`` where missing)."""
     spark = labelled.sparkSession
     labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
-        "doc_id", "text", F.col("lang").alias("label"))
-    sizes = labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(languages).collect()
-    names = sorted(r["label"] for r in sizes)
-    if not names:
+        "text", F.col("lang").alias("label"), F.xxhash64("doc_id", "text").alias("h"))
+    sizes = labelled.select("label", "h").distinct().groupBy("label").count().limit(languages + 1).collect()
+    if len(sizes) > languages:
+        raise ValueError(f"more than {languages} languages")
+    if not sizes:
         return [], np.zeros(0, np.int64), np.zeros((0, 0), np.int64)
     share = spark.createDataFrame([(r["label"], int(min(1.0, fit_rows / r["count"]) * (1 << 30))) for r in sizes],
                                   "label string, share long")
     sample = (labelled.join(F.broadcast(share), "label")            # at most ``languages`` rows
-              .where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("share")).select("label", "text"))
+              .where(F.pmod(F.xxhash64("h"), F.lit(1 << 30)) < F.col("share"))
+              .groupBy("label", "h").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")))
 
     def count(batches):
         for batch in batches:
             labels, group = np.unique(np.asarray(batch.column("label").to_pylist(), object), return_inverse=True)
+            copies = batch.column("copies").to_numpy()
             buf, off = buffers(batch.column("text"))
             for i, j in row_groups(off, CHUNK):
-                g, key, n = ngram_counts(buf[off[i]:off[j]], off[i:j + 1] - off[i], group[i:j])
-                yield pa.RecordBatch.from_arrays([pa.array(labels[g], pa.string()), pa.array(key), pa.array(n)],
+                row, key, n = ngram_counts(buf[off[i]:off[j]], off[i:j + 1] - off[i])
+                if not len(row):
+                    continue
+                g, n = group[i:j][row], n * copies[i:j][row]
+                order = np.lexsort((key, g))
+                g, key, n = g[order], key[order], n[order]
+                at = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (key[1:] != key[:-1])]))
+                yield pa.RecordBatch.from_arrays([pa.array(labels[g[at]], pa.string()), pa.array(key[at]), pa.array(np.add.reduceat(n, at))],
                                                  ["label", "key", "n"])
 
     from pyspark.sql import Window
     counts = sample.mapInArrow(count, "label string, key long, n long").groupBy("label", "key").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("n"), "key"))
     rows = counts.withColumn("place", place - 1).where(F.col("place") < places).select("label", "key", "place").collect()
+    names = sorted({r["label"] for r in rows})
     keys = np.array(sorted({r["key"] for r in rows}), np.int64)
     table = np.full((len(keys), len(names)), places, np.int64)
     for r in rows:

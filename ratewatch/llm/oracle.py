@@ -71,17 +71,17 @@ OP9 = """
 WITH dw AS (
   SELECT doc_id, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 iw AS (
-  SELECT item_id, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS w FROM benchmark),
+  SELECT row_number() OVER () AS i, item_id, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
 ds AS (
   SELECT DISTINCT doc_id, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(len(w) - 4, 1) + 1)]) AS sh
   FROM dw WHERE len(w) > 0),
 its AS (
-  SELECT DISTINCT item_id, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(len(w) - 4, 1) + 1)]) AS sh
+  SELECT DISTINCT i, item_id, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(len(w) - 4, 1) + 1)]) AS sh
   FROM iw WHERE len(w) > 0),
-size AS (SELECT item_id, count(*) AS n_item FROM its GROUP BY item_id)
+size AS (SELECT i, count(*) AS n_item FROM its GROUP BY i)
 SELECT doc_id, item_id, n_item, count(*) AS n_shared, count(*) / n_item AS containment
-FROM ds JOIN its USING (sh) JOIN size USING (item_id)
-GROUP BY doc_id, item_id, n_item HAVING count(*) >= 0.75 * n_item
+FROM ds JOIN its USING (sh) JOIN size USING (i)
+GROUP BY doc_id, i, item_id, n_item HAVING count(*) >= 0.75 * n_item
 """
 
 OP11 = """

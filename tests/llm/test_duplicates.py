@@ -238,6 +238,26 @@ def test_contaminated_pairs_like_brute_force(spark, prose_docs, odd, monkeypatch
     assert kept == {r.doc_id for r in docs.collect()} - {d for d, *_ in expected}
 
 
+def test_items_without_an_id_and_items_that_share_one(spark):
+    import random
+
+    from ratewatch.llm import decontam
+    from .conftest import prose
+    rng = random.Random(4)
+    texts = [prose(rng, n) for n in (12, 30, 70, 200)]
+    rows = [(None, texts[0]), (5, texts[1]), (5, texts[2]), (6, texts[3]), (6, texts[3]), (None, texts[3])]
+    items = spark.createDataFrame([(*r, 1) for r in rows], "item_id long, text string, _i int")
+    docs = spark.createDataFrame([(i, prose(rng, 20) + " " + t + " " + prose(rng, 20)) for i, t in enumerate(texts)] + [(9, prose(rng, 90))],
+                                 "doc_id long, text string")
+    got = Counter((r.doc_id, r.item_id) for r in contaminated_pairs(docs, items).collect())
+    assert got == Counter([(0, None), (1, 5), (2, 5), (3, 6), (3, None)])
+    assert [r.doc_id for r in decontaminate(docs, items).collect()] == [9]
+    sizes = {r.n_item: r.part for r in decontam.item_shingles(items).select("n_item", "part").distinct().collect()}
+    assert sizes == {8: 3, 26: 4, 66: 6, 196: 7}
+    bounds = [(decontam.coordinates(p), decontam.least_hits(p)) for p in range(decontam.PARTS)]
+    assert bounds == sorted(bounds) and bounds[5] == (32, 11) and bounds[-1][0] == 64
+
+
 def test_decontamination_of_nothing(spark, odd, empty):
     items = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
     assert contaminated_pairs(empty, items).count() == 0 and contaminated_pairs(odd, items.limit(0)).count() == 0
@@ -271,4 +291,4 @@ def test_pipeline_stages(spark, odd, empty, tmp_path):
 def test_registered_queries():
     import __spark_entry__ as E
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()

@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ratewatch.llm.hilbert import hilbert_index, shard_documents, shard_ranges, write_shards
 from ratewatch.llm.urlrules import judge_urls
@@ -37,6 +38,37 @@ def test_written_shards_hold_every_row_and_ranges_prune(odd, tmp_path, spark):
     assert sum(r["rows"] for r in ranges) == odd.count() and all(r.min_size <= r.max_size for r in ranges)
 
 
+def test_written_shards_are_the_planned_ones(spark, tmp_path):
+    rows = [(i % 3, f"text {i % 3}", "en", "s", "own") for i in range(30)] + [(None, None, None, None, "own"), (None, "x", "de", "s", "own")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, _c string").withColumns(
+        {"shard": F.lit("mine"), "slot": F.lit("mine"), "row": F.lit(1), "_at": F.lit(2)}).repartition(3)
+    sharded = shard_documents(docs, shards=4)
+    write_shards(docs, sharded, str(tmp_path / "out"))
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert set(got.columns) == set(docs.columns)
+    planned = Counter((r.shard, r.doc_id) for r in sharded.collect())
+    assert Counter((int(r.shard), r.doc_id) for r in got.collect()) == planned
+    assert sorted(Counter(s for s, _ in planned.elements()).values()) == [8, 8, 8, 8]
+    assert {(r.slot, r._c) for r in got.collect()} == {("mine", "own")}
+
+
+def test_rows_lie_in_curve_order(odd, prose_docs):
+    """The order that is cut is the order of the curve index, then of checksum and doc_id, row by row."""
+    docs = odd.select("doc_id", "text", "lang", "source").unionByName(prose_docs.select("doc_id", "text", "lang", "source"))
+    rows = sorted(shard_documents(docs, shards=7).collect(), key=lambda r: (r.shard, r.slot))
+    keys = [(r.curve, r.text_crc32, r.doc_id is not None, r.doc_id or 0) for r in rows]
+    assert keys == sorted(keys)
+    n, start = len(rows), [0]
+    for r in rows:
+        assert r.shard == (start[0] * 7) // n
+        start[0] += 1
+    # equal language, source and size share a cell; the cells of the sizes follow the sizes
+    by = {}
+    for r in rows:
+        by.setdefault((r.lang, r.source, r["size"]), set()).add(r.curve)
+    assert all(len(c) == 1 for c in by.values())
+
+
 def brute_judge(url, rules, default="allow"):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     cut = min([rest.index(c) for c in "/?#" if c in rest] or [len(rest)])

@@ -241,3 +241,15 @@ def test_prediction_like_brute_force(spark, odd, empty):
         assert r.lang_pred == best and abs(r.score - (1 - far[best] / (len(mine) * langid.PLACES))) < 1e-9
     assert langid.predict_languages(empty).count() == 0
     assert {r.lang_pred for r in rows(langid.predict_languages(odd.withColumn("lang", odd.lang.substr(9, 1)).where("lang is null or lang <> ''")))} >= {"und"}
+
+
+def test_a_language_under_one_doc_id_is_learned(spark):
+    german = "der die das und nicht sein haben werden mit auf für ist den von zu ein eine über schön größer".split()
+    rows = [(7, " ".join(german[i % 11:] + german[:i % 5] + [f"wort{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}"]), "de") for i in range(3000)]
+    rows += [(i, "the of and to in is that for it with as was on are be this", "en") for i in range(20)]
+    rows += [(7, "one text many times", "xx")] * 500 + [(1, "... 12", "yy")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, keys, table = langid.fit_profiles(docs, fit_rows=100)
+    assert names == ["de", "en", "xx"] and all((table[:, i] < langid.PLACES).any() for i in range(3))
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit_profiles(docs, languages=3)
