@@ -1,6 +1,6 @@
 """Operators 2, 6, 8, 9 and the pipeline against brute force."""
 import hashlib
-from collections import Counter, defaultdict
+from collections import Counter, defaultdict, namedtuple
 
 import pytest
 
@@ -288,6 +288,52 @@ def test_pipeline_stages(spark, odd, empty, tmp_path):
         assert stage(spark, empty, str(tmp_path)).count() == 0
 
 
+def brute_pipeline(docs, items):
+    """All five stages, one document after the other; doc_ids are unique and no line is blank."""
+    import sentencepiece
+
+    from ratewatch.llm import pieces
+    from ratewatch.llm.queries import VOCABULARY
+    from .test_texts import brute_segment
+    Doc = namedtuple("Doc", "doc_id text")
+    kept = [Doc(r.doc_id, r.text) for r in docs if any(c.isalpha() for c in r.text or "")]
+    after = []
+    for (_, i, _), (gone, own) in brute_lines(kept, 100).items():
+        if len(gone) < len(own):
+            after.append(Doc(i, "\n".join(x for k, (_, x) in enumerate(own) if k not in gone)))
+    alone = {i for i, n, own, first in brute_components(after) if n == 0 or first}
+    after = [d for d in after if d.doc_id in alone]
+    bad = {d for d, *_ in brute_pairs(after, items)}
+    model = sentencepiece.SentencePieceProcessor(model_file=VOCABULARY)
+    names = [model.id_to_piece(i) for i in range(model.vocab_size())]
+    vocabulary = pieces.load_vocabulary(VOCABULARY)
+    return {d.doc_id: (d.text, len(d.text), brute_segment(" " + d.text, vocabulary, names)) for d in after if d.doc_id not in bad}
+
+
+def test_pipeline_like_brute_force(spark, tmp_path):
+    import random
+
+    import corpus_pipeline as P
+    from .conftest import prose
+    rng = random.Random(21)
+    base = [prose(rng, rng.randint(8, 70)) for _ in range(30)]
+    passage, items = prose(rng, 40), [prose(rng, n) for n in (9, 25, 60)]
+    texts = base + base[:4]                                                          # copies: line dedup takes them
+    texts += [" ".join(w if k != 5 else "other" for k, w in enumerate(t.split())) for t in base[4:14]]
+    texts += [prose(rng, 12) + "\n" + passage + "\n" + prose(rng, 9 + i) for i in range(6)]
+    texts += [prose(rng, 8) + "\n" + x + "\n" + prose(rng, 30) for x in items] + [items[2] + " " + prose(rng, 3)]
+    texts += ["... 12 !", "9 9 9", None, "", passage, "two words", "two words"]
+    rng.shuffle(texts)
+    rows = [(i, t, "en" if i % 2 else "xx", f"s{i % 3}", len(t or "")) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    bench = spark.createDataFrame([(None, items[0]), (4, items[1]), (4, items[2]), (5, None), (6, "")], "item_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = {r.doc_id: (r.text, r.n_chars, list(r.token_ids)) for r in P.run(spark, str(tmp_path)).collect()}
+    expected = brute_pipeline(docs.collect(), bench.collect())
+    assert got == expected and 25 < len(got) < len(texts) - 15
+
+
 def test_registered_queries():
     import __spark_entry__ as E
     names = [n for n in E.queries() if n.startswith("op")]
