@@ -689,6 +689,9 @@ landed AS (
          b.h AS payload_hash, b.parsed
   FROM bodies b JOIN last_call c USING (user_id, d, h))"""
 ORACLE["landed_pages"] = "WITH " + LANDED + " SELECT * FROM landed"
+ORACLE["landed_files"] = "WITH " + LANDED + """
+SELECT CAST(d AS VARCHAR) AS ingestion_date, 'user-' || CAST(user_id AS VARCHAR) AS provider, 'banking_get-products' AS endpoint,
+       event_id AS page_num, h AS content_sha256 FROM bodies"""
 ORACLE["parse_error_calls"] = "WITH " + LANDED + """
 SELECT run_id, provider_id, endpoint, url, http_status, 3 AS responded_xv, fetched_at, payload_hash, 'JSON parse error' AS error
 FROM landed WHERE NOT parsed"""

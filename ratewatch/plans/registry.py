@@ -514,6 +514,16 @@ def q_landed_pages(spark, sf_dir):
                         F.col("payload").isNotNull().alias("parsed"))
 
 
+@register("landed_files")
+def q_landed_files(spark, sf_dir):
+    """SNK1: bodies landed as ``page=NNNN.json`` files and read back by their index."""
+    from ratewatch.sources.landing_files import land_files, read_files
+    bodies, _ = testbed.landed_bodies(_events(spark, sf_dir))
+    root = _scratch(spark, "landing")
+    land_files(bodies.withColumnRenamed("provider", "provider_id"), root)
+    return read_files(spark, root).select("ingestion_date", "provider", "endpoint", "page_num", F.sha2("content", 256).alias("content_sha256"))
+
+
 @register("parse_error_calls")
 def q_parse_error_calls(spark, sf_dir):
     """JSN4: error rows for OK calls whose body is no JSON."""

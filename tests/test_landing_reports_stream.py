@@ -105,3 +105,22 @@ def test_a_replayed_batch_gives_the_same_rows(spark):
     again = tempfile.mkdtemp(prefix="stream-ck-")
     start_landing_stream(spark, root, out, again).awaitTermination(120)     # batch 0 once more
     assert state() == first
+
+
+def test_files_under_their_exact_names(spark):
+    from ratewatch.sources.landing_files import land_files, read_files
+    root = tempfile.mkdtemp(prefix="landing-")
+    src = _pages(spark).unionByName(spark.createDataFrame([(dt.date(2026, 2, 11), "prov 1", "banking:get-products", 12345, "ñ\r\n\n"),
+                                                           (dt.date(2026, 2, 11), "p/2", "banking:get-products", 1, None)], _pages(spark).schema))
+    index = land_files(src, root).collect()
+    one = os.path.join(root, "ingestion_date=2026-02-11", "provider=prov_1", "endpoint=banking_get-products", "page=12345.json")
+    assert open(one, "rb").read() == "ñ\r\n\n".encode() and len(index) == 5
+    names = [f for _, _, files in os.walk(root) for f in files if ".json" in f and f.endswith(".json") and not f.startswith(".page")]
+    assert sorted(names) == ["page=0001.json", "page=0001.json", "page=0002.json", "page=0003.json", "page=12345.json"]
+    want = sorted((r.page_num, r.content or "") for r in src.collect())
+    assert sorted((r.page_num, r.content) for r in read_files(spark, root).collect()) == want
+    # without the index too; Spark's file reader leaves empty files out
+    assert sorted((r.page_num, r.content) for r in read_landing(spark, root).collect()) == [w for w in want if w[1]]
+    # a date that is landed again replaces its part of the index
+    land_files(src.filter("page_num = 12345"), root)
+    assert read_files(spark, root).count() == 4 and read_files(spark, root, "ingestion_date = '2026-02-11'").count() == 1
