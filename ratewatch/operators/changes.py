@@ -32,6 +32,8 @@ from ratewatch.session import checkpoint_dir
 
 #: (entity, date) pairs that go out by broadcast when there are no more of them; beyond, the join shuffles.
 BROADCAST_PAIRS = 1 << 20
+#: Snapshot dates that a filter names; more are left to the join.
+MOST_DATES = 1000
 
 
 def snapshot_pairs(df: DataFrame, entity: str, date: str, as_of: _date | None = None, current: DataFrame | None = None) -> DataFrame:
@@ -102,6 +104,10 @@ def snapshot_changes(
     pairs = snapshot_pairs(facts if snapshots is None else snapshots, entity, date, as_of, current)
     if as_of is not None or current is not None:
         pairs = _small(pairs)
+        # only the dates of these pairs are read: stored facts are pruned by partition, pages before they are parsed
+        dates = [r[0] for r in pairs.select(date).distinct().limit(MOST_DATES + 1).collect()]
+        if len(dates) <= MOST_DATES:
+            facts = facts.filter(F.col(date).isin(dates))
     facts = facts.join(pairs, [entity, date]).select("*", *[e.alias(n) for e, n in zip(norm_exprs, norm)])
 
     # one exchange, by entity and keys; equal rows of a task are one row in it
