@@ -798,3 +798,29 @@ dd AS (SELECT *, lag(h) OVER (PARTITION BY provider_id, endpoint ORDER BY observ
 SELECT * FROM drift
 UNION ALL
 SELECT provider_id, endpoint, old, h, observed_at, run_id, 'Schema/path fingerprint changed' FROM dd WHERE old IS NOT NULL AND old <> h"""
+
+# ---- stored builds, appends and reports: what is stored equals what one pass over everything gives -----------
+
+ORACLE["drift_events_stored"] = ORACLE["endpoint_drift"]
+ORACLE["drift_state"] = ORACLE["endpoint_drift"].split("SELECT * FROM drift\n")[0] + """,
+seen AS (SELECT provider_id, endpoint, fingerprint_hash, observed_at, page_num FROM fp
+         UNION ALL SELECT provider_id, endpoint, h, observed_at, fetch_id FROM dp)
+SELECT provider_id, endpoint, fingerprint_hash, observed_at FROM seen
+QUALIFY row_number() OVER (PARTITION BY provider_id, endpoint ORDER BY observed_at DESC, page_num DESC) = 1"""
+ORACLE["rate_changes_late"] = ORACLE["rate_changes"]
+ORACLE["call_log_stored"] = ORACLE["call_log"]
+ORACLE["qa_stored"] = "WITH g AS (" + ORACLE["qa_gates"] + """)
+SELECT 'qa-1' AS qa_run_id, DATE '2024-01-15' AS qa_date, g.*, true AS dbt_test_ran,
+       (SELECT bool_and(passed) FROM g WHERE gate_name = 'dbt_tests') AS dbt_test_passed, 'declared tests' AS dbt_test_command FROM g"""
+ORACLE["qa_summary_stored"] = "WITH g AS (" + ORACLE["qa_gates"] + """),
+word AS (SELECT CASE WHEN bool_and(passed) THEN 'PASS' ELSE 'FAIL' END AS run,
+                CASE WHEN bool_and(passed) FILTER (gate_name = 'dbt_tests') THEN 'PASS' ELSE 'FAIL' END AS tests FROM g)
+SELECT unnest(['# QA summary - 2024-01-15', '', '- Status: **' || run || '**', '- QA run id: `qa-1`',
+               '- dbt tests: **' || tests || '** (`declared tests`)', '', '| Gate | Passed | Actual | Threshold | Details |',
+               '|---|---|---:|---:|---|']) AS line FROM word
+UNION ALL
+SELECT '| ' || gate_name || ' | ' || CASE WHEN passed THEN 'yes' ELSE 'no' END || ' | ' || coalesce(CAST(actual_value AS VARCHAR), '') || ' | '
+       || coalesce(CAST(threshold_value AS VARCHAR), '') || ' | ' || details || ' |' FROM g"""
+ORACLE["rate_change_csv"] = ORACLE["rate_change_report"]
+ORACLE["provider_limit"] = ORACLE["discover_providers"] + """
+ORDER BY brand_name, data_holder_brand_id LIMIT 25"""

@@ -208,13 +208,12 @@ def q_drift_report(spark, sf_dir):
     return drift_report(drift_events(_fingerprints(spark, sf_dir)), QA_DATE)
 
 
-def _qa_gates(spark, sf_dir):
+def _qa_inputs(spark, sf_dir) -> dict:
     from ratewatch.operators import quality as Q
     from ratewatch.operators.changes import rate_changes
     from ratewatch.operators.drift import drift_events
     from ratewatch.operators.drift import fingerprints
     from ratewatch.operators.coverage import provider_coverage
-    from ratewatch.plans.qa import run_qa
     # the six gates read the same inputs: keep the fetch rows once instead of recomputing them
     ev = _events(spark, sf_dir).persist()
     runs = testbed.event_runs(ev)
@@ -222,14 +221,18 @@ def _qa_gates(spark, sf_dir):
     cov = provider_coverage(runs, testbed.event_brands(ev, runs), testbed.event_call_log(ev), pages,
                             testbed.event_dim(ev))
     dim = testbed.event_dim(ev)
-    return run_qa(
-        spark, QA_DATE, coverage=cov, dim_products=dim,
-        rate_changes=lambda: rate_changes(testbed.event_rate_fact(ev), as_of=QA_DATE),
-        pages=pages,
-        drift_events=lambda: drift_events(fingerprints(pages), bucket=F.date_trunc("minute", "observed_at")),
-        tests=[Q.unique_combo(dim, ["provider_id", "product_id", "as_of_date"]),
-               Q.not_null(dim, ["provider_id", "product_id", "as_of_date"]).filter(F.col("null_rows") > 0),
-               Q.unique_combo(cov, ["as_of_date", "provider_id"])])
+    return {
+        "coverage": cov, "dim_products": dim, "pages": pages,
+        "rate_changes": lambda: rate_changes(testbed.event_rate_fact(ev), as_of=QA_DATE),
+        "drift_events": lambda: drift_events(fingerprints(pages), bucket=F.date_trunc("minute", "observed_at")),
+        "tests": [Q.unique_combo(dim, ["provider_id", "product_id", "as_of_date"]),
+                  Q.not_null(dim, ["provider_id", "product_id", "as_of_date"]).filter(F.col("null_rows") > 0),
+                  Q.unique_combo(cov, ["as_of_date", "provider_id"])]}
+
+
+def _qa_gates(spark, sf_dir):
+    from ratewatch.plans.qa import run_qa
+    return run_qa(spark, QA_DATE, **_qa_inputs(spark, sf_dir))
 
 
 @register("qa_gates")
@@ -684,11 +687,110 @@ def q_run_totals_details(spark, sf_dir):
     return run_totals(testbed.event_pages(ev), testbed.event_details(ev))
 
 
+def _both_endpoints(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    cols = ["run_id", "provider_id", "endpoint", "page_num", "http_status", "fetched_at", "payload"]
+    return testbed.event_pages(ev).select(*cols).unionByName(testbed.event_details(ev).withColumnRenamed("fetch_id", "page_num").select(*cols))
+
+
 @register("endpoint_drift")
 def q_endpoint_drift(spark, sf_dir):
     """DRF4: drift events of both endpoints, listing pages and product details."""
     from ratewatch.operators.drift import drift_events, fingerprints
-    ev = _events(spark, sf_dir)
-    cols = ["run_id", "provider_id", "endpoint", "page_num", "http_status", "fetched_at", "payload"]
-    both = testbed.event_pages(ev).select(*cols).unionByName(testbed.event_details(ev).withColumnRenamed("fetch_id", "page_num").select(*cols))
-    return drift_events(fingerprints(both))
+    return drift_events(fingerprints(_both_endpoints(spark, sf_dir)))
+
+
+# ---- stored builds, appends and reports -------------------------------------------------------------
+
+def _drift_tables(spark, sf_dir) -> str:
+    """The drift tables of all days: first all but the QA date and the last day, then the last day (which goes by the
+    stored state), then the QA date, which is late."""
+    from ratewatch.plans.jobs import build_drift
+    root = _scratch(spark, "drift")
+    pages = _both_endpoints(spark, sf_dir).persist()
+    last = pages.agg(F.max(F.to_date("fetched_at"))).first()[0]
+    late = [d for d in (last, QA_DATE) if d is not None]
+    build_drift(pages.filter(~F.to_date("fetched_at").isin(late)), root)
+    for day in late:
+        build_drift(pages, root, as_of=day)
+    return root
+
+
+@register("drift_events_stored")
+def q_drift_events_stored(spark, sf_dir):
+    """SRC8, SNK7, DRF3-4: drift events of both endpoints as stored by three builds, the last one of a late day."""
+    return spark.read.parquet(f"{_drift_tables(spark, sf_dir)}/schema_drift_event").drop("as_of_date")
+
+
+@register("drift_state")
+def q_drift_state(spark, sf_dir):
+    """SRC8: the latest fingerprint of every provider and endpoint, advanced by the same three builds."""
+    return spark.read.parquet(f"{_drift_tables(spark, sf_dir)}/fingerprint_state").select(
+        "provider_id", "endpoint", "fingerprint_hash", "observed_at")
+
+
+@register("rate_changes_late")
+def q_rate_changes_late(spark, sf_dir):
+    """SNK10, MOD8: the change mart stored by builds of any order. Two snapshots come late and one that was half
+    collected is built again; each also changes what its providers' next snapshots are compared with."""
+    from ratewatch.operators.changes import RATE_CHANGE_COLUMNS
+    from ratewatch.plans.jobs import build_and_write
+    pages, root = testbed.landed_pricing_pages(spark, sf_dir), _scratch(spark, "models")
+    year = F.year("fetched_at")
+    build_and_write(pages.filter(~year.isin(1995, 1997) & ((year != 1994) | (F.col("page_num") % 2 == 0))), root)
+    for y in (1997, 1994, 1995):
+        build_and_write(pages, root, as_of=date(y, 1, 1))
+    mart = spark.read.parquet(f"{root}/mart_rate_changes").withColumn("current_as_of_date", F.col("as_of_date").cast("date"))
+    return mart.select(*RATE_CHANGE_COLUMNS)
+
+
+@register("call_log_stored")
+def q_call_log_stored(spark, sf_dir):
+    """SNK6: call logs appended run by run. The run of the QA date is first stored with half its calls; its retry
+    replaces it and the earlier runs stay."""
+    from ratewatch.sources.tables import read_table, write_table
+    calls, path = testbed.event_call_log(_events(spark, sf_dir)), f"{_scratch(spark, 'calls')}/api_call_log"
+    day = F.to_date("fetched_at")
+    write_table(calls.filter((day < QA_DATE) | ((day == QA_DATE) & (F.col("http_status") == 200))), path, "api_call_log", run="run_id")
+    write_table(calls.filter(day >= QA_DATE), path, "api_call_log", run="run_id")
+    return read_table(spark, path, "api_call_log")
+
+
+def _stored_qa(spark, sf_dir) -> str:
+    """A QA run that is stored twice: first before the models are there, then with all of them."""
+    from ratewatch.plans.qa import store_qa
+    root, given = _scratch(spark, "qa"), _qa_inputs(spark, sf_dir)
+    store_qa(spark, QA_DATE, "qa-1", root, pages=given["pages"])
+    store_qa(spark, QA_DATE, "qa-1", root, tests_command="declared tests", **given)
+    return root
+
+
+@register("qa_stored")
+def q_qa_stored(spark, sf_dir):
+    """SNK8: the stored gate results of a QA run that was repeated: six rows, of the second time."""
+    from ratewatch.sources.tables import read_table
+    return read_table(spark, f"{_stored_qa(spark, sf_dir)}/qa_gate_result", "qa_gate_result").drop("evaluated_at")
+
+
+@register("qa_summary_stored")
+def q_qa_summary_stored(spark, sf_dir):
+    """SNK13: lines of the QA summary file."""
+    return spark.read.text(f"{_stored_qa(spark, sf_dir)}/qa_summary_{QA_DATE.isoformat()}").select(F.col("value").alias("line"))
+
+
+@register("rate_change_csv")
+def q_rate_change_csv(spark, sf_dir):
+    """SNK11: the rate-change report written as CSV and read back."""
+    from ratewatch.plans.reports import write_csv
+    report = rate_change_report(_models(spark, sf_dir).fct_product_rates, REPORT_DATE).persist()
+    path = f"{_scratch(spark, 'reports')}/rate_changes"
+    if not write_csv(report, path, one_file=True):
+        return report
+    return spark.read.schema(report.schema).option("header", True).option("escape", '"').csv(path)
+
+
+@register("provider_limit")
+def q_provider_limit(spark, sf_dir):
+    """SRT5: the first 25 providers of the register, by name."""
+    from ratewatch.operators.collect import brand_rows, limit_providers
+    return limit_providers(brand_rows(_discovered(spark, sf_dir)), 25, ("brand_name", "data_holder_brand_id")).select(*BRAND_COLUMNS)
