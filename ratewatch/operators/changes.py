@@ -108,6 +108,10 @@ def snapshot_changes(
         dates = [r[0] for r in pairs.select(date).distinct().limit(MOST_DATES + 1).collect()]
         if len(dates) <= MOST_DATES:
             facts = facts.filter(F.col(date).isin(dates))
+        if dates:
+            # bounds reach the files also where the date is worked out from an instant, which a list of dates does not
+            ends = pairs.agg(F.min(date), F.max(date)).first()
+            facts = facts.filter(F.col(date).between(*ends))
     facts = facts.join(pairs, [entity, date]).select("*", *[e.alias(n) for e, n in zip(norm_exprs, norm)])
 
     # one exchange, by entity and keys; equal rows of a task are one row in it
