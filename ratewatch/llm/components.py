@@ -15,7 +15,8 @@ def _linked_to_least(edges: DataFrame, larger_only: bool) -> DataFrame:
         near = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         near = edges                               # a > b: b is the smaller neighbour
-    least = near.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    # written first: then its size is known, and the edges of a hub are joined where they lie, or split
+    least = cut(near.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
     joined = near.join(least, "a")
     if larger_only:
         joined = joined.where("b > a")
