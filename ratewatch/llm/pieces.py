@@ -7,9 +7,9 @@ the kept last pieces backwards gives the best segmentation. The automaton is a f
 task moves all its units through it side by side, one character a step.
 
 Spaces are written as U+2581 and one is put in front, as in the public format; a literal U+2581 is
-spelt in bytes, so decoding gives back every text exactly. The vocabulary file carries merge ranks,
-not probabilities, so a piece's score is its log-probability under the Zipf-Mandelbrot law of its
-rank (fixed values below). Pieces that the file marks as unused stay out. Equal scores keep the longest last
+spelt in bytes, so decoding gives back every text exactly. A file of log-probabilities is used with its own
+scores. A file that carries merge ranks (whole numbers) has none, so a piece's score is its log-probability under
+the Zipf-Mandelbrot law of its rank (fixed values below). Pieces that the file marks as unused stay out. Equal scores keep the longest last
 piece.
 
 No piece goes on past a space into the next word or spans a line end (checked when the vocabulary
@@ -17,9 +17,16 @@ is loaded, which else takes whole texts as units), so the best segmentation of a
 units, each a word with the spaces before it; a task segments each distinct unit once and keeps it, up to a
 bound. One narrow pass, no shuffle; the vocabulary is broadcast, at most ``PIECES`` pieces.
 
+A unit longer than ``LONG`` characters (a line of Han, base64, a text of a vocabulary whose pieces span spaces)
+is cut into chunks that also go side by side. No piece is longer than ``reach`` characters, so what lies before
+a chunk acts on it only by the best scores of the ``reach`` places up to its start. Each chunk is first scored
+from each of these places alone; taking the best of sums over them, chunk after chunk, gives the
+true scores at every chunk's start, and from these all chunks relax again, now for good. Scores are whole
+numbers, so scores, ties and ids are those of the plain pass.
+
 Null text: null ids, decoded as null. Empty text: no ids, decoded as empty. Unknown ids in decoding
-give nothing. Invalid byte sequences decode with U+FFFD. Very long texts are one unit list; repeated
-rows encode alike. Empty tables give no rows; other columns pass through.
+give nothing. Invalid byte sequences decode with U+FFFD. Very long texts are one unit list, very long units
+go in chunks; repeated rows encode alike. Empty tables give no rows; other columns pass through.
 """
 
 from __future__ import annotations
@@ -38,6 +45,10 @@ from .textbatch import SpanCache, buffers, gathered, row_groups, span_hashes, st
 SPACE = "\u2581"
 #: Vocabulary bound for the broadcast, distinct units that a task keeps, bytes worked on at once.
 PIECES, KEPT_UNITS, CHUNK = 1_000_000, 300_000, 1 << 22
+#: Units of more characters go in chunks of ``LONG_CHUNK``, ``LONG_LANES`` chunks at once.
+LONG, LONG_CHUNK, LONG_LANES = 2048, 512, 2048
+#: Below every score that a text can have, and still far from overflow when two are added.
+NEVER = -(1 << 60)
 #: Zipf-Mandelbrot offset, and what a spelt-out character scores below the rarest piece.
 ZIPF_OFFSET, SPELT = 2.7, 10.0
 #: Scores are kept in whole steps of 1 / this.
@@ -56,6 +67,7 @@ class Vocabulary:
         # whole numbers: sums are exact, so ties are the same in any grouping of units
         self.scores = np.rint(np.nan_to_num(np.array(scores, float)) * SCALE).astype(np.int64)
         self.lengths = np.array([len(p) for p in pieces])
+        self.reach = int(self.lengths[usable].max(initial=1))
         self.spelt = int(self.scores[usable].min(initial=0) - SPELT * SCALE)
         #: units may be cut out only where no piece crosses
         self.by_unit = not any(SPACE in pieces[i].lstrip(SPACE) or "\n" in pieces[i] for i in usable)
@@ -129,13 +141,15 @@ class Vocabulary:
         original = np.frombuffer("".join(units).encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
         points = np.where(original == 0x20, 0x2581, np.where(original == 0x2581, 0, original))
         order = np.argsort(-sizes, kind="stable")
+        long = order[sizes[order] > LONG]
+        order = order[len(long):]
         starts = (np.cumsum(sizes) - sizes)[order]
         base = starts + order                     # places of best[] before the first character
         ordered = sizes[order]
         best = np.zeros(len(points) + len(units), np.int64)
         last = np.full(len(best), -1, np.int64)
         state = np.zeros(len(units), np.int64)
-        for t in range(int(ordered[0]) if len(units) else 0):
+        for t in range(int(ordered[0]) if len(order) else 0):
             n = int(np.searchsorted(-ordered, -t, "left"))
             state[:n] = self.step(state[:n], points[starts[:n] + t])
             at = base[:n] + t + 1
@@ -150,7 +164,7 @@ class Vocabulary:
                 node[live] = self.link[node[live]]
                 live = live[node[live] > 0]
         # back from every unit's end, all units side by side
-        place, who, ids, spot = sizes[order].copy(), [], [], []
+        place, who, ids, spot = ordered.copy(), [], [], []
         live = np.flatnonzero(place)
         while len(live):
             piece = last[base[live] + place[live]]
@@ -161,6 +175,12 @@ class Vocabulary:
             spot.append(place[live])
             ids.append(np.where(plain, -1 - point, piece))
             live = live[place[live] > 0]
+        if len(long):
+            begin = (np.cumsum(sizes) - sizes)[long]
+            for unit, a, (piece, at) in zip(long, begin, self._long(points, begin, sizes[long])):
+                who.append(np.full(len(at), unit))
+                spot.append(at)
+                ids.append(np.where(piece < 0, -1 - original[a + at], piece))
         if not who:
             return np.zeros(0, np.int32), sizes
         who, ids, spot = np.concatenate(who), np.concatenate(ids), np.concatenate(spot)
@@ -176,6 +196,82 @@ class Vocabulary:
             ids = out
         return ids.astype(np.int32), np.bincount(who, minlength=len(units))
 
+    def _long(self, points: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each long unit, the pieces of its best segmentation (-1: a spelt character), last one
+        first, and where in the unit each starts."""
+        reach, size = self.reach, max(LONG_CHUNK, self.reach)
+        chunks = -(-sizes // size)
+        own = np.repeat(np.arange(len(sizes)), chunks)               # the unit of each chunk
+        first = np.cumsum(chunks) - chunks
+        number = np.arange(len(own)) - first[own]
+        last = np.empty((len(own), size), np.int32)
+        start = np.zeros(reach, np.int64)
+        for a in range(0, len(own), LONG_LANES):
+            unit, n = own[a:a + LONG_LANES], number[a:a + LONG_LANES]
+            nodes = self._chunk_nodes(points, begin[unit], n * size, sizes[unit], size)
+            alone = np.full((len(unit), reach, reach), NEVER)        # place scored from, place back from the start
+            alone[:, np.arange(reach), np.arange(reach)] = 0
+            ends = self._relaxed(nodes, alone)[0]
+            starts = np.empty((len(unit), reach), np.int64)
+            for k in range(len(unit)):                               # ``start`` goes on into the next round of chunks
+                if n[k] == 0:
+                    start = np.full(reach, NEVER)
+                    start[0] = 0
+                starts[k] = start
+                start = (start[:, None] + ends[k]).max(axis=0)
+            last[a:a + len(unit)] = self._relaxed(nodes, starts[:, None, :], True)[1]
+        for a, k, length in zip(first, chunks, sizes):
+            yield self._back(last[a:a + k].reshape(-1)[:length])
+
+    def _chunk_nodes(self, points, begin, shift, length, size) -> np.ndarray:
+        """(place, chunk) -> the node of the longest piece that ends there, 0 for none. The automaton is at its right
+        node after the ``reach`` characters before a chunk."""
+        out = np.zeros((size, len(begin)), np.int64)
+        state = np.zeros(len(begin), np.int64)
+        for t in range(-self.reach, size):
+            at = shift + t
+            inside = (at >= 0) & (at < length)
+            state = self.step(state, np.where(inside, points[np.where(inside, begin + at, 0)], -1))
+            if t >= 0:
+                out[t] = np.where(self.ends[state] >= 0, state, self.link[state])
+        return out
+
+    def _relaxed(self, nodes: np.ndarray, start: np.ndarray, keep: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+        """``start`` (chunk, variant, j): scores j places before a chunk's first character end. The scores at
+        the chunk's end in the same form and, with ``keep``, the last pieces (chunk, place) of the first variant."""
+        size, reach = len(nodes), self.reach
+        ring = np.ascontiguousarray(np.moveaxis(start, 2, 0)[::-1])  # place t of the chunk at (t - 1) % reach
+        last = np.full((nodes.shape[1], size), -1, np.int32) if keep else None
+        for t in range(size):
+            top = ring[(t - 1) % reach] + self.spelt
+            node = nodes[t].copy()
+            live = np.flatnonzero(node)
+            while len(live):
+                piece = self.ends[node[live]]
+                score = ring[(t - self.lengths[piece]) % reach, live] + self.scores[piece][:, None]
+                if keep:
+                    better = score[:, 0] > top[live, 0]
+                    last[live[better], t] = piece[better]
+                top[live] = np.maximum(top[live], score)
+                node[live] = self.link[node[live]]
+                live = live[node[live] > 0]
+            ring[t % reach] = top
+        return np.stack([ring[(size - 1 - j) % reach] for j in range(reach)], axis=2), last
+
+    def _back(self, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """From the end of a unit along its last pieces."""
+        lengths, place, spots = self.lengths.tolist(), len(last), []
+        while place:
+            low = max(0, place - CHUNK // 4)
+            block, found = last[low:place].tolist(), []
+            while place > low:
+                piece = block[place - low - 1]
+                place -= 1 if piece < 0 else lengths[piece]
+                found.append(place)
+            spots.append(np.array(found))
+        spots = np.concatenate(spots)
+        return last[np.concatenate([[len(last)], spots[:-1]]) - 1], spots
+
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Joined bytes of all texts and the bytes of each, without the space put in front."""
         known = (ids >= 0) & (ids < len(self.sizes))
@@ -203,11 +299,14 @@ def load_vocabulary(model_path: str) -> Vocabulary:
         raise ValueError(f"{model_path} has no byte-fallback pieces")
     norm = math.log(math.log(size))
     scores = [math.nan] * size
-    for i in range(size):
+    plain = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
+    ranked = all(model.get_score(i).is_integer() for i in plain)
+    for i in plain:
         rank = -model.get_score(i)
-        if model.is_byte(i) or model.is_control(i) or model.is_unknown(i):
-            continue
-        if rank < -UNUSED or len(pieces[i]) == 1:
+        if not ranked:
+            if not model.is_unused(i):
+                scores[i] = -rank
+        elif rank < -UNUSED or len(pieces[i]) == 1:
             scores[i] = -math.log(ZIPF_OFFSET + min(max(rank, 0.0), size)) - norm
     return Vocabulary(pieces, scores, byte_ids)
 

@@ -2,6 +2,8 @@
 import math
 import random
 import re
+import struct
+import time
 import zlib
 from collections import Counter
 
@@ -243,6 +245,58 @@ def test_pieces_across_spaces_are_one_unit():
     assert flat.tolist() == brute_segment(" a b ba b", vocabulary, names)
 
 
+def test_long_units_in_chunks_like_whole_ones(monkeypatch):
+    vocabulary, rng = pieces.load_vocabulary(MODEL), random.Random(4)
+    spaced = pieces.Vocabulary(["a", "b", "\u2581", "ab", "a\u2581b", "\u2581a", "bab" * 9] + [f"<{b}>" for b in range(256)],
+                               [-3.0, -3.0, -3.0, -5.0, -1.0, -2.0, -30.0] + [math.nan] * 256, list(range(7, 263)))
+    units = ["x" * 700, " " * 300, "".join(chr(rng.randrange(33, 127)) for _ in range(900)), "short", "", "internationalisation" * 40,
+             "".join(rng.choice("ab\u2581日本語のé😀\u0000") for _ in range(800)), " word", "y" * 65]
+    mixed = ["".join(rng.choice("ab ") for _ in range(n)) for n in (900, 64, 65, 0, 300)]
+    whole = [v.segment(u) for v, u in ((vocabulary, units), (spaced, mixed))]
+    for chunk, lanes in ((64, 2000), (40, 3), (1, 1)):
+        monkeypatch.setattr(pieces, "LONG", 64)
+        monkeypatch.setattr(pieces, "LONG_CHUNK", chunk)
+        monkeypatch.setattr(pieces, "LONG_LANES", lanes)
+        for (ids, counts), v, u in zip(whole, (vocabulary, spaced), (units, mixed)):
+            got = v.segment(u)
+            assert got[0].tolist() == ids.tolist() and got[1].tolist() == counts.tolist()
+
+
+def test_a_word_of_four_million_characters_takes_seconds():
+    vocabulary, rng = pieces.load_vocabulary(MODEL), random.Random(5)
+    word = rng.randbytes(2_000_000).hex()
+    begin = time.monotonic()
+    flat, counts = pieces.Encoder(vocabulary).encode(pa.array([word]))
+    assert time.monotonic() - begin < 60
+    out, sizes = vocabulary.decode(flat, counts)
+    assert bytes(out) == word.encode() and sizes.tolist() == [len(word)]
+
+
+def unigram_file(named):
+    """A unigram model file (protocol buffer) of pieces and scores, after <unk> and the byte pieces."""
+    number = lambda n: bytes([n]) if n < 128 else bytes([n & 127 | 128]) + number(n >> 7)
+    whole = lambda field, n: number(field << 3) + number(n)
+    part = lambda field, data: number(field << 3 | 2) + number(len(data)) + data
+    piece = lambda text, score, kind: part(1, part(1, text.encode()) + number(2 << 3 | 5) + struct.pack("<f", score) + whole(3, kind))
+    out = piece("<unk>", 0.0, 2) + b"".join(piece(f"<0x{b:02X}>", 0.0, 6) for b in range(256))
+    out += b"".join(piece(p, s, 1) for p, s in named)
+    trainer = whole(3, 1) + whole(35, 1) + whole(40, 0) + whole(41, (1 << 64) - 1) + whole(42, (1 << 64) - 1) + whole(43, (1 << 64) - 1)
+    return out + part(2, trainer) + part(3, part(1, b"identity") + whole(3, 1) + whole(4, 0) + whole(5, 1))
+
+
+def test_ids_of_a_unigram_file_are_the_librarys(tmp_path):
+    import sentencepiece
+    rng = random.Random(6)
+    names = list("abcdeé日本\u2581") + list({rng.choice(["", "\u2581"]) + "".join(rng.choice("abcdeé日本") for _ in range(rng.randint(2, 5))) for _ in range(400)})
+    path = tmp_path / "unigram.model"
+    path.write_bytes(unigram_file([(n, -rng.uniform(2.0, 12.0)) for n in names]))
+    texts = ["".join(rng.choice("abcdeé日本 q😀\n") for _ in range(n)) for n in [*range(1, 60), 3000]] + ["", "abc" * 1500, "  a  b "]
+    model = sentencepiece.SentencePieceProcessor(model_file=str(path))
+    flat, counts = pieces.Encoder(pieces.load_vocabulary(str(path))).encode(pa.array(texts))
+    ends = np.cumsum(counts)
+    assert [flat[a:b].tolist() for a, b in zip(ends - counts, ends)] == model.encode(texts)
+
+
 def test_round_trip_of_every_text(odd, empty):
     coded = pieces.encode(odd, MODEL)
     got = rows(pieces.decode(coded, MODEL))
