@@ -4,6 +4,7 @@ import random
 import re
 import struct
 import time
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -12,6 +13,7 @@ import pyarrow as pa
 import pytest
 
 from ratewatch.llm import bloomlm, fertility, langid, pieces
+from ratewatch.llm.queries import QUERIES
 from ratewatch.llm.textbatch import buffers
 
 from .conftest import CLASH, lower, prose, words
@@ -187,6 +189,42 @@ def test_fertility_like_brute_force(odd, prose_docs, empty):
     assert fertility.verdicts(fertility.measure(empty, MODEL)).count() == 0
 
 
+def brute_script(text):
+    """The script of most letters, from the characters' Unicode names; ties go to the first."""
+    of = {"LATIN": "Latin", "GREEK": "Greek", "CYRILLIC": "Cyrillic", "RUNIC": "Other", "HEBREW": "Hebrew", "ARABIC": "Arabic", "DEVANAGARI": "Indic",
+          "THAI": "Thai", "HANGUL": "Hangul", "CJK": "Han", "HIRAGANA": "Kana", "KATAKANA": "Kana"}
+    found = Counter(of[re.split("[ -]", unicodedata.name(c))[0]] for c in text or "" if c.isalpha())
+    return max(dict.fromkeys(of.values()), key=lambda s: found[s]) if found else "Other"
+
+
+def test_fertility_query_like_brute_force(spark, odd, tmp_path):
+    import sentencepiece
+    model, rng = sentencepiece.SentencePieceProcessor(model_file=MODEL), random.Random(12)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(2, 7)))
+    scripts = ["abcdefgh", "αβγδεζηθ", "абвгдежз", "ᚠᛇᚻᛒᛦᚦ", "אבגדהו", "ابتثجح", "कखगघच", "กขคงจ", "가나다라마", "日本語中国人", "あいうえお", "aбaб", "日あ"]
+    texts = [" ".join(word(letters) for _ in range(n)) for letters in scripts for n in (40, 90)]
+    texts += ["aaaa " * 400, " ".join(f"{i * 7919 % 65536:04x}" * 12 for i in range(80)), " ".join(prose(rng, 60).split() + ["😀🀄"] * 45),
+              "internationalisation information " * 2 + " ".join(prose(rng, 1) * 9 for _ in range(60)), "12 34 " * 30 + " ".join(map(str, range(60)))]
+    docs = odd.select("doc_id", "text").collect()
+    docs = [(r.doc_id, r.text) for r in docs if not {"\ufdd0"} & set(r.text or "")] + [(1000 + i, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    expected = Counter()
+    for i, text in docs:
+        c = dict(zip([*fertility.FIELDS, "entropy"], brute_counts(text, model)))
+        script = brute_script(text)
+        low, high, most, least = fertility.BANDS.get(script, fertility.BANDS["Other"])
+        cpt, share = (c[x] / c["n_tokens"] if c["n_tokens"] else 0.0 for x in ("word_chars", "n_byte_tokens"))
+        even = c["entropy"] / min(math.log2(max(c["n_tokens"], 2)), 15.0)
+        failed = c["n_words"] < 50 or 100 * c["n_repeat_words"] > 50 * c["n_words"]
+        kept = not failed and low <= cpt <= high and share <= most and (c["n_tokens"] < fertility.ENTROPY_TOKENS or even >= least)
+        expected[(i, *[c[f] for f in fertility.FIELDS], script, round(cpt, 6), round(share, 6), round(even, 5), failed, kept)] += 1
+    got = Counter((r.doc_id, *[r[f] for f in fertility.FIELDS], r.script, round(r.chars_per_token, 6), round(r.byte_share, 6), round(r.entropy_share, 5) + 0.0,
+                   r.base_failed, r.kept) for r in rows(QUERIES["op5_fertility"](spark, str(tmp_path))))
+    assert got == expected
+    # each rule rejects something here, and every script is met
+    assert {x[-1] for x in expected if not x[-2]} == {True, False} and {x[8] for x in expected} >= {brute_script(t) for t in scripts[:11]}
+
+
 def test_bands_reject_what_the_vocabulary_cannot_read(spark):
     runes = " ".join("ᚠᛇᚻ᛫ᛒᛦᚦ" + chr(0x16A0 + i % 60) for i in range(80))
     hexes = " ".join(f"{i * 7919 % 65536:04x}" * 12 for i in range(80))
@@ -308,6 +346,23 @@ def test_round_trip_of_every_text(odd, empty):
     assert pieces.encode(empty, MODEL).count() == 0
 
 
+def test_sentencepiece_query_like_brute_force(spark, odd, tmp_path):
+    import sentencepiece
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    names = [model.id_to_piece(i) for i in range(model.vocab_size())]
+    vocabulary = pieces.load_vocabulary(MODEL)
+    docs = [r for r in odd.select("doc_id", "text").collect() if len(r.text or "") < 5000]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    expected = Counter()
+    for r in docs:
+        ids = None if r.text is None else tuple(brute_segment(" " + r.text, vocabulary, names)) if r.text else ()
+        spelt = None if ids is None else sum(model.is_byte(i) for i in ids)
+        expected[r.doc_id, None if ids is None else len(ids), spelt, None if ids is None else True, ids] += 1
+    got = Counter((r.doc_id, r.n_tokens, r.n_byte_tokens, r.round_trip, None if r.token_ids is None else tuple(r.token_ids))
+                  for r in rows(QUERIES["op7_sentencepiece"](spark, str(tmp_path))))
+    assert got == expected
+
+
 # ---- language ID --------------------------------------------------------------------------------
 
 def brute_ngrams(text):
