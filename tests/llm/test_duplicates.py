@@ -8,6 +8,7 @@ from ratewatch.llm.components import components
 from ratewatch.llm.decontam import contaminated_pairs, decontaminate
 from ratewatch.llm.linededup import dedup_lines
 from ratewatch.llm.neardup import keep_one, near_duplicates
+from ratewatch.llm.queries import QUERIES
 from ratewatch.llm.substrings import remove_repeats
 
 from .conftest import lower, words
@@ -127,6 +128,15 @@ def test_repeated_substrings_like_brute_force(request, which, hot):
     assert got == expected, list((got - expected).items())[:3]
 
 
+def test_queries_like_brute_force(spark, odd, prose_docs, tmp_path):
+    odd.select("doc_id", "text").unionByName(prose_docs.select("doc_id", "text")).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet")).collect()
+    near = QUERIES["op2_near_duplicates"](spark, str(tmp_path)).select("doc_id", "n_shingles", "component_id", "kept")
+    assert Counter(map(tuple, near.collect())) == brute_components(docs)
+    left = QUERIES["op6_repeated_substrings"](spark, str(tmp_path)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert Counter(map(tuple, left.collect())) == brute_removed(docs)
+
+
 def test_repeated_substrings_of_nothing(empty):
     assert remove_repeats(empty).count() == 0
 

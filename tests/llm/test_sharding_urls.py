@@ -1,3 +1,5 @@
+import math
+import os
 import zlib
 from collections import Counter
 
@@ -6,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratewatch.llm.hilbert import hilbert_index, shard_documents, shard_ranges, write_shards
+from ratewatch.llm.queries import QUERIES
 from ratewatch.llm.urlrules import judge_urls
 
 
@@ -69,6 +72,40 @@ def test_rows_lie_in_curve_order(odd, prose_docs):
     assert all(len(c) == 1 for c in by.values())
 
 
+def brute_shards(docs, shards, bits=4):
+    """Cells by quantile cuts of language, source and size, curve order, runs; row by row."""
+    n, sizes = len(docs), [len((r.text or "").encode()) + 16 for r in docs]
+
+    def ordinals(texts):
+        data = [None if t is None else t.encode() for t in texts]
+        known = [d for d in data if d is not None]
+        shared = len(os.path.commonprefix([min(known, default=b""), max(known, default=b"")]))
+        return [None if d is None else float(int.from_bytes(d[shared:shared + 7].ljust(7, b"\0"), "big")) for d in data]
+
+    cells = []
+    for values in (ordinals([r.lang for r in docs]), ordinals([r.source for r in docs]), [float(x) for x in sizes]):
+        known = sorted(v for v in values if v is not None)
+        cuts = {known[max(math.ceil(i / (1 << bits) * len(known)), 1) - 1] for i in range(1, 1 << bits)} if known else set()
+        cells.append([0 if v is None else sum(v > c for c in cuts) for v in values])
+    curve = hilbert_index(np.array(cells).T.reshape(-1, 3), bits).tolist()
+    crc = [zlib.crc32((r.text or "").encode()) for r in docs]
+    order = sorted(range(n), key=lambda i: (curve[i], crc[i], docs[i].doc_id is not None, docs[i].doc_id or 0))
+    begin, out = Counter(), Counter()
+    for rank, i in enumerate(order):
+        shard = rank * shards // n
+        out[(docs[i].doc_id, sizes[i], crc[i], "rows", shard, begin[shard], None, curve[i])] += 1
+        begin[shard] += 1
+    return out
+
+
+def test_shards_query_like_brute_force(spark, odd, prose_docs, tmp_path):
+    columns = ["doc_id", "text", "lang", "source"]
+    odd.select(columns).unionByName(prose_docs.select(columns)).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet")).collect()
+    got = Counter(tuple(r) for r in QUERIES["op1_hilbert_shards"](spark, str(tmp_path)).collect())
+    assert got == brute_shards(docs, 40)
+
+
 def brute_judge(url, rules, default="allow"):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     cut = min([rest.index(c) for c in "/?#" if c in rest] or [len(rest)])
