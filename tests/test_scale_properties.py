@@ -101,3 +101,37 @@ def test_latest_per_key_limits_before_shuffle(spark):
     below = plan.split("Exchange hashpartitioning")[1]
     assert "WindowGroupLimit" in below  # partial top-1 runs map-side, before the shuffle
     assert "TakeOrderedAndProject" in report
+
+
+def _without_aqe(spark, make):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return _plan(make())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_page_packing_exchanges_lines_only(spark):
+    """Below the exchange are the lines' own columns: no products, and no partial aggregate that sorts every line."""
+    from ratewatch.plans import testbed
+    lineitem = testbed.read(spark, "/root/testdata/sf0.001", "lineitem")
+    below = _without_aqe(spark, lambda: testbed.pricing_pages(lineitem)).split("Exchange hashpartitioning")[1]
+    assert "Aggregate" not in below and "productId" not in below
+
+
+def test_diff_without_stored_dates_exchanges_the_facts_once(spark):
+    plan = _without_aqe(spark, lambda: rate_changes(_facts(spark)))
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
+def test_diff_sorts_once_for_the_least_description_and_the_neighbours(spark):
+    plan = _without_aqe(spark, lambda: rate_changes(_facts(spark)))
+    # values in date order; ranks; pairs
+    assert sum(line.lstrip(" :+-*()0123456789").startswith("Sort ") for line in plan.splitlines()) == 3
+
+
+def test_partition_targets_keep_tasks_small():
+    """64 MB of compressed shuffle became some 3 GB in the sorts of the snapshot diff."""
+    from ratewatch.session import SCALE_SQL_CONF
+    for name, most in (("adaptive.advisoryPartitionSizeInBytes", 16), ("files.maxPartitionBytes", 32)):
+        assert int(SCALE_SQL_CONF[f"spark.sql.{name}"].rstrip("m")) <= most
