@@ -44,7 +44,7 @@ from .textbatch import SpanCache, buffers, gathered, row_groups, span_hashes, st
 
 SPACE = "\u2581"
 #: Vocabulary bound for the broadcast, distinct units that a task keeps, bytes worked on at once.
-PIECES, KEPT_UNITS, CHUNK = 1_000_000, 300_000, 1 << 22
+PIECES, KEPT_UNITS, CHUNK = 1_000_000, 300_000, 1 << 19
 #: Units of more characters go in chunks of ``LONG_CHUNK``, ``LONG_LANES`` chunks at once.
 LONG, LONG_CHUNK, LONG_LANES = 2048, 512, 2048
 #: Below every score that a text can have, and still far from overflow when two are added.
@@ -262,7 +262,7 @@ class Vocabulary:
         """From the end of a unit along its last pieces."""
         lengths, place, spots = self.lengths.tolist(), len(last), []
         while place:
-            low = max(0, place - CHUNK // 4)
+            low = max(0, place - 2 * CHUNK)
             block, found = last[low:place].tolist(), []
             while place > low:
                 piece = block[place - low - 1]

@@ -300,6 +300,21 @@ def test_long_units_in_chunks_like_whole_ones(monkeypatch):
             assert got[0].tolist() == ids.tolist() and got[1].tolist() == counts.tolist()
 
 
+def test_texts_are_segmented_half_a_megabyte_at_a_time():
+    """What is worked on at once bounds a worker's memory: a step holds some fifty bytes per byte of text."""
+    rng, sizes = random.Random(6), []
+    texts = pa.array([prose(rng, 9000) for _ in range(30)])
+    encoder = pieces.Encoder(pieces.load_vocabulary(MODEL))
+    lists = encoder.units.lists
+    encoder.units.lists = lambda raw, *rest: (sizes.append(len(raw)), lists(raw, *rest))[1]
+    flat, counts = encoder.encode(texts)
+    assert sum(sizes) > 1 << 20 and max(sizes) <= (1 << 19) + len(texts)
+    alone = [pieces.Encoder(encoder.vocabulary).encode(texts.slice(i, 1)) for i in (0, 17, 29)]
+    off = np.concatenate([[0], np.cumsum(counts)])
+    for i, (ids, _) in zip((0, 17, 29), alone):
+        assert ids.tolist() == flat[off[i]:off[i + 1]].tolist()
+
+
 def test_a_word_of_four_million_characters_takes_seconds():
     vocabulary, rng = pieces.load_vocabulary(MODEL), random.Random(5)
     word = rng.randbytes(2_000_000).hex()
