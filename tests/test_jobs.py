@@ -136,3 +136,13 @@ def test_a_new_date_reads_the_fingerprint_state(spark):
     assert len(_marts(spark, out)["schema_drift_event"]) == events + 1      # q's shape of the 11th is not that of the 13th
     state = {r.provider_id: r.observed_at.day for r in spark.read.parquet(f"{out}/fingerprint_state").collect()}
     assert state == {"p": 13, "q": 13}
+
+
+def test_a_date_build_picks_its_pages_once(spark):
+    out = tempfile.mkdtemp(prefix="models-")
+    pages = testbed.landed_pricing_pages(spark, SF)
+    models = build_and_write(pages.drop("etag").withColumn("etag", F.lit(None)), out, as_of=dt.date(1998, 1, 1), drift=False)
+    files = models.products.inputFiles()
+    assert files and all("/day-" in f for f in files)          # the models read the date's own copy, not the page table
+    want = pages.filter(F.to_date("fetched_at") == F.lit(dt.date(1998, 1, 1)))
+    assert models.products.select("page_num", "provider_id").distinct().count() == want.select("page_num", "provider_id").distinct().count()
