@@ -146,3 +146,17 @@ def test_a_date_build_picks_its_pages_once(spark):
     assert files and all("/day-" in f for f in files)          # the models read the date's own copy, not the page table
     want = pages.filter(F.to_date("fetched_at") == F.lit(dt.date(1998, 1, 1)))
     assert models.products.select("page_num", "provider_id").distinct().count() == want.select("page_num", "provider_id").distinct().count()
+
+
+def test_the_fingerprint_state_is_not_one_tasks_work(spark, monkeypatch):
+    """The state grows with the providers: its aggregate must not run in a single task, as under coalesce(1)."""
+    from ratewatch.plans.jobs import build_drift
+    seen = []
+    plain = type(spark.range(0)).coalesce
+    monkeypatch.setattr(type(spark.range(0)), "coalesce", lambda self, n: (seen.append(n), plain(self, n))[1])
+    out, pages = tempfile.mkdtemp(prefix="models-"), testbed.landed_pricing_pages(spark, SF)
+    days = [dt.date(1997, 1, 1), dt.date(1998, 1, 1)]
+    build_drift(pages.filter(F.to_date("fetched_at") == F.lit(days[0])), out)
+    build_drift(pages, out, as_of=days[1])
+    two = pages.filter(F.to_date("fetched_at").isin(days)).select("provider_id", "endpoint").distinct().count()
+    assert not seen and spark.read.parquet(f"{out}/fingerprint_state").count() == two
