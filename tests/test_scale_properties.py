@@ -131,7 +131,7 @@ def test_diff_sorts_once_for_the_least_description_and_the_neighbours(spark):
 
 
 def test_partition_targets_keep_tasks_small():
-    """64 MB of compressed shuffle became some 3 GB in the sorts of the snapshot diff."""
+    """The sorts and windows of the snapshot diff hold tens of times the compressed bytes that a task reads."""
     from ratewatch.session import SCALE_SQL_CONF
     for name, most in (("adaptive.advisoryPartitionSizeInBytes", 16), ("files.maxPartitionBytes", 32)):
         assert int(SCALE_SQL_CONF[f"spark.sql.{name}"].rstrip("m")) <= most
