@@ -81,20 +81,18 @@ RATE_COLUMNS = PRODUCT_KEYS + [
 def rates(prods: DataFrame) -> DataFrame:
     """One row per deposit or lending rate, tagged with its kind (``stg_rates_raw``).
 
-    Both arrays are exploded in a single pass: each element is tagged with its kind and the two
-    tagged arrays are concatenated before one explode (no second scan, no union).
+    Both arrays are exploded in a single pass, one behind the other: elements up to the number of deposit rates are these
+    (no second scan, no union, and no function over the elements, which would be interpreted).
     """
-    tagged = F.concat(
-        F.transform(F.coalesce(json_array("deposit_rates_json"), F.array().cast("array<variant>")),
-                    lambda r: F.struct(F.lit("deposit").alias("kind"), r.alias("rate"))),
-        F.transform(F.coalesce(json_array("lending_rates_json"), F.array().cast("array<variant>")),
-                    lambda r: F.struct(F.lit("lending").alias("kind"), r.alias("rate"))))
-    ex = prods.select(*PRODUCT_KEYS, F.explode(tagged).alias("_r"))
-    r = F.col("_r.rate")
+    none = F.array().cast("array<variant>")
+    both = prods.select(*PRODUCT_KEYS, F.coalesce(json_array("deposit_rates_json"), none).alias("_deposit"),
+                        F.coalesce(json_array("lending_rates_json"), none).alias("_lending"))
+    ex = both.select(*PRODUCT_KEYS, F.size("_deposit").alias("_n"), F.posexplode(F.concat("_deposit", "_lending")).alias("_i", "_rate"))
+    r = F.col("_rate")
     rate_type = F.coalesce(json_text(r, "depositRateType"), json_text(r, "lendingRateType"))
     out = ex.select(
         *PRODUCT_KEYS,
-        F.col("_r.kind").alias("rate_kind"),
+        F.when(F.col("_i") < F.col("_n"), F.lit("deposit")).otherwise(F.lit("lending")).alias("rate_kind"),
         rate_type.alias("rate_type"),
         to_numeric(json_text(r, "rate")).alias("rate_value"),
         to_numeric(json_text(r, "comparisonRate")).alias("comparison_rate"),

@@ -10,12 +10,14 @@ that grows with the scale factor:
 * events -> runs, provider registers, call log and page fetches (coverage inputs): provider =
   user, run = event day, status from the event type.
 
-Pages are packed into JSON text here with ``to_json`` (a page holds at most one order's lines,
+Pages are packed into JSON text here, their products with ``to_json`` (a page holds at most one order's lines,
 so the per-page ``collect_list`` is bounded by construction).
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +53,7 @@ def _category(flag: Column) -> Column:
     return c
 
 
-def _rate_array(line: Column, type_field: str) -> Column:
+def _rate_array(line: Mapping[str, Column], type_field: str) -> Column:
     q = line["l_quantity"]
     band = F.floor(q / 10)
     tier = F.struct(
@@ -102,11 +104,11 @@ def landed_pricing_pages(spark: SparkSession, sf_dir: str, namespace: str | None
     if not done.getFileSystem(conf).exists(done):
         # payload is stored parsed (VARIANT, the counterpart of jsonb): readers never re-parse text
         (pricing_pages(lineitem).withColumn("payload", F.try_parse_json("payload"))
-            .write.mode("overwrite").option("compression", "zstd").parquet(path))
+            .write.mode("overwrite").option("compression", "zstd").option("parquet.compression.codec.zstd.level", "6").parquet(path))
     return spark.read.parquet(path)
 
 
-def _product(line: Column, suppkey: Column) -> Column:
+def _product(line: Mapping[str, Column], suppkey: Column) -> Column:
     """The product struct of one line."""
     amount = F.when(line["l_tax"] == 0, F.lit("")).otherwise(_money_text(line["l_tax"]))
     return F.struct(
@@ -131,15 +133,16 @@ def pricing_pages(lineitem: DataFrame) -> DataFrame:
     """``products_raw``-shaped page rows built from lineitem (payload as JSON text).
 
     Only the lines' own columns are exchanged, before the grouping (pages hold few lines, so a partial aggregate would
-    sort every line for nothing); the products, several times as wide, are made from the grouped lines."""
+    sort every line for nothing). The products, several times as wide, are made behind the exchange, line by line and as text:
+    there they are compiled code, in a function over the grouped lines they are interpreted."""
     page = ["l_suppkey", "l_orderkey", "_yr"]
     yr = F.date_trunc("year", F.col("l_shipdate")).cast("timestamp")
     lines = lineitem.select("l_suppkey", "l_orderkey", yr.alias("_yr"), *LINE_ORDER).repartition(*page)
+    product = F.to_json(_product({c: F.col(c) for c in LINE_ORDER}, F.col("l_suppkey")))
+    lines = lines.select(*page, F.struct(*LINE_ORDER, product.alias("_product")).alias("_line"))
     # products of a page are ordered by the whole line (line numbers alone can repeat)
-    pages = lines.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct(*LINE_ORDER))).alias("_lines"))
-    payload = F.to_json(F.struct(
-        F.struct(F.transform("_lines", lambda x: _product(x, F.col("l_suppkey"))).alias("products")).alias("data"),
-        F.struct(F.lit("").alias("next")).alias("links")))
+    pages = lines.groupBy(*page).agg(F.array_sort(F.collect_list("_line")).alias("_lines"))
+    payload = F.concat(F.lit('{"data":{"products":['), F.array_join(F.col("_lines")["_product"], ","), F.lit(']},"links":{"next":""}}'))
     supp = F.col("l_suppkey").cast("string")
     return pages.select(
         F.concat(F.lit("run-"), F.year("_yr").cast("string")).alias("run_id"),

@@ -66,3 +66,16 @@ def test_lending_rates_union(spark):
                                   "lendingRates": [{"lendingRateType": "L", "rate": "2"}, {"rate": "3"}]}]}}
     rows = build_models(_pages(spark, [json.dumps(doc)])).rates.select("rate_kind", "rate_type").collect()
     assert sorted(map(tuple, rows)) == [("deposit", "D"), ("lending", "L")]
+
+
+def test_rate_kinds_by_array(spark):
+    """Elements of either array keep their kind, whatever the other array holds."""
+    dep = [{"depositRateType": f"D{i}", "rate": str(i)} for i in range(3)]
+    lend = [{"lendingRateType": "L0", "rate": "7"}]
+    docs = [{"data": {"products": [{"productId": "a", "depositRates": dep, "lendingRates": lend},
+                                   {"productId": "b", "depositRates": None, "lendingRates": lend},
+                                   {"productId": "c", "depositRates": [None, dep[1]], "lendingRates": "x"},
+                                   {"productId": "d", "depositRates": {}, "lendingRates": []}]}}]
+    rows = build_models(_pages(spark, [json.dumps(d) for d in docs])).rates.select("product_id", "rate_kind", "rate_type").collect()
+    assert sorted(map(tuple, rows)) == [("a", "deposit", "D0"), ("a", "deposit", "D1"), ("a", "deposit", "D2"), ("a", "lending", "L0"),
+                                        ("b", "lending", "L0"), ("c", "deposit", "D1")]

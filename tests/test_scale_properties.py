@@ -119,6 +119,44 @@ def test_page_packing_exchanges_lines_only(spark):
     assert "Aggregate" not in below and "productId" not in below
 
 
+def test_products_and_rates_are_made_by_compiled_code(spark):
+    """A function over the elements of an array is interpreted: there is none on the way from lines to rates."""
+    from ratewatch.operators import flatten
+    from ratewatch.plans import testbed
+    pages = testbed.pricing_pages(testbed.read(spark, "/root/testdata/sf0.001", "lineitem"))
+    assert "transform(" not in _without_aqe(spark, lambda: flatten.rates(flatten.products(pages)))
+
+
+def test_landed_payloads_stay_whole(spark, tmp_path):
+    """Landed variants are not taken apart into a Parquet column per member."""
+    import pyarrow.parquet as pq
+    out = str(tmp_path / "pages")
+    spark.range(10).select(F.parse_json(F.concat(F.lit('{"a":[{"b":"x'), "id", F.lit('"}]}'))).alias("payload")).write.parquet(out)
+    assert {f.name for f in pq.read_schema(next((tmp_path / "pages").glob("*.parquet"))).field("payload").type} == {"value", "metadata"}
+
+
+def test_packed_page_of_odd_lines(spark):
+    """Products are ordered by their whole line, equal lines stay, and members without a value are left out of the text."""
+    import json
+
+    from ratewatch.plans import testbed
+    at = dt.datetime(1995, 3, 4)
+    line = (7, 3, 5, 2, 30.0, 10.0, 0.05, 0.0, "R", "F", at)
+    rows = [line, line, (7, None, 5, 1, None, None, None, None, None, None, at)]
+    lineitem = spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                                     "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                                     "l_linestatus string, l_shipdate timestamp")
+    [page] = testbed.pricing_pages(lineitem).collect()
+    doc = json.loads(page.payload)
+    bare, one, two = doc["data"]["products"]
+    assert doc["links"] == {"next": ""} and one == two and list(doc) == ["data", "links"]
+    assert bare == {"productCategory": "RESIDENTIAL_MORTGAGES", "lastUpdated": "1995-03-04T00:00:00+10:00", "effectiveFrom": "",
+                    "brand": "Brand 5", "brandGroup": "", "fees": [{"name": "Account fee", "feeType": "PERIODIC", "currency": "AUD"}]}
+    assert one["lendingRates"] == [{"lendingRateType": "FIXED", "rate": "0.05", "applicationFrequency": "P1M", "additionalValue": "P2M",
+                                    "tiers": [{"name": "Tier 3", "unitOfMeasure": "DOLLAR", "minimumValue": 30.00, "maximumValue": 39.99}]}]
+    assert "depositRates" not in one and page.payload.startswith('{"data":{"products":[{')
+
+
 def test_diff_without_stored_dates_exchanges_the_facts_once(spark):
     plan = _without_aqe(spark, lambda: rate_changes(_facts(spark)))
     assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
