@@ -79,3 +79,29 @@ def test_rate_kinds_by_array(spark):
     rows = build_models(_pages(spark, [json.dumps(d) for d in docs])).rates.select("product_id", "rate_kind", "rate_type").collect()
     assert sorted(map(tuple, rows)) == [("a", "deposit", "D0"), ("a", "deposit", "D1"), ("a", "deposit", "D2"), ("a", "lending", "L0"),
                                         ("b", "lending", "L0"), ("c", "deposit", "D1")]
+
+
+def test_rate_fact_by_one_cast_has_the_rows_of_the_stages(spark):
+    from ratewatch.operators import flatten
+    tier = {"name": "T", "unitOfMeasure": "", "minimumValue": 1.50, "maximumValue": "x"}
+    rate = {"depositRateType": "FIXED", "rate": "0.05", "additionalInfo": {"b": 1, "a": [True]}, "conditions": [{"k": 1}],
+            "tiers": [tier, None, 7, {"name": None, "minimumValue": "-2"}]}
+    products = [
+        {"productId": "a", "name": 12, "productCategory": True, "depositRates": [rate, None, 5, {"rate": "1"}, {"lendingRateType": "L", "tiers": []}],
+         "lendingRates": [{"lendingRateType": "V", "rate": 1e3, "tiers": {"name": "no array"}}]},
+        {"productId": {"o": 1}, "depositRates": {"depositRateType": "no array"}, "lendingRates": [{"depositRateType": "D", "comparisonRate": "2.50"}]},
+        {"productId": "", "lendingRates": [{"lendingRateType": ["x"], "tiers": None}]}, {"name": "no id", "depositRates": [rate]}, None, "text", [rate]]
+    texts = [json.dumps({"data": {"products": products}}), json.dumps({"data": {"products": {"productId": "p"}}}), json.dumps({"data": 1}),
+             "[]", "null", "no json"]
+    pages = _pages(spark, texts).unionByName(_pages(spark, texts[:1], status=500))
+    m = build_models(pages)
+    staged = flatten.json_columns_as_text(flatten.rate_fact(m.rate_tiers))
+    got = flatten.json_columns_as_text(m.fct_product_rates)
+    assert got.columns == staged.columns and got.dtypes == staged.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, staged.collect())) and staged.count() == 8
+    some = ["rate", "product_id", "tier_maximum_value"]
+    narrow = m.rate_columns(*some)
+    assert sorted(map(str, narrow.collect())) == sorted(map(str, staged.select(*some).collect()))
+    plan = narrow._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("try_variant_get") == 1 and "additionalInfo" not in plan
+    assert m.rate_columns("provider_id", "as_of_date").count() == 8

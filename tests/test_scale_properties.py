@@ -173,3 +173,30 @@ def test_partition_targets_keep_tasks_small():
     from ratewatch.session import SCALE_SQL_CONF
     for name, most in (("adaptive.advisoryPartitionSizeInBytes", 16), ("files.maxPartitionBytes", 32)):
         assert int(SCALE_SQL_CONF[f"spark.sql.{name}"].rstrip("m")) <= most
+
+
+def test_page_packing_groups_sorted_lines(spark):
+    """The lines are sorted before the products are made of them, and grouped as they come."""
+    from ratewatch.plans import testbed
+    lineitem = testbed.read(spark, "/root/testdata/sf0.001", "lineitem")
+    plan = _without_aqe(spark, lambda: testbed.pricing_pages(lineitem))
+    assert "ObjectHashAggregate" not in plan and plan.count("Sort [") == 1 and "to_json" not in plan.split("Sort [")[1]
+
+
+def test_diff_sorts_by_the_hash_of_the_key(spark):
+    """Every sort begins with the hash, and neither keys nor descriptions are taken apart in between."""
+    plan = _without_aqe(spark, lambda: rate_changes(_facts(spark)))
+    sorts = [line.split("Sort [")[1] for line in plan.splitlines() if "Sort [" in line and "as_of_date" not in line.split("Sort [")[1].split(" ")[0]]
+    diff = [s for s in sorts if not s.startswith("provider_id")]              # the snapshot dates' own
+    assert len(diff) >= 3 and all(s.startswith("_h#") and s.split(" ASC")[1].split(", ")[1].startswith("_key#") for s in diff)
+
+
+def test_diff_tells_a_null_sentinel_key_from_its_sentinel(spark):
+    d1, d2 = dt.date(2026, 1, 1), dt.date(2026, 1, 2)
+    rows = [("p", d1, "a", None, None, "1"), ("p", d2, "a", "", None, "2"), ("p", d1, "b", None, None, "3"), ("p", d2, "c", None, 5, "4"),
+            ("p", d1, "d", "", -1, "5"), ("p", d2, "d", None, None, "6"), ("p", d2, "e", "t", -1, "7"), ("p", d2, "e", "t", None, "7")]
+    df = spark.createDataFrame(rows, "e string, d date, k string, s string, n int, v string")
+    from ratewatch.operators.changes import snapshot_changes
+    out = snapshot_changes(df, entity="e", date="d", keys=["k"], sentinel_keys={"s": "", "n": -1}, value="v")
+    assert {(r.k, r.s, r.n, r.previous_v, r.current_v) for r in out.collect()} == {
+        ("a", "", None, "1", "2"), ("b", None, None, "3", None), ("c", None, 5, None, "4"), ("d", "", -1, "5", "6"), ("e", "t", -1, None, "7")}
