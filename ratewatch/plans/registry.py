@@ -90,8 +90,8 @@ def q_rate_changes(spark, sf_dir):
 @register("rate_changes_keyed")
 def q_rate_changes_keyed(spark, sf_dir):
     """MOD8 where keys are unique in every snapshot (one rate per key): the mart's full outer join."""
-    fact = _models(spark, sf_dir).fct_product_rates
     keys = ["provider_id", "as_of_date", "product_id", "rate_kind", "rate_type"]
+    fact = _models(spark, sf_dir).rate_columns(*keys, "tier_name", "tier_minimum_value", "brand_name", "rate")
     one = (fact.withColumn("tier_name", F.coalesce("tier_name", F.lit("")))
            .withColumn("tier_minimum_value", F.coalesce("tier_minimum_value", F.lit(-1).cast("decimal(28,10)")))
            .groupBy(*keys, "tier_name", "tier_minimum_value").agg(F.max("brand_name").alias("brand_name"), F.max("rate").alias("rate")))
