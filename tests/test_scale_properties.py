@@ -200,3 +200,23 @@ def test_diff_tells_a_null_sentinel_key_from_its_sentinel(spark):
     out = snapshot_changes(df, entity="e", date="d", keys=["k"], sentinel_keys={"s": "", "n": -1}, value="v")
     assert {(r.k, r.s, r.n, r.previous_v, r.current_v) for r in out.collect()} == {
         ("a", "", None, "1", "2"), ("b", None, None, "3", None), ("c", None, 5, None, "4"), ("d", "", -1, "5", "6"), ("e", "t", -1, None, "7")}
+
+
+def test_declared_tests_work_out_each_model_once(spark):
+    from ratewatch.plans.qa import DECLARED_TESTS, declared_tests
+    seen = {}
+    models = {}
+    for model in dict.fromkeys(m for m, _, _ in DECLARED_TESTS):
+        names = list(dict.fromkeys(c for m, t, cols in DECLARED_TESTS if m == model for c in (cols[:1] if t == "accepted_values" else cols)))
+        seen[model] = spark.sparkContext.accumulator(0)
+
+        def counted(batches, n=seen[model]):
+            for b in batches:
+                n.add(b.num_rows)
+                yield b
+
+        rows = spark.createDataFrame([tuple("deposit" for _ in names), tuple(None for _ in names)], ", ".join(f"{c} string" for c in names))
+        models[model] = rows.coalesce(1).mapInArrow(counted, rows.schema)
+    got = {(r.model, r.test, r["columns"]): r.failing_rows for r in declared_tests(models).collect()}
+    assert len(got) == 17 and all(n == (1 if test == "not_null" else 0) for (_, test, _), n in got.items())
+    assert all(n.value == 2 for n in seen.values())
