@@ -105,3 +105,22 @@ def test_rate_fact_by_one_cast_has_the_rows_of_the_stages(spark):
     plan = narrow._jdf.queryExecution().executedPlan().toString()
     assert plan.count("try_variant_get") == 1 and "additionalInfo" not in plan
     assert m.rate_columns("provider_id", "as_of_date").count() == 8
+
+
+def test_products_by_one_cast_have_the_rows_of_single_reads(spark):
+    from ratewatch.operators import flatten
+    products = [{"productId": "a", "name": 12.50, "description": {"b": 1, "a": None}, "productCategory": None, "lastUpdated": "2026-02-09T01:00:00+11:00",
+                 "effectiveFrom": "", "effectiveTo": "soon", "brand": ["B"], "brandGroup": "", "isTailored": True, "fees": {"no": "array"},
+                 "depositRates": [None, 1, {"depositRateType": "F"}], "lendingRates": None},
+                None, 5, "text", ["x"], {"productId": None}, {"name": "no id"}, {"productId": 7, "isTailored": "maybe", "fees": [{"name": 1}, None, 2]}]
+    pages = _pages(spark, [json.dumps({"data": {"products": products}}), json.dumps({"data": {"products": 3}}), "[]", "no json"])
+    single = flatten.json_columns_as_text(flatten.products(pages))
+    cast = flatten.json_columns_as_text(flatten.products(pages, columns=[*flatten.PRODUCT_COLUMNS, *flatten.PRODUCT_LINEAGE]))
+    assert cast.dtypes == single.dtypes and single.count() == 2
+    assert sorted(map(str, cast.collect())) == sorted(map(str, single.collect()))
+    assert [r.product_pos for r in flatten.products(pages, columns=["product_pos"]).orderBy("product_pos").collect()] == [0, 7]
+    m, kept = build_models(pages), build_models(pages, persist=True)
+    for name in ("fees", "rates", "rate_tiers", "dim_products"):
+        a, b = (flatten.json_columns_as_text(getattr(x, name)) for x in (m, kept))
+        assert a.dtypes == b.dtypes and sorted(map(str, a.collect())) == sorted(map(str, b.collect())), name
+    kept.products.unpersist()
