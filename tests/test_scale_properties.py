@@ -220,3 +220,24 @@ def test_declared_tests_work_out_each_model_once(spark):
     got = {(r.model, r.test, r["columns"]): r.failing_rows for r in declared_tests(models).collect()}
     assert len(got) == 17 and all(n == (1 if test == "not_null" else 0) for (_, test, _), n in got.items())
     assert all(n.value == 2 for n in seen.values())
+
+
+def test_snapshot_dates_are_broadcast_by_entity(spark, monkeypatch):
+    """As many entities as pairs were broadcast before, each with several dates: no exchange by date, and the same rows as by
+    the plain join, which is left for more."""
+    from ratewatch.operators import changes
+    days = [dt.date(2026, 1, 1) + dt.timedelta(days=d) for d in (0, 1, 5, 9)]
+    rows = [(f"e{e}" if e else None, None if (e + i) % 7 == 6 else d, f"k{(e + i) % 3}", (e * i) % 4) for e in range(9) for i, d in enumerate(days) if e % 4 != i]
+    df = spark.createDataFrame(rows + rows[:5], "e string, d date, k string, v int")
+    stored = df.filter("d is not null and e is not null").select("e", "d").filter("d <> '2026-01-06' or e <> 'e3'")
+    monkeypatch.setattr(changes, "BROADCAST_PAIRS", 9)
+
+    def diff(**kw):
+        return changes.snapshot_changes(df, entity="e", date="d", keys=["k"], value="v", **kw)
+
+    plan = _without_aqe(spark, diff)
+    assert "Exchange hashpartitioning(e#" not in plan.split("BroadcastExchange")[0] and "SortMergeJoin" not in plan
+    got = [sorted(map(str, diff(**kw).collect())) for kw in ({}, {"snapshots": stored})]
+    monkeypatch.setattr(changes, "MOST_DATES", 1)
+    assert "BroadcastExchange" not in _without_aqe(spark, diff) or "_days" not in _without_aqe(spark, diff)
+    assert [sorted(map(str, diff(**kw).collect())) for kw in ({}, {"snapshots": stored})] == got and got[0] != got[1] and got[0]
